@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from .chunks import op1_substring_dedup
+from .langid import op7_language_id
 from .mixing import OP3_SQL, op3_mix_sources
 from .packing import op2_best_fit_packing
+from .quality import op8_quality_rules
 from .secrets import op6_secret_scan
+from .topk import OP10_SQL, op10_exact_topk
+from .urls import OP9_SQL, op9_url_filters
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_mix_sources": op3_mix_sources,
     "op6_secret_scan": op6_secret_scan,
+    "op7_language_id": op7_language_id,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_url_filters": op9_url_filters,
+    "op10_exact_topk": op10_exact_topk,
 }
-SQL = {"op3_mix_sources": OP3_SQL}
+SQL = {"op3_mix_sources": OP3_SQL, "op9_url_filters": OP9_SQL, "op10_exact_topk": OP10_SQL}
