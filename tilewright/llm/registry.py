@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chunks import op1_substring_dedup
 from .langid import op7_language_id
 from .mixing import OP3_SQL, op3_mix_sources
+from .ngramjoin import OP5_SQL, op5_ngram_jaccard_join
 from .packing import op2_best_fit_packing
 from .quality import op8_quality_rules
 from .secrets import op6_secret_scan
@@ -15,10 +16,11 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_mix_sources": op3_mix_sources,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_exact_topk": op10_exact_topk,
 }
-SQL = {"op3_mix_sources": OP3_SQL, "op9_url_filters": OP9_SQL, "op10_exact_topk": OP10_SQL}
+SQL = {"op3_mix_sources": OP3_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_exact_topk": OP10_SQL}

@@ -36,7 +36,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """page_id, host, at, blocked, rule (the domain that decided) of captures (page_id, url, at)."""
-    rows = captures.select("page_id", F.monotonically_increasing_id().alias("row"), host_of(F.col("url")).alias("host"), "at")
+    rows = captures.select("page_id", host_of(F.col("url")).alias("host"), "at")
     parts = F.split("host", r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
     asked = rows.where("host is not null and at is not null").select("page_id", "host", "at", F.explode(F.array_distinct(domains)).alias("domain"))
@@ -69,7 +69,7 @@ def sample_log(captures: DataFrame) -> DataFrame:
 
 def op9_url_filters(spark, sf_dir: str) -> DataFrame:
     captures = capture_times(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    return filter_captures(captures, sample_log(captures))
+    return filter_captures(captures, sample_log(captures)).withColumn("at", F.col("at").cast("string"))
 
 
 OP9_SQL = r"""
@@ -92,5 +92,5 @@ WITH c AS (
   SELECT c.page_id, max(length(i.domain)) AS n FROM c JOIN i ON (c.host = i.domain OR ends_with(c.host, '.' || i.domain))
    AND i.action = 'add' AND i.valid_from <= c."at" AND (i.valid_to IS NULL OR c."at" < i.valid_to) GROUP BY c.page_id
 )
-SELECT c.page_id, c.host, c."at", m.n IS NOT NULL AS blocked, right(c.host, m.n) AS rule FROM c LEFT JOIN m USING (page_id)
+SELECT c.page_id, c.host, c."at"::VARCHAR AS "at", m.n IS NOT NULL AS blocked, right(c.host, m.n) AS rule FROM c LEFT JOIN m USING (page_id)
 """
