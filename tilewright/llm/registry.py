@@ -9,6 +9,7 @@ from .ngramjoin import OP5_SQL, op5_ngram_jaccard_join
 from .packing import op2_best_fit_packing
 from .quality import op8_quality_rules
 from .secrets import op6_secret_scan
+from .suffixes import op4_suffix_dedup
 from .topk import OP10_SQL, op10_exact_topk
 from .urls import OP9_SQL, op9_url_filters
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_mix_sources": op3_mix_sources,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 U64 = np.uint64
 SPACE = np.zeros(256, dtype=bool)
@@ -150,3 +151,21 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     before = np.concatenate(([0], np.cumsum(counts)[:-1]))
     return np.repeat(starts - before, counts) + np.arange(total)
+
+
+def squeezed(docs):
+    """doc_id and z, the compressed bytes of every text, of a DataFrame: what to shuffle instead of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in steps(batches):
+            raw, offsets = spans_of(batch.column(1))
+            data = raw.tobytes()
+            packed = [squeeze.compress(data[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "z"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, z binary")
+
+
+def unsqueezed(z: bytes | None) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(z) if z else b""
