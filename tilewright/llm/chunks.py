@@ -10,10 +10,9 @@ Only digests, places and lengths are shuffled. Digests are counted with partial
 first, and only those met twice are joined back, so a chunk that a third of all documents
 share is one row in the join's small side.
 
-Cases: a null or empty text has no chunk. Equal rows are duplicates of each other even
-within one id: rows with the same id are told apart by a number from their text and place
-of reading only for equal ids, as `doc_id` should be unique. A null id comes first. An empty
-table gives no rows. Other columns are never read.
+Cases: a null or empty text has no chunk. Rows that share an id count as copies of one
+document: a chunk stays at the same place in each. A null id comes first. An empty table
+gives no rows. Other columns are never read.
 """
 
 from __future__ import annotations

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,3 +43,12 @@ def components(edges: DataFrame) -> DataFrame:
         if same:
             break
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """`rows` written as Parquet in the shared folder and read again; for wide rows, smaller than a checkpoint."""
+    spark = rows.sparkSession
+    checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stored-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
