@@ -9,13 +9,15 @@ their sets then share at least T = ceil(0.8 n) members of either.
    only steer the order below). The at most HOT most frequent ones above OFTEN are broadcast.
 2. All sets are put in one order: rare shingles by hash, then frequent ones. Two linked sets
    share one of their first n - T + 1 shingles, so only those go into inverted lists. Lists
-   with up to SHORT classes give candidate pairs, verified on the whole sets.
-3. Longer lists hold sets made of frequent shingles: clusters of near copies. Classes that
-   share such lists form groups, groups are dealt into blocks, and each pair of blocks of a
-   group is searched by DivideSkip: for a query set the short inverted lists are merged and
-   counted against T less the number of long lists, the survivors are probed in the long
-   lists by binary search, and those that reach the overlap required for their size link.
-   Only a spanning forest of the links leaves a block pair.
+   with up to SHORT classes give candidate pairs with the number of rare shingles that the
+   prefixes share. Up to the nearer end of both prefixes a rare shingle is in both sets or
+   counts against the link, so a pair with too few in common is dropped. Longer lists, of
+   frequent shingles, tie their classes to the least of them.
+3. Classes tied by what is left, clusters of near copies, form groups. Groups are dealt into
+   blocks, and each pair of blocks of a group is searched by DivideSkip: for a query set the
+   short inverted lists are merged and counted against T less the number of long lists, the
+   survivors are probed in the long lists by binary search, and those that reach the overlap
+   required for their size link. Only a spanning forest of the links leaves a block pair.
 4. Links become components by alternating star contraction.
 
 No step emits the pairs of a group or gathers a group, list or component in one task beyond
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import components, settled
-from .textcore import mix64, ranges, shingle_sets, steps
+from .textcore import STEP_BYTES, mix64, ranges, shingle_sets, squeezed, steps, unsqueezed
 
 SIZE = 5
 PERCENT = 80
@@ -114,9 +116,10 @@ def _frequent(table: pa.Table) -> pa.Table:
     keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
     n = np.bincount(back, weights=np.concatenate([c for _, c in parts]))
     some = np.flatnonzero(n > OFTEN)
-    if len(some) > HOT // BUCKETS:
+    full = len(some) <= HOT // BUCKETS
+    if not full:
         some = some[np.lexsort((some, -n[some]))[: HOT // BUCKETS]]
-    return pa.table({"data": pa.array([np.sort(keys[some]).astype("<u4").tobytes()], pa.binary())})
+    return pa.table({"data": pa.array([np.sort(keys[some]).astype("<u4").tobytes()], pa.binary()), "complete": [full]})
 
 
 def _least(n: np.ndarray) -> np.ndarray:
@@ -136,69 +139,87 @@ def _prefixes(hot):
             use &= n > 0
             doc = np.repeat(np.arange(len(n)), n)
             code = (hashes >> np.uint64(32)).astype(np.uint32)
+            if n.size and n.max() >= 1 << 24:
+                raise ValueError("a text has 2**24 shingles or more")
             place = np.minimum(np.searchsorted(frequent, code), max(len(frequent) - 1, 0))
             late = frequent[place] == code if len(frequent) else np.zeros(len(code), dtype=bool)
             order = np.lexsort((late, doc))  # stable: within a class of frequency still by hash
-            take = ranges(at[:-1][use], (n - _least(n) + 1)[use])
+            many = n - _least(n) + 1
+            rare = np.minimum(n - np.bincount(doc[late], minlength=len(n)), many)
+            ends = np.full(len(n), 0xFFFF, dtype=np.int64)
+            all_rare = (rare == many) & (n > 0)
+            ends[all_rare] = (hashes[order][(at[:-1] + many - 1)[all_rare]] >> np.uint64(48)).astype(np.int64)
+            info = (n << 40) | (rare << 16) | ends
+            take = ranges(at[:-1][use], many[use])
             row = doc[take]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[order][take].view(np.int64)), pa.array(digest[row]), pa.array(n[row].astype(np.int32))], names=["h", "c", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[order][take].view(np.int64)), pa.array(digest[row]), pa.array(info[row])], names=["h", "c", "info"])
 
     return run
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows by (h, c): a, b of the pairs of short lists; a and h of the members of long ones."""
-    rest = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+    """From rows by (h, c): the pairs a, b, with what is known of both, of short lists; a and h of the members of long ones."""
+    names = ["a", "b", "info_a", "info_b", "h"]
+    rest = [np.zeros(0, np.int64)] * 3
 
-    def emit(h, c, n):
+    def emit(h, c, info):
         keep = np.ones(len(h), dtype=bool)
         keep[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        h, c, n = h[keep], c[keep], n[keep].astype(np.int64)
+        h, c, info = h[keep], c[keep], info[keep]
+        n = info >> 40
         start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         count = np.diff(np.append(start, len(h)))
         for size in np.unique(count[(count > 1) & (count <= SHORT)]).tolist():
-            i, j = np.triu_indices(size, 1)
+            i, j = np.triu_indices(size, 1)  # classes of a list ascend
             base = start[count == size][:, None]
             i, j = (base + i).ravel(), (base + j).ravel()
             near = 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
-            a, b = c[i[near]], c[j[near]]
-            if len(a):
-                pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.int64())], names=["a", "b", "h"])
+            i, j = i[near], j[near]
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i]), pa.array(c[j]), pa.array(info[i]), pa.array(info[j]), pa.nulls(len(i), pa.int64())], names=names)
         long = ranges(start[count > SHORT], count[count > SHORT])
         if len(long):
-            yield pa.RecordBatch.from_arrays([pa.array(c[long]), pa.nulls(len(long), pa.int64()), pa.array(h[long])], names=["a", "b", "h"])
+            no = pa.nulls(len(long), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c[long]), no, no, no, pa.array(h[long])], names=names)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, c, n = (np.concatenate((r, x.to_numpy())) for r, x in zip(rest, batch.columns))
-        cut = int(np.searchsorted(h, h[-1]))
-        rest = [h[cut:], c[cut:], n[cut:]]
+        columns = [np.concatenate((r, x.to_numpy())) for r, x in zip(rest, batch.columns)]
+        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        rest = [x[cut:] for x in columns]
         if cut:
-            yield from emit(h[:cut], c[:cut], n[:cut])
+            yield from emit(*(x[:cut] for x in columns))
     if len(rest[0]):
         yield from emit(*rest)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in steps(batches):
-        hashes, at = shingle_sets(batch.column(batch.schema.get_field_index("text")), SIZE)
-        data = [hashes[i:j].astype("<u8").tobytes() for i, j in zip(at[:-1], at[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("c")), pa.array(data, pa.binary())], names=["c", "members"])
-
-
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b, x, y), with members x and y, that link."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            common = int((y[at] == x).sum())
-            keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+        names, packed = (x.to_pylist() for x in batch.columns)
+        first = 0
+        while first < len(names):
+            texts, size, last = [], 0, first
+            while last < len(names) and (not texts or size < STEP_BYTES):
+                texts.append(unsqueezed(packed[last]))
+                size += len(texts[-1])
+                last += 1
+            hashes, at = shingle_sets(pa.array(texts, pa.large_binary()), SIZE)
+            data = [hashes[i:j].astype("<u8").tobytes() for i, j in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(names[first:last], pa.int64()), pa.array(data, pa.binary())], names=["c", "members"])
+            first = last
+
+
+def _possible(lists: DataFrame, exact: bool) -> DataFrame:
+    """(a, b) of the pairs that share enough rare shingles for a link; all pairs unless the frequent ones are known in full."""
+    pairs = lists.where("h is null")
+    if not exact:
+        return pairs.select("a", "b")
+    part = lambda x: (F.shiftrightunsigned(x, 40), F.shiftrightunsigned(x, 16).bitwiseAND(F.lit((1 << 24) - 1)), F.col(x).bitwiseAND(F.lit(0xFFFF)))
+    (n, rare_n, end_n), (m, rare_m, end_m) = part("info_a"), part("info_b")
+    need = F.floor((PERCENT * (n + m) + 99 + PERCENT) / (100 + PERCENT))
+    by_a, by_b = rare_n - F.col("common") <= n - need, rare_m - F.col("common") <= m - need
+    return pairs.where(((end_n <= end_m) & by_a) | ((end_m <= end_n) & by_b)).select("a", "b")
 
 
 def divide_skip(sets: list[np.ndarray], left: np.ndarray, same: bool) -> list[tuple[int, int]]:
@@ -259,29 +280,28 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     profile = settled(docs.mapInArrow(_profile, "bucket int, data binary, counts binary"))
     members = profile.where("bucket < 0").select("data").mapInArrow(_unpack_members, "doc_id long, n long, c long")
     members = settled(members.withColumn("c", F.when(F.col("n") > 0, F.col("c"))))
-    found = profile.where("bucket >= 0").groupBy("bucket").applyInArrow(_frequent, "data binary").collect()  # HOT numbers at most
+    found = profile.where("bucket >= 0").groupBy("bucket").applyInArrow(_frequent, "data binary, complete boolean").collect()  # HOT numbers at most
     frequent = np.sort(np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(r["data"], "<u4") for r in found)]))
+    exact = OFTEN <= SHORT and all(r["complete"] for r in found)
     hot = spark.sparkContext.broadcast(frequent)
-    prefixes = docs.mapInArrow(_prefixes(hot), "h long, c long, n int")
+    prefixes = docs.mapInArrow(_prefixes(hot), "h long, c long, info long")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    lists = settled(prefixes.repartition(parts, "h").sortWithinPartitions("h", "c").mapInArrow(_lists, "a long, b long, h long").distinct())
-    pairs = lists.where("h is null").select("a", "b")
+    found = prefixes.repartition(parts, "h").sortWithinPartitions("h", "c").mapInArrow(_lists, "a long, b long, info_a long, info_b long, h long")
+    # One pass over the lists: counts of pairs, and (a, null, h) of long ones.
+    lists = settled(found.groupBy("a", "b", "h").agg(F.count(F.lit(1)).alias("common"), F.first("info_a").alias("info_a"), F.first("info_b").alias("info_b")))
     dense = lists.where("h is not null").select(F.col("a").alias("c"), "h")
-
-    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).union(dense.select("c")).distinct()
-    which = members.where("c is not null and doc_id is not null").groupBy("c").agg(F.min("doc_id").alias("w_id")).join(wanted, "c")
-    sets = settled(docs.join(which, F.col("doc_id") == F.col("w_id")).select("c", "text").dropDuplicates(["c"]).mapInArrow(_sets, "c long, members binary"))
-
-    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("members").alias("y")), "b")
-    links = both.select("a", "b", "x", "y").mapInArrow(_links, "a long, b long")
-
     low = dense.groupBy("h").agg(F.min("c").alias("b"))
-    group = components(dense.join(low, "h").select(F.col("c").alias("a"), "b").distinct())
+    ties = _possible(lists, exact).union(dense.join(low, "h").select(F.col("c").alias("a"), "b"))
+    group = settled(components(ties))
+
+    which = members.where("c is not null and doc_id is not null").groupBy("c").agg(F.min("doc_id").alias("w_id"))
+    which = which.join(group.select(F.col("id").alias("c")), "c").groupBy("w_id").agg(F.first("c").alias("c"))
+    sets = squeezed(docs).join(which, F.col("doc_id") == F.col("w_id")).select("c", "z").mapInArrow(_sets, "c long, members binary")
     blocks = group.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
     dealt = group.join(blocks, "component").select(F.col("id").alias("c"), "component", "k", F.pmod(F.xxhash64("id"), F.col("k")).cast("int").alias("block"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     cells = dealt.join(sets, "c").select("component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "c", "block", "members")
-    links = links.union(cells.groupBy("component", "one", "two").applyInArrow(_search, "a long, b long"))
+    links = cells.groupBy("component", "one", "two").applyInArrow(_search, "a long, b long")
     return members, links
 
 
