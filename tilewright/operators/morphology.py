@@ -27,10 +27,10 @@ def dilate(flags: DataFrame, size: int, height: int, width: int) -> DataFrame:
     return grown.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1)).distinct()
 
 
-def erode(flags: DataFrame, size: int, height: int, width: int) -> DataFrame:
-    """(tile_id, y, x) whose whole neighbourhood within the image is flagged."""
-    before, after = square(size)
-    seen = neighbourhood(flags.select(*BY, "y", "x"), after, before, after, before).groupBy(*BY, "y", "x").agg(F.count(F.lit(1)).alias("n"))
+def erode(flags: DataFrame, size: int, height: int, width: int, mirrored: bool = False) -> DataFrame:
+    """(tile_id, y, x) whose whole neighbourhood within the image is flagged; mirrored: of an even square, the other way round."""
+    before, after = square(size)[::-1] if mirrored else square(size)
+    seen = neighbourhood(flags.select(*BY, "y", "x"), before, after, before, after).groupBy(*BY, "y", "x").agg(F.count(F.lit(1)).alias("n"))
     inside = lambda c, n: F.least(F.col(c) + after, F.lit(n - 1)) - F.greatest(F.col(c) - before, F.lit(0)) + 1
     whole = seen.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1) & (F.col("n") == inside("y", height) * inside("x", width)))
     return whole.select(*BY, "y", "x").join(flags.select(*BY, "y", "x"), [*BY, "y", "x"], "left_semi")
@@ -38,7 +38,7 @@ def erode(flags: DataFrame, size: int, height: int, width: int) -> DataFrame:
 
 def close(flags: DataFrame, size: int, height: int, width: int) -> DataFrame:
     """Dilation, then erosion: what growing and shrinking a polygon outline approximates."""
-    return erode(dilate(flags, size, height, width), size, height, width)
+    return erode(dilate(flags, size, height, width), size, height, width, mirrored=True)
 
 
 def box_mean(pixels: DataFrame, size: int, v: str = "v") -> DataFrame:
@@ -53,7 +53,7 @@ def box_mean(pixels: DataFrame, size: int, v: str = "v") -> DataFrame:
 def median(pixels: DataFrame, size: int, height: int, width: int, v: str = "v") -> DataFrame:
     """Median over the square around each pixel, truncated at borders."""
     before, after = square(size)
-    seen = neighbourhood(pixels, after, before, after, before)
+    seen = neighbourhood(pixels, before, after, before, after)
     return seen.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1)).groupBy(*BY, "y", "x").agg(F.percentile(v, 0.5).alias(v))
 
 

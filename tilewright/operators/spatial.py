@@ -86,4 +86,4 @@ def merge_touching(boxes: DataFrame, key: str, cell: float, by: list[str] = [])
             root[max(i, j)] = min(i, j)
         return pd.DataFrame({key: list(root), "component": [find(i) for i in root]})
 
-    return pairs.groupBy(*(by or [F.lit(0)])).applyInPandas(run, f"{key} long, component long")
+    return pairs.groupBy(*by).applyInPandas(run, f"{key} long, component long")

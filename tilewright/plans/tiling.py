@@ -229,9 +229,9 @@ def binary_dilation(spark, d):
     return morphology.dilate(_flags(spark, d), 3, D.SIDE, D.SIDE)
 
 
-@query("binary_erosion", f"WITH {_FLAGS} SELECT tile_id, y, x FROM flags f WHERE (SELECT count(*) FROM flags g WHERE g.tile_id = f.tile_id AND abs(g.y - f.y) <= 1 AND abs(g.x - f.x) <= 1) = (least(f.y + 1, 7) - greatest(f.y - 1, 0) + 1) * (least(f.x + 1, 7) - greatest(f.x - 1, 0) + 1)")
+@query("binary_erosion", f"WITH {_FLAGS.replace('0.15', '-0.12')} SELECT tile_id, y, x FROM flags f WHERE (SELECT count(*) FROM flags g WHERE g.tile_id = f.tile_id AND abs(g.y - f.y) <= 1 AND abs(g.x - f.x) <= 1) = (least(f.y + 1, 7) - greatest(f.y - 1, 0) + 1) * (least(f.x + 1, 7) - greatest(f.x - 1, 0) + 1)")
 def binary_erosion(spark, d):
-    return morphology.erode(_flags(spark, d), 3, D.SIDE, D.SIDE)
+    return morphology.erode(morphology.run_flags(D.pixels(spark, d), F.col("v") > -0.12), 3, D.SIDE, D.SIDE)
 
 
 @query("median_blur3", f"WITH {D.PIXELS} SELECT a.tile_id, a.y, a.x, median(b.v) AS v FROM pixels a JOIN pixels b ON a.tile_id = b.tile_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY a.tile_id, a.y, a.x")
