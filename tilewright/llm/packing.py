@@ -30,6 +30,8 @@ from .textcore import prefix_hash, ranges, span_hash, spans_of, steps
 SEQUENCE = 1024
 CLOSING = 2
 GROUP_DOCS = 16384
+#: Pieces of at least this share of a sequence are placed first.
+LONG = 0.3
 TOKENIZER = "byte_bpe_50k.json"
 #: Cached words of one Python worker; the cache is emptied when it is full.
 CACHED_WORDS = 1_500_000
@@ -236,7 +238,9 @@ def pack(pieces: DataFrame, groups: int, sequence: int = SEQUENCE) -> DataFrame:
         group = table.column("group")[0].as_py() if table.num_rows else 0
         at, offset = np.arange(len(lengths)), np.zeros(len(lengths), dtype=np.int64)
         part = np.flatnonzero(lengths < sequence)
-        order = part[np.argsort(-lengths[part], kind="stable")]
+        # Long ones first, by length; the others mixed, which leaves the rule gaps of every size to work with.
+        long, rest = part[lengths[part] >= LONG * sequence], part[lengths[part] < LONG * sequence]
+        order = np.concatenate((long[np.argsort(-lengths[long], kind="stable")], np.random.default_rng(group).permutation(rest)))
         seq, off = sum_of_squares(lengths[order], sequence)
         at[order], offset[order] = seq + len(lengths), off
         return table.drop_columns("group").append_column("sequence_id", pa.array(at + (group << 32), pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
