@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import statistics, tiling
+from . import serving, statistics, tiling
 
-QUERIES = {**statistics.Q, **tiling.Q}
-SQL = {**statistics.SQL, **tiling.SQL}
+QUERIES = {**statistics.Q, **tiling.Q, **serving.Q}
+SQL = {**statistics.SQL, **tiling.SQL, **serving.SQL}
 FLAGSHIP = QUERIES["anomaly_flag_counts"]
