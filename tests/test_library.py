@@ -185,7 +185,7 @@ def test_region_areas(spark):
     p, q = inside(a), inside(b)
     assert got == pytest.approx([m.mean() * 64 for m in (p, q, p & q)], rel=5e-3)
     df = spark.createDataFrame([("s", f, k, [tuple(map(float, pt)) for pt in ring]) for f, polys in ((False, a), (True, b)) for k, rings in enumerate(polys) for ring in rings], "slide string, annotated boolean, polygon_id int, ring array<struct<x double, y double>>")
-    r = scoring.derived_metrics(scoring.area_confusion(spatial.region_areas(df, "slide").withColumn("slide_area", F.lit(64.0)), "common", "predicted", "annotated", "slide_area")).first()
+    r = scoring.derived_metrics(scoring.area_confusion(spatial.region_areas(df, "slide", 3.0).withColumn("slide_area", F.lit(64.0)), "common", "predicted", "annotated", "slide_area")).first()
     assert r["tp"] + r["fp"] + r["fn"] + r["tn"] == pytest.approx(64) and r["iou"] == pytest.approx(got[2] / (got[0] + got[1] - got[2]))
 
 

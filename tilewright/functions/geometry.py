@@ -176,3 +176,22 @@ def slab_areas(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[float, float,
             depth[who[0]] += 1 if inside[who] else -1
             last = x[k]
     return total[0], total[1], total[2]
+
+
+def clip_ring(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
+    """The part of a polygon within a box, one side after another; parts may be joined by edges without area."""
+    for axis, bound, sign in ((0, x0, 1.0), (0, x1, -1.0), (1, y0, 1.0), (1, y1, -1.0)):
+        if not len(ring):
+            break
+        nxt = np.roll(ring, -1, axis=0)
+        here, there = sign * (ring[:, axis] - bound), sign * (nxt[:, axis] - bound)
+        out = []
+        for p, q, a, b in zip(ring, nxt, here, there):
+            if a >= 0:
+                out.append(p)
+            if (a >= 0) != (b >= 0):
+                cut = p + (q - p) * (a / (a - b))
+                cut[axis] = bound
+                out.append(cut)
+        ring = np.array(out).reshape(-1, 2)
+    return ring

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import _points, slab_areas
+from ..functions.geometry import _points, bounds, clip_ring, slab_areas
 
 BOX = ("x0", "y0", "x1", "y1")
 
@@ -49,22 +49,29 @@ def box_overlap(pairs: DataFrame) -> DataFrame:
     return rows.withColumn("iou", F.when(F.col("union") == 0, 0.0).otherwise(F.col("inter") / F.col("union")))
 
 
-def region_areas(polygons: DataFrame, by: str) -> DataFrame:
-    """by, predicted, annotated, common: exact areas of the unions of polygons, one task for each `by`.
+def region_areas(polygons: DataFrame, by: str, cell: float) -> DataFrame:
+    """by, predicted, annotated, common: exact areas of the unions of polygons.
 
     polygons: by, annotated (boolean), polygon_id, ring; rings of one polygon_id are combined even-odd, so holes count.
+    Rings are dealt to the grid cells that their bounds touch and clipped there; a task sees one cell, and areas add up.
     """
+    b = bounds("ring")
+    span = lambda lo, hi: F.sequence(F.floor(lo / cell), F.floor(hi / cell))
+    dealt = polygons.where(F.size("ring") > 2).select(by, "annotated", "polygon_id", "ring", b.alias("_b"))
+    dealt = dealt.withColumn("cx", F.explode(span(F.col("_b.x0"), F.col("_b.x1")))).withColumn("cy", F.explode(span(F.col("_b.y0"), F.col("_b.y1")))).drop("_b")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = float(key[1]) * cell, float(key[2]) * cell
         sides = []
         for flag in (False, True):
             own = pdf[pdf["annotated"] == flag]
-            sides.append([[_points(r) for r in g] for _, g in own.groupby("polygon_id")["ring"]])
-        a, b, both = slab_areas(*sides)
+            sides.append([[clip_ring(_points(r), x, y, x + cell, y + cell) for r in g] for _, g in own.groupby("polygon_id")["ring"]])
+        a, b, both = slab_areas(*[[[r for r in p if len(r)] for p in s] for s in sides])
         return pd.DataFrame({by: [key[0]], "predicted": [a], "annotated": [b], "common": [both]})
 
     kind = dict(polygons.dtypes)[by]
-    return polygons.select(by, "annotated", "polygon_id", "ring").groupBy(by).applyInPandas(run, f"{by} {kind}, predicted double, annotated double, common double")
+    parts = dealt.groupBy(by, "cx", "cy").applyInPandas(run, f"{by} {kind}, predicted double, annotated double, common double")
+    return parts.groupBy(by).agg(*[F.sum(c).alias(c) for c in ("predicted", "annotated", "common")])
 
 
 def merge_touching(boxes: DataFrame, key: str, cell: float, by: list[str] = []) -> DataFrame:

@@ -66,9 +66,9 @@ def class_filter_padded(spark, d):
     return serving.padded(D.pixels(spark, d).where("label = 1").select("tile_id", "y", "x", "v"), 2)
 
 
-@query("repeat_epochs", "SELECT vec_id, e::INTEGER AS epoch FROM embeddings, (SELECT unnest([0, 1, 2]) AS e) WHERE label = 3")
+@query("repeat_epochs", "SELECT vec_id, e::INTEGER AS epoch FROM embeddings, (SELECT unnest([0, 1, 2]) AS e)")
 def repeat_epochs(spark, d):
-    return serving.epochs(D.table(spark, d, "embeddings").where("label = 3").select("vec_id"), 3)
+    return serving.epochs(D.table(spark, d, "embeddings").select("vec_id"), 3)
 
 
 @query("role_split", "WITH a AS (SELECT vec_id, ('0x' || substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT % 10 AS k FROM embeddings) SELECT vec_id, CASE WHEN k < 6 THEN 'reconstruct' WHEN k < 8 THEN 'fit' ELSE 'threshold' END AS role FROM a")

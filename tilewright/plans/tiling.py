@@ -175,14 +175,14 @@ def rect_area_iou(spark, d):
     return spatial.box_overlap(pairs).select(F.col("l_event_id").alias("l"), F.col("r_event_id").alias("r"), "inter", "union", "iou")
 
 
-@query("region_area_algebra", f"""WITH {D.BOXES}, f AS (SELECT event_type, event_id % 2 = 1 AS a, x0, y0, x1, y1 FROM boxes WHERE x0 < 600),
+@query("region_area_algebra", f"""WITH {D.BOXES}, f AS (SELECT event_type, event_id % 2 = 1 AS a, x0, y0, x1, y1 FROM boxes),
 c AS (SELECT DISTINCT event_type, a, cx, cy FROM f, LATERAL (SELECT unnest(range(x0, x1)) AS cx) u, LATERAL (SELECT unnest(range(y0, y1)) AS cy) w),
 s AS (SELECT event_type, cx, cy, bool_or(NOT a) AS p, bool_or(a) AS t FROM c GROUP BY ALL)
 SELECT event_type, (count(*) FILTER (p))::DOUBLE AS predicted, (count(*) FILTER (t))::DOUBLE AS annotated, (count(*) FILTER (p AND t))::DOUBLE AS common FROM s GROUP BY event_type""")
 def region_area_algebra(spark, d):
-    b = D.boxes(spark, d).where("x0 < 600")
+    b = D.boxes(spark, d)
     rings = b.select("event_type", (F.col("event_id") % 2 == 1).alias("annotated"), F.col("event_id").alias("polygon_id"), G.rectangle("x0", "y0", "x1", "y1").alias("ring"))
-    out = spatial.region_areas(rings, "event_type")
+    out = spatial.region_areas(rings, "event_type", 128.0)
     return out.select("event_type", *[F.round(c, 6).alias(c) for c in ("predicted", "annotated", "common")])
 
 
@@ -267,7 +267,7 @@ def anomaly_polygons(spark, d):
     return rows.select("slide_uuid", "partition_number", F.size("segment").alias("points"), F.round(G.area("segment") * 1e12, 6).alias("square_microns"))
 
 
-@query("tiled_inpainting_mask", f"WITH {D.PIXELS} SELECT turn::INTEGER AS turn, tile_id, y, x, CASE WHEN (y // 2 * 4 + x // 2) % 3 = turn THEN -1.0 ELSE v END AS v FROM pixels, (SELECT unnest(range(0, 3)) AS turn) WHERE tile_id % 4 = tile_id % 4")
+@query("tiled_inpainting_mask", f"WITH {D.PIXELS} SELECT turn::INTEGER AS turn, tile_id, y, x, CASE WHEN (y // 2 * 4 + x // 2) % 3 = turn THEN -1.0 ELSE v END AS v FROM pixels, (SELECT unnest(range(0, 3)) AS turn)")
 def tiled_inpainting_mask(spark, d):
     return scoring.tiled_inpainting(D.pixels(spark, d), 2, D.SIDE, 3).select("turn", "tile_id", "y", "x", "v")
 
@@ -294,16 +294,23 @@ def mask_block_sizes(spark, d):
     return spark.createDataFrame(list(enumerate(scoring.mask_blocks(52))), "k int, size int")
 
 
-@query("upsert_if_absent", "WITH t AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0), s AS (SELECT o_orderkey, o_totalprice + 1.0 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0) SELECT * FROM t UNION ALL SELECT * FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)")
+def _orders(spark, d):
+    """A table, orders not filled, and new rows for it, large orders at another price."""
+    o = D.table(spark, d, "orders")
+    columns = ["o_orderkey", "o_totalprice"]
+    return o.where("o_orderstatus <> 'F'").select(columns), o.where("o_totalprice > 150000").select(columns).withColumn("o_totalprice", F.col("o_totalprice") + 1.0)
+
+
+@query("upsert_if_absent", "WITH t AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'), s AS (SELECT o_orderkey, o_totalprice + 1.0 AS o_totalprice FROM orders WHERE o_totalprice > 150000) SELECT * FROM t UNION ALL SELECT * FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)")
 def upsert_if_absent(spark, d):
-    o = D.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return store.insert_absent(o.where("o_orderkey % 3 <> 0"), o.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1.0), "o_orderkey")
+    target, source = _orders(spark, d)
+    return store.insert_absent(target, source, "o_orderkey")
 
 
-@query("delete_then_insert", "WITH t AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0), s AS (SELECT o_orderkey, o_totalprice + 1.0 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0) SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s")
+@query("delete_then_insert", "WITH t AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'), s AS (SELECT o_orderkey, o_totalprice + 1.0 AS o_totalprice FROM orders WHERE o_totalprice > 150000) SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s")
 def delete_then_insert(spark, d):
-    o = D.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return store.delete_insert(o.where("o_orderkey % 3 <> 0"), o.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1.0), "o_orderkey")
+    target, source = _orders(spark, d)
+    return store.delete_insert(target, source, "o_orderkey")
 
 
 @query("hash_partition", "SELECT c_custkey, ('0x' || substr(md5(c_name), 1, 8))::BIGINT % 4000 AS partition_number FROM customer")
