@@ -164,7 +164,7 @@ def _runs(k: int):
             raw, offsets = spans_of(batch.column(1))
             start, n, key, digest = runs_of(raw, offsets, k)
             doc = np.searchsorted(offsets, start, side="right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(digest), ids.take(pa.array(doc)), pa.array(((start - offsets[doc]) << 8) | n)], names=["key", "digest", "doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(digest), ids.take(pa.array(doc)), pa.array(((start - offsets[doc]) << 15) | n)], names=["key", "digest", "doc_id", "place"])
 
     return run
 
@@ -178,18 +178,18 @@ def _runs_again(k: int):
             start, n, key, digest = runs_of(raw, offsets, k)
             doc = np.searchsorted(offsets, start, side="right") - 1
             base = batch.column(1).to_numpy()[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(digest), batch.column(0).take(pa.array(doc)), pa.array(((start - offsets[doc] + base) << 8) | n)], names=["key", "digest", "doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(digest), batch.column(0).take(pa.array(doc)), pa.array(((start - offsets[doc] + base) << 15) | ((start - offsets[doc]) << 8) | n)], names=["key", "digest", "doc_id", "place"])
 
     return run
 
 
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs by (key, digest): doc_id, start, size of covered spans (key null), and of strings to compare, with key and whether it is crowded."""
+    """From runs by (key, digest): doc_id, start, size of covered spans (key null), and of strings to compare, with key, whether it is crowded and the place in the string it was cut from."""
     rest = [np.zeros(0, np.int64)] * 4
-    names = ["doc_id", "start", "size", "key", "crowded"]
+    names = ["doc_id", "start", "size", "key", "crowded", "inset"]
 
     def emit(key, digest, doc, place):
-        start, n, inner = place >> 8, place & 127, place & 128 > 0
+        start, n, inner = place >> 15, place & 127, place & 128 > 0
         head = np.concatenate(([True], (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])))
         first = np.flatnonzero(head)
         count = np.diff(np.append(first, len(key)))
@@ -199,11 +199,11 @@ def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = np.repeat(kinds, kinds)
         size = n + WIDTH - 1
         some = np.flatnonzero(twice)
-        yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(start[some]), pa.array(size[some]), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.bool_())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(start[some]), pa.array(size[some]), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.bool_()), pa.nulls(len(some), pa.int64())], names=names)
         ask = (kinds > 1) | ((count == 1) & inner[first])
         one = first[ask]
         if len(one):
-            yield pa.RecordBatch.from_arrays([pa.array(doc[one]), pa.array(start[one]), pa.array(size[one]), pa.array(key[one]), pa.array(kinds[ask] > CROWD)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(doc[one]), pa.array(start[one]), pa.array(size[one]), pa.array(key[one]), pa.array(kinds[ask] > CROWD), pa.array((place[one] >> 8) & 127)], names=names)
 
     for batch in batches:
         if not batch.num_rows:
@@ -217,7 +217,7 @@ def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit(*rest)
 
 
-FOUND = "doc_id long, start long, size long, key long, crowded boolean"
+FOUND = "doc_id long, start long, size long, key long, crowded boolean, inset long"
 
 
 def _found(runs: DataFrame, parts: int) -> DataFrame:
@@ -227,14 +227,15 @@ def _found(runs: DataFrame, parts: int) -> DataFrame:
 def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         doc, start, key, crowded, data = [], [], [], [], []
-        for d, z, wanted in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            text = unsqueezed(z)
+        for d, base, z, wanted in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            text = unsqueezed(z) if base is None else z
+            base = base or 0
             for w in wanted:
                 doc.append(d)
                 start.append(w["start"])
                 key.append(w["key"])
                 crowded.append(w["crowded"])
-                data.append(text[w["start"] : w["start"] + w["size"]])
+                data.append(text[w["start"] - base : w["start"] - base + w["size"]])
         yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(data, pa.binary()), pa.array(key, pa.int64()), pa.array(crowded, pa.bool_())], names=["doc_id", "start", "string", "key", "crowded"])
 
 
@@ -276,12 +277,17 @@ def covered_spans(docs: DataFrame) -> DataFrame:
         asked = found.where("key is not null")
         if k == WIDTH:
             break
-        wanted = asked.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "key", "crowded")).alias("wanted"))
-        cut = "doc_id long, start long, string binary, key long, crowded boolean"
-        strings = settled(squeezed(docs).join(wanted, "doc_id").select("doc_id", "z", "wanted").mapInArrow(_cut_strings, cut))
+        whole = strings is None
+        wanted = asked.withColumn("base", F.lit(None).cast("long") if whole else F.col("start") - F.col("inset"))
+        wanted = wanted.groupBy("doc_id", "base").agg(F.collect_list(F.struct("start", "size", "key", "crowded")).alias("wanted"))
+        if whole:  # cut from texts
+            source = squeezed(docs).join(wanted, "doc_id").select("doc_id", "base", "z", "wanted")
+        else:  # cut from the strings of crowded keys
+            source = crowd.withColumnsRenamed({"start": "base", "string": "z"}).join(wanted, ["doc_id", "base"]).select("doc_id", "base", "z", "wanted")
+        strings = settled(source.mapInArrow(_cut_strings, "doc_id long, start long, string binary, key long, crowded boolean"))
         quiet = strings.where("not crowded").select("key", "doc_id", "start", "string").repartition(parts, "key").sortWithinPartitions("key")
         spans = spans.union(quiet.mapInArrow(_compare, "doc_id long, start long, size long"))
-        crowd = strings.where("crowded").select("doc_id", "start", "string")
+        crowd = strings.where("crowded").select("doc_id", "start", "string").dropDuplicates(["doc_id", "start"])
         if crowd.isEmpty():
             break
         runs = crowd.mapInArrow(_runs_again(LEVELS[level + 1]), "key long, digest long, doc_id long, place long")
