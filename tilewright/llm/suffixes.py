@@ -41,7 +41,7 @@ from .textcore import POWERS, mix64, prefix_hash, ranges, span_hash, spans_of, s
 
 WIDTH = 200
 LEVELS = (100, 150, 180, 194, 200)
-COLLECTION = 2048
+COLLECTION = 512
 CROWD = 1024
 
 
@@ -105,13 +105,15 @@ def repeated_windows(strings: list[bytes], width: int = WIDTH) -> list[np.ndarra
     out = [np.zeros(max(0, n - width + 1), dtype=bool) for n in size.tolist()]
     if longest < width or m == 0:
         return out
-    column = np.zeros((longest + 2, m), dtype=np.int16)  # symbols from the right; 0 once a string has ended
-    flat = np.frombuffer(b"".join(s[::-1] for s in strings), dtype=np.uint8).astype(np.int16) + 1
+    # Symbols from the right, as ranks of the bytes that occur; 0 once a string has ended.
+    flat = np.frombuffer(b"".join(s[::-1] for s in strings), dtype=np.uint8)
+    occurs = np.bincount(flat, minlength=256) > 0
+    small = np.uint8 if occurs.sum() < 256 else np.uint16
     owner = np.repeat(np.arange(m), size)
-    column[np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size), owner] = flat
+    column = np.zeros((longest + 2, m), dtype=small)
+    column[np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size), owner] = np.cumsum(occurs)[flat].astype(small)
     bwt = column[0].copy()
     lcp = np.zeros(m, dtype=np.int16)
-    code = np.arange(m, dtype=np.int64) * (longest + 1)  # string and suffix length
     newest, who = np.arange(m), np.arange(m)
     for j in range(1, longest + 1):
         alive = bwt[newest] > 0
@@ -120,9 +122,9 @@ def repeated_windows(strings: list[bytes], width: int = WIDTH) -> list[np.ndarra
             break
         n = len(bwt)
         order = np.argsort(bwt, kind="stable")
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.arange(n)
-        ended = int(np.searchsorted(bwt[order[: m + 1]], 1)) if bwt[order[0]] == 0 else 0
+        rank = np.empty(n, dtype=np.int32)
+        rank[order] = np.arange(n, dtype=np.int32)
+        ended = n - int(np.count_nonzero(bwt))
         r = rank[newest]
         by = np.argsort(r)
         newest, who, r = newest[by], who[by], r[by]
@@ -138,20 +140,25 @@ def repeated_windows(strings: list[bytes], width: int = WIDTH) -> list[np.ndarra
                 edges = np.stack([low[has] + 1, high[has] + 1], axis=1).ravel()
                 value[has] = np.minimum.reduceat(padded, edges)[::2] + 1
         place = r - ended + m
-        size_new = n + len(r)
-        old = np.ones(size_new, dtype=bool)
+        old = np.ones(n + len(r), dtype=bool)
         old[place] = False
-        nxt_bwt, nxt_lcp, nxt_code = np.empty(size_new, np.int16), np.empty(size_new, np.int16), np.empty(size_new, np.int64)
-        nxt_bwt[old], nxt_lcp[old], nxt_code[old] = bwt, lcp, code
-        nxt_bwt[place], nxt_code[place] = column[j][who], who * (longest + 1) + j
-        follow = place[has_after] + 1
-        nxt_lcp[follow] = down[has_after]  # a new follower's own value, the same, is written next
+        nxt_bwt, nxt_lcp = np.empty(n + len(r), small), np.empty(n + len(r), np.int16)
+        nxt_bwt[old], nxt_lcp[old] = bwt, lcp
+        nxt_bwt[place] = column[j][who]
+        nxt_lcp[place[has_after] + 1] = down[has_after]  # a new follower's own value, the same, is written next
         nxt_lcp[place] = up
-        bwt, lcp, code, newest = nxt_bwt, nxt_lcp, nxt_code, place
+        bwt, lcp, newest = nxt_bwt, nxt_lcp, place
     near = np.maximum(lcp, np.append(lcp[1:], np.int16(0))) >= width
-    string, suffix = np.divmod(code[near], longest + 1)
-    for s, length in zip(string.tolist(), suffix.tolist()):
-        out[s][size[s] - length] = True
+    # Places of all suffixes, from the shortest: stepping from one to the next is counting symbols before it.
+    step = np.empty(len(bwt), dtype=np.int64)
+    step[np.argsort(bwt, kind="stable")] = np.arange(len(bwt)) - (len(bwt) - int(np.count_nonzero(bwt))) + m
+    at = np.arange(m)
+    for length in range(1, longest + 1):
+        alive = np.flatnonzero(size >= length)
+        at[alive] = step[at[alive]]
+        if length >= width:
+            for k in alive[near[at[alive]]].tolist():
+                out[k][size[k] - length] = True
     return out
 
 
