@@ -163,12 +163,15 @@ def test_chunks(docs, rows):
     for d, text, *_ in rows:
         b = (text or "").encode()
         ends = chunks.cuts(np.frombuffer(b, np.uint8))
-        gone = []
+        runs, row = [], []
         for k, (i, j) in enumerate(zip([0, *ends], ends)):
             assert j - i >= chunks.LEAST or len(ends) == 1
             if b[i:j] in seen:
-                gone.append((k, j - i))
+                row.append((k, j - i))
+            elif row:
+                runs, row = [*runs, row], []
             seen.add(b[i:j])
+        gone = [x for row in [*runs, row] for x in row if sum(n for _, n in row) >= chunks.RUN or len(row) == len(ends)]
         want[d] = (len(b), sum(n for _, n in gone), len(gone), [k for k, _ in gone])
     assert got(chunks.removed(docs)) == want
     left = {r["doc_id"]: r["text"] for r in chunks.dedup_texts(docs).collect()}
@@ -452,3 +455,17 @@ def test_pipeline_stages(spark, sf_dir):
     assert Counter(r["doc_id"] for r in last if r["piece"] == 0) == Counter({d: n for d, n in plan.items() if n})
     run = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in run) == sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in last)
+
+
+def test_null_and_repeated_ids(spark):
+    text = words(80, 1)
+    rows = [(None, text), (None, None), (1, text), (1, text), (2, text + " end"), (3, None), (3, "")]
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in rows], SCHEMA)
+    ids = Counter(d for d, _ in rows)
+    for out in (ngramjoin.join_components(docs), suffixes.dedup(docs), chunks.removed(docs), secrets.scan(docs), mixing.mix(docs), langid.identify(docs, langid.learn(docs))):
+        assert Counter(r["doc_id"] for r in out.collect()) == ids
+    comp = {r["doc_id"]: r["component_id"] for r in ngramjoin.join_components(docs).collect() if r["n_shingles"] and r["doc_id"]}
+    assert comp == {1: 1, 2: 1}
+    assert Counter(r["doc_id"] for r in packing.pack_documents(docs).where("piece = 0").collect()) == ids
+    assert Counter(r["doc_id"] for r in quality.judge(docs, quality.Chain()).collect()) == ids
+    assert {r["doc_id"] for r in ngramjoin.one_of_each(docs).collect()} == {None, 1, 3}

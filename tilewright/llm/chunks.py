@@ -4,7 +4,8 @@ A 32-bit gear hash (shift by one and add the byte's code) runs over the bytes of
 forgets what is 32 bytes back, so an insertion moves no cut further on. A chunk ends where
 the hash's top bits are zero, at LEAST bytes at the earliest and MOST at the latest; a last
 chunk shorter than LEAST joins the one before. Chunks are compared by a 128-bit digest of
-their bytes; the first one by (doc_id, place) stays, every other is removed.
+their bytes; the first one by (doc_id, place) stays. Others are removed where they follow each
+other over RUN bytes or make up a whole text: a few common words in a row are no repetition.
 
 Only digests, places and lengths are shuffled. Digests are counted with partial aggregation
 first, and only those met twice are joined back, so a chunk that a third of all documents
@@ -22,16 +23,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import settled
 from .textcore import BYTE_CODE, spans_of, steps
 
-LEAST = 40
+LEAST = 24
 MOST = 1024
+#: Repeated chunks in a row count from so many bytes.
+RUN = 100
 #: A cut has this many leading zero bits: one byte in 2 ** BITS ends a chunk.
-BITS = 5
+BITS = 4
 GEAR = (BYTE_CODE >> np.uint64(32)).astype(np.uint32)
 
 
@@ -74,8 +76,8 @@ def cuts(raw: np.ndarray, least: int = LEAST, most: int = MOST, bits: int = BITS
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
-    """doc_id, place, length, d1, d2 of every chunk."""
-    schema = "doc_id long, place int, length int, d1 long, d2 long"
+    """doc_id, mark, length, d1, d2 of every chunk; mark: twice its place, and 1 more for the last one of a text."""
+    schema = "doc_id long, mark int, length int, d1 long, d2 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -91,11 +93,13 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                     lengths.append(at - last)
                     last = at
             row = np.repeat(np.arange(len(counts)), counts)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) if len(row) else row
+            counts = np.array(counts, dtype=np.int64)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            mark = 2 * place + (place == counts[row] - 1)
             d = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())).cast(pa.int64()), pa.array(place, pa.int32()), pa.array(lengths, pa.int32()), pa.array(d[:, 0]), pa.array(d[:, 1])],
-                names=["doc_id", "place", "length", "d1", "d2"])
+                [batch.column(0).take(pa.array(row, pa.int64())).cast(pa.int64()), pa.array(mark, pa.int32()), pa.array(lengths, pa.int32()), pa.array(d[:, 0]), pa.array(d[:, 1])],
+                names=["doc_id", "mark", "length", "d1", "d2"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -103,9 +107,15 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 def duplicate_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, place, length of every chunk to remove."""
     chunks = chunk_table(docs)
-    first = chunks.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("first")).where("n > 1").drop("n")
-    again = chunks.join(first, ["d1", "d2"]).where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))))
-    return again.select("doc_id", "place", "length")
+    first = chunks.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "mark")).alias("first")).where("n > 1").drop("n")
+    again = chunks.join(first, ["d1", "d2"]).where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))))
+    again = again.select("doc_id", F.shiftright("mark", 1).alias("place"), (F.col("mark") % 2).alias("last"), "length")
+    # Chunks in a row have places that rise with their ranks.
+    again = again.withColumn("row", F.col("place") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("place")))
+    same = Window.partitionBy("doc_id", "row")
+    whole = (F.min("place").over(same) == 0) & (F.max("last").over(same) == 1)
+    again = again.withColumn("gone", whole | (F.sum("length").over(same) >= RUN))
+    return again.where("gone").select("doc_id", "place", "length")
 
 
 def removed(docs: DataFrame) -> DataFrame:
