@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -97,15 +99,26 @@ def label_image(y: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _images(rows: DataFrame, *columns: str) -> DataFrame:
+    """One row for each image with its pixels as arrays in equal order; an image's size is bounded."""
+    gathered = rows.groupBy(*BY).agg(F.collect_list(F.struct(*columns)).alias("_p"))
+    return gathered.select(*BY, *[F.col(f"_p.{c}").alias(c) for c in columns])
+
+
 def components(flags: DataFrame) -> DataFrame:
-    """tile_id, y, x, label of flagged pixels; labels count from 0 in order of a component's first pixel. One image is one task."""
+    """tile_id, y, x, label of flagged pixels; labels count from 0 in order of a component's first pixel."""
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = label_image(pdf["y"].to_numpy(), pdf["x"].to_numpy())
-        return pdf.assign(label=np.unique(found, return_inverse=True)[1])
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            out = []
+            for tile, y, x in zip(pdf["tile_id"], pdf["y"], pdf["x"]):
+                label = np.unique(label_image(np.asarray(y), np.asarray(x)), return_inverse=True)[1]
+                out.append(pd.DataFrame({"tile_id": tile, "y": y, "x": x, "label": label}))
+            if out:
+                yield pd.concat(out)
 
     schema = flags.select(*BY, "y", "x").withColumn("label", F.lit(0).cast("bigint")).schema
-    return flags.select(*BY, "y", "x").groupBy(*BY).applyInPandas(run, schema)
+    return _images(flags, "y", "x").mapInPandas(run, schema)
 
 
 def component_centres(labels: DataFrame) -> DataFrame:
@@ -155,21 +168,24 @@ def trace(values: np.ndarray, level: float) -> list[np.ndarray]:
 
 
 def contours(pixels: DataFrame, level: float, v: str = "v") -> DataFrame:
-    """tile_id, ring_id, is_hole, area, ring (x = column, y = row) of every image, one task for each."""
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        y, x = pdf["y"].to_numpy(), pdf["x"].to_numpy()
-        image = np.full((int(y.max()) + 1, int(x.max()) + 1), -np.inf)
-        image[y, x] = pdf["v"].to_numpy()
-        image[np.isneginf(image)] = min(level, np.min(image[np.isfinite(image)])) - 1.0
-        rows = []
-        for k, ring in enumerate(trace(image, level)):
-            px, py = ring[:, 1], ring[:, 0]
-            signed = float((px[:-1] * py[1:] - px[1:] * py[:-1]).sum() / 2)
-            rows.append((key[0], k, signed > 0, abs(signed), [{"x": float(a), "y": float(b)} for a, b in zip(px, py)]))
-        return pd.DataFrame(rows, columns=["tile_id", "ring_id", "is_hole", "area", "ring"])
-
-    return pixels.select(*BY, "y", "x", F.col(v).alias("v")).groupBy(*BY).applyInPandas(run, "tile_id long, ring_id int, is_hole boolean, area double, ring array<struct<x double, y double>>")
+    """tile_id, ring_id, is_hole, area, ring (x = column, y = row) of every image."""
+    names = ["tile_id", "ring_id", "is_hole", "area", "ring"]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = []
+            for tile, y, x, value in zip(*(pdf[c] for c in ("tile_id", "y", "x", "v"))):
+                y, x = np.asarray(y), np.asarray(x)
+                image = np.full((int(y.max()) + 1, int(x.max()) + 1), min(level, float(np.min(value))) - 1.0)
+                image[y, x] = value
+                for k, ring in enumerate(trace(image, level)):
+                    px, py = ring[:, 1], ring[:, 0]
+                    signed = float((px[:-1] * py[1:] - px[1:] * py[:-1]).sum() / 2)
+                    rows.append((tile, k, signed > 0, abs(signed), [{"x": float(a), "y": float(b)} for a, b in zip(px, py)]))
+            yield pd.DataFrame(rows, columns=names)
+
+    gathered = _images(pixels.select(*BY, "y", "x", F.col(v).alias("v")), "y", "x", "v")
+    return gathered.mapInPandas(run, "tile_id long, ring_id int, is_hole boolean, area double, ring array<struct<x double, y double>>")
 
 
 def run_flags(pixels: DataFrame, on: Column) -> DataFrame:
