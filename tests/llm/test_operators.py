@@ -376,6 +376,35 @@ def test_chain_decoding_and_training():
     assert np.mean(fit.decode(x.reshape(-1, quality.FEATURES), np.repeat(np.arange(40), 6)) == y.ravel()) > 0.97
 
 
+def test_quality_learns_from_every_line(spark):
+    plain, shout = "some plain words here\n", "BUY NOW !!! $$$ ###\n"
+    texts = [(k, plain * 40 + (shout if k % 2 else plain) * (20 + k % 5)) for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    chain = quality.train(docs, spark.createDataFrame([(k, 1 - k % 2) for k in range(40)], "doc_id long, quality int"))
+    assert chain.emit[0, 1] > chain.emit[1, 1] + 0.1  # symbols, met after 40 lines only, tell of boilerplate
+
+
+def test_chain_training_on_uneven_sequences():
+    import itertools
+
+    r = np.random.default_rng(2)
+    chain, sizes = quality.Chain(), np.array([2, 5, 1, 4])
+    chain.emit, chain.move = r.normal(size=(2, quality.FEATURES)), r.normal(size=(2, 2))
+    x, y = r.normal(size=(12, quality.FEATURES)), r.integers(0, 2, size=12)
+    want = [np.zeros((2, quality.FEATURES)), np.zeros((2, 2))]
+    for i, j in zip(np.cumsum(sizes) - sizes, np.cumsum(sizes)):
+        paths = [np.array(s) for s in itertools.product((0, 1), repeat=j - i)]
+        score = np.array([sum(chain.emit[s[k]] @ x[i + k] for k in range(j - i)) + sum(chain.move[s[k], s[k + 1]] for k in range(j - i - 1)) for s in paths])
+        share = np.exp(score) / np.exp(score).sum()
+        for s, weight in [(y[i:j], 1.0), *zip(paths, -share)]:
+            for k in range(j - i):
+                want[0][s[k]] += weight * x[i + k]
+                if k:
+                    want[1][s[k - 1], s[k]] += weight
+    got = chain._slopes(*quality._side_by_side(x, y, sizes))
+    assert np.allclose(got[0], want[0]) and np.allclose(got[1], want[1])
+
+
 def brute_topk(vectors, k=5, every=50):
     v = {i: np.floor(256 * np.array(x, dtype=float)).astype(int) for i, x in vectors if i is not None and x is not None and all(y is not None and np.isfinite(y) for y in x)}
     out = set()

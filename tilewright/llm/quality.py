@@ -4,8 +4,9 @@ Fixed rules count words, symbols, repeated lines and repeated five-word windows.
 line with a word gets features; a two-state chain (boilerplate, content) with a weight for
 each feature and for each pair of neighbouring states is decoded by Viterbi, and a document
 is kept if the words in content lines are at least SHARE of all its words. The chain is
-trained here, by gradient ascent on the likelihood, on lines of documents labelled good
-(content) or bad (boilerplate), from a bounded sample of labelled rows.
+trained here, by gradient ascent on the likelihood, on every line of documents labelled good
+(content) or bad (boilerplate), from a bounded sample of labelled rows. The driver holds 28
+bytes for each of these lines.
 
 Cases: a null or empty text has no words and fails. Lines without a word have no state.
 Without labels the chain has zero weights and every line is content. Equal rows give equal
@@ -25,10 +26,11 @@ from .textcore import SPACE, prefix_hash, ranges, span_hash, spans_of, steps, wi
 
 WINDOW = 5
 SHARE = 0.5
-#: At most about so many labelled rows are trained on, and so many lines of each.
+#: At most about so many labelled rows are trained on, with all their lines.
 SAMPLE = 2000
-TRAIN_LINES = 32
 STEPS = 60
+#: Lines of which the gradient is taken at a time; a longer document is taken alone.
+PART_LINES = 1 << 17
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 UPPER = np.zeros(256, dtype=bool)
@@ -112,6 +114,15 @@ def measure(texts: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndar
     return counts, l_doc, l_words, x
 
 
+def _side_by_side(x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features and states of all first lines, then all second ones and so on, the longest sequence first; and how many lines each step has."""
+    place = ranges(np.zeros(len(sizes), np.int64), sizes)
+    rank = np.empty(len(sizes), np.int64)
+    rank[np.argsort(-sizes, kind="stable")] = np.arange(len(sizes))
+    order = np.lexsort((np.repeat(rank, sizes), place))
+    return x[order], y[order], np.bincount(place)
+
+
 class Chain:
     """Two states, 0 boilerplate and 1 content. emit: state by feature; move: state by next state."""
 
@@ -120,37 +131,49 @@ class Chain:
 
     def fit(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray, steps: int = STEPS, rate: float = 0.5, decay: float = 1e-3) -> "Chain":
         """x: sequence, line, feature; y: state; mask: which lines there are, at the front of each sequence."""
-        n, length, _ = x.shape
-        total = max(1, int(mask.sum()))
-        both = mask[:, 1:] & mask[:, :-1]
-        hot = np.eye(2)[y] * mask[..., None]
-        seen_emit = np.einsum("nls,nlf->sf", hot, x)
-        seen_move = np.einsum("nls,nlt->st", hot[:, :-1] * both[..., None], hot[:, 1:])
+        return self.fit_lines([(x[mask], y[mask], mask.sum(axis=1))], steps, rate, decay)
+
+    def fit_lines(self, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], steps: int = STEPS, rate: float = 0.5, decay: float = 1e-3) -> "Chain":
+        """parts: features and state of every line, sequence after sequence, and the sequences' sizes."""
+        parts = [_side_by_side(*part) for part in parts]
+        total = max(1, sum(len(y) for _, y, _ in parts))
         m = [np.zeros_like(self.emit), np.zeros_like(self.move)]
         v = [np.zeros_like(self.emit), np.zeros_like(self.move)]
         for step in range(1, steps + 1):
-            score = x @ self.emit.T
-            fore, back = np.empty((n, length, 2)), np.zeros((n, length, 2))
-            fore[:, 0] = score[:, 0]
-            for t in range(1, length):
-                ahead = np.logaddexp(fore[:, t - 1, 0, None] + self.move[0], fore[:, t - 1, 1, None] + self.move[1]) + score[:, t]
-                fore[:, t] = np.where(mask[:, t, None], ahead, fore[:, t - 1])
-            for t in range(length - 2, -1, -1):
-                later = score[:, t + 1] + back[:, t + 1]
-                value = np.logaddexp(self.move[:, 0] + later[:, 0, None], self.move[:, 1] + later[:, 1, None])
-                back[:, t] = np.where(mask[:, t + 1, None], value, 0.0)
-            norm = np.logaddexp(fore[:, -1, 0], fore[:, -1, 1])
-            one = np.exp(np.where(mask[..., None], fore + back - norm[:, None, None], -np.inf))
-            want_emit = np.einsum("nls,nlf->sf", one, x)
-            pair = fore[:, :-1, :, None] + self.move + (score + back)[:, 1:, None, :] - norm[:, None, None, None]
-            want_move = np.exp(np.where(both[..., None, None], pair, -np.inf)).sum(axis=(0, 1))
-            for k, (weight, slope) in enumerate(((self.emit, (seen_emit - want_emit) / total), (self.move, (seen_move - want_move) / total))):
-                slope = slope - decay * weight
+            slopes = [np.zeros_like(self.emit), np.zeros_like(self.move)]
+            for part in parts:
+                for slope, own in zip(slopes, self._slopes(*part)):
+                    slope += own
+            for k, weight in enumerate((self.emit, self.move)):
+                slope = slopes[k] / total - decay * weight
                 m[k] = 0.9 * m[k] + 0.1 * slope
                 v[k] = 0.99 * v[k] + 0.01 * slope * slope
                 weight += rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8) * 0.2
         return self
 
+    def _slopes(self, x: np.ndarray, y: np.ndarray, running: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Seen less expected features of the states, and pairs of states; lines as of _side_by_side."""
+        n, length = len(x), len(running)
+        x = x.astype(float)
+        start = np.concatenate(([0], np.cumsum(running)))
+        score = x @ self.emit.T
+        fore, back = score.copy(), np.zeros((n, 2))
+        for t in range(1, length):
+            k, i, j = running[t], start[t - 1], start[t]
+            own = fore[i : i + k]
+            fore[j : j + k] += np.logaddexp(own[:, 0, None] + self.move[0], own[:, 1, None] + self.move[1])
+        for t in range(length - 2, -1, -1):
+            k, i, j = running[t + 1], start[t], start[t + 1]
+            later = score[j : j + k] + back[j : j + k]
+            back[i : i + k] = np.logaddexp(self.move[:, 0] + later[:, 0, None], self.move[:, 1] + later[:, 1, None])
+        whole = fore + back
+        norm = np.logaddexp(whole[:, 0], whole[:, 1])
+        now = np.arange(running[0], n)
+        before = now - np.repeat(running[:-1], running[1:])
+        pair = fore[before][:, :, None] + self.move + (score + back)[now][:, None, :] - norm[now, None, None]
+        hot = np.eye(2)[y]
+        return (hot - np.exp(whole - norm[:, None])).T @ x, hot[before].T @ hot[now] - np.exp(pair).sum(axis=0)
+
     def decode(self, x: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """The likeliest states of every line; doc: ascending, a chain for each value. Ties: content."""
         n = len(x)
@@ -195,22 +218,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
         for batch in steps(batches):
             _, doc, _, x = measure(batch.column(1))
             good = batch.column(0).to_pylist()
-            place = np.arange(len(doc)) - np.searchsorted(doc, doc)
-            some = place < TRAIN_LINES
-            parts = [(good[k], x[some & (doc == k)].astype("<f4").tobytes()) for k in np.unique(doc).tolist()]
+            own, first = np.unique(doc, return_index=True)
+            parts = [(good[k], x[i:j].astype("<f4").tobytes()) for k, i, j in zip(own.tolist(), first.tolist(), [*first[1:].tolist(), len(doc)])]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=["good", "x"])
 
     found = sorted((r["good"], bytes(r["x"])) for r in rows.mapInArrow(lines, "good int, x binary").collect())
     chain = Chain()
     if not found or len({g for g, _ in found}) < 2:
         return chain
-    rows_x = [np.frombuffer(x, "<f4").reshape(-1, FEATURES) for _, x in found]
-    length = max(map(len, rows_x))
-    x, mask = np.zeros((len(found), length, FEATURES)), np.zeros((len(found), length), dtype=bool)
-    for k, own in enumerate(rows_x):
-        x[k, : len(own)], mask[k, : len(own)] = own, True
-    y = np.repeat(np.array([g for g, _ in found])[:, None], length, axis=1)
-    return chain.fit(x, y, mask)
+    sizes = np.array([len(x) // (4 * FEATURES) for _, x in found])
+    part = (np.cumsum(sizes) - 1) // PART_LINES
+    parts = []
+    for k in np.unique(part).tolist():
+        some = np.flatnonzero(part == k)
+        x = np.frombuffer(b"".join(found[i][1] for i in some.tolist()), "<f4").reshape(-1, FEATURES)
+        parts.append((x, np.repeat([found[i][0] for i in some.tolist()], sizes[some]), sizes[some]))
+    return chain.fit_lines(parts)
 
 
 def judge(docs: DataFrame, chain: Chain, share: float = SHARE) -> DataFrame:
