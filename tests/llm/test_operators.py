@@ -181,6 +181,30 @@ def test_chunks(docs, rows):
             assert left[d] == text
 
 
+def test_chunks_meet_again_in_long_passages():
+    def longest(a, b):
+        ends = chunks.cuts(np.frombuffer(a, np.uint8))
+        seen = {a[i:j] for i, j in zip([0, *ends], ends)}
+        ends = chunks.cuts(np.frombuffer(b, np.uint8))
+        best = run = 0
+        for i, j in zip([0, *ends], ends):
+            run = run + j - i if b[i:j] in seen else 0
+            best = max(best, run)
+        return best
+
+    r = random.Random(8)
+    big = ["".join(r.choice("etaoinshrdlucm") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    for k in range(1500):
+        passage = words(60, 10 * k, big).encode()[:300] if k % 3 else (r.choice(big) + " ").encode() * 100
+        passage = passage[:300]
+        one, two = (words(r.randint(20, 60), 10 * k + x, big).encode() + b" " + passage + b" " + words(30, 10 * k + x + 1, big).encode() for x in (2, 4))
+        if len(passage) == 300:
+            assert longest(one, two) >= chunks.RUN, passage
+    for b in (b"", b"x" * 47, b"x" * 48, b"x" * 5000, b"the " * 3000, words(900, 3, big).encode()):
+        ends = chunks.cuts(np.frombuffer(b, np.uint8))
+        assert (ends[-1] == len(b) if b else not ends) and (len(b) < 2 * chunks.LEAST or all(chunks.LEAST <= j - i < 2 * chunks.LEAST for i, j in zip([0, *ends], ends)))
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 

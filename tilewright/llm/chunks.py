@@ -1,11 +1,14 @@
 """Substring dedup by content-defined chunks.
 
-A 32-bit gear hash (shift by one and add the byte's code) runs over the bytes of a text; it
-forgets what is 32 bytes back, so an insertion moves no cut further on. A chunk ends where
-the hash's top bits are zero, at LEAST bytes at the earliest and MOST at the latest; a last
-chunk shorter than LEAST joins the one before. Chunks are compared by a 128-bit digest of
-their bytes; the first one by (doc_id, place) stays. Others are removed where they follow each
-other over RUN bytes or make up a whole text: a few common words in a row are no repetition.
+A 32-bit gear hash (shift by four and add the byte's code) runs over the bytes of a text; it
+forgets what is 8 bytes back. A chunk ends where the hash is least among all places less than
+LEAST bytes away; then, again and again, where it is least among the places LEAST bytes or
+more from every end found. So an end depends on the bytes around it and not on the chain of
+chunks before it, and a passage met again is cut alike but for some bytes at its two ends.
+Chunks have LEAST to 2 * LEAST - 1 bytes, but for shorter texts. They are compared by a
+128-bit digest of their bytes; the first one by (doc_id, place) stays. Others are removed
+where they follow each other over RUN bytes or make up a whole text: a few common words in a
+row are no repetition.
 
 Only digests, places and lengths are shuffled. Digests are counted with partial aggregation
 first, and only those met twice are joined back, so a chunk that a third of all documents
@@ -29,50 +32,59 @@ from pyspark.sql import functions as F
 from .textcore import BYTE_CODE, spans_of, steps
 
 LEAST = 24
-MOST = 1024
 #: Repeated chunks in a row count from so many bytes.
 RUN = 100
-#: A cut has this many leading zero bits: one byte in 2 ** BITS ends a chunk.
-BITS = 4
+#: So often ends are sought everywhere; what is left, mostly one string over and over, is gone through from its left.
+ROUNDS = 6
 GEAR = (BYTE_CODE >> np.uint64(32)).astype(np.uint32)
+NEVER = np.uint32(0xFFFFFFFF)
 
 
 def gear(raw: np.ndarray) -> np.ndarray:
     """The rolling hash after every byte; hashes near the front of `raw` cover fewer bytes."""
     h = GEAR[raw]
-    for k in range(5):
+    for k in range(3):
         back = 1 << k
         if len(h) <= back:
             break
         nxt = h.copy()
-        nxt[back:] += h[:-back] << np.uint32(back)
+        nxt[back:] += h[:-back] << np.uint32(4 * back)
         h = nxt
     return h
 
 
-def cuts(raw: np.ndarray, least: int = LEAST, most: int = MOST, bits: int = BITS) -> list[int]:
+def cuts(raw: np.ndarray, least: int = LEAST) -> list[int]:
     """Ends of the chunks of one text's bytes."""
-    n = len(raw)
-    marks = (np.flatnonzero(gear(raw) >> np.uint32(32 - bits) == 0) + 1).tolist()
-    out, last = [], 0
-    for at in marks:
-        if at - last < least:
-            continue
-        while at - last > most:
-            last += most
+    n, side = len(raw), least - 1
+    if n < 2 * least:
+        return [n] if n else []
+    h = gear(raw)[side : n - least]  # of all places where a chunk may end
+    m = len(h)
+    open_ = np.full(m + 2 * side, NEVER)
+    open_[side:-side] = h
+    around = np.arange(2 * side + 1)
+    found = []
+    for _ in range(ROUNDS):
+        low, width = open_, 1  # least hash of so many places from each
+        while 2 * width <= side:
+            low, width = np.minimum(low[:-width], low[width:]), 2 * width
+        rest = side - width
+        low = np.minimum(low[: len(low) - rest], low[rest:])
+        own = open_[side:-side]
+        at = np.flatnonzero((own < low[:m]) & (own <= low[least : least + m]))  # the leftmost of equal ones
+        if not len(at):
+            break
+        found.append(at)
+        open_[(at[:, None] + around).ravel()] = NEVER
+    ends = np.sort(np.concatenate([*found, [m + side]])) + least  # and the text's own
+    gaps = np.diff(ends, prepend=0)
+    out = ends.tolist()
+    for k in np.flatnonzero(gaps >= 2 * least).tolist():
+        last, stop = int(ends[k] - gaps[k]), int(ends[k])
+        while stop - last >= 2 * least:
+            last += least + int(np.argmin(h[last : min(last + least, stop - 2 * least + 1)]))
             out.append(last)
-        if at - last >= least:
-            out.append(at)
-            last = at
-    while n - last > most:
-        last += most
-        out.append(last)
-    if n - last >= least or not out:
-        if n > last:
-            out.append(n)
-    else:
-        out[-1] = n
-    return out
+    return sorted(out)
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
