@@ -106,6 +106,25 @@ def test_ngram_join(docs, rows, monkeypatch, often, block):
     assert got(ngramjoin.join_components(docs)) == brute_join(rows)
 
 
+def test_ngram_join_bridges_without_ids_of_their_own(spark):
+    base = [f"w{k}" for k in range(200)]
+
+    def copy(*places):
+        return " ".join(f"z{k}" if k in places else w for k, w in enumerate(base))
+
+    # Neighbours link (0.86), the ends don't (0.73).
+    chain = [copy(), copy(10, 22, 34), copy(10, 22, 34, 46, 58, 70)]
+    for ids in ((1, None, 3), (1, 9, 3)):
+        rows = [*zip(ids, chain), (9, "quite another text of some words")]
+        out = ngramjoin.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r["component_id"] for r in out if r["doc_id"] in (1, 3)} == {1}
+    # One id on two texts of different clusters: each has its links.
+    other = " ".join(f"v{k}" for k in range(200))
+    rows = [(5, chain[0]), (5, other), (6, chain[1]), (7, other + " more")]
+    out = ngramjoin.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["component_id"] == 5 for r in out)
+
+
 def test_divide_skip():
     r = random.Random(2)
     base = list(range(0, 400, 2))

@@ -79,7 +79,7 @@ def _digests(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """bucket, data, counts: of shingles, by their upper bits; and with bucket -1 ids, sizes and digests of documents."""
+    """bucket, data, counts: of shingles, by their upper bits; and with bucket -1 ids, sizes and digests of documents, and hashes of their texts."""
     gathered: list[np.ndarray] = []
     size = 0
 
@@ -95,7 +95,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size += len(hashes)
         valid = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
         ids = batch.column(0).cast(pa.int64()).fill_null(0).to_numpy()
-        table = np.stack([valid.astype("<i8"), ids, np.diff(at), _digests(hashes, at)]).astype("<i8")
+        table = np.stack([valid.astype("<i8"), ids, np.diff(at), _digests(hashes, at), batch.column(2).to_numpy()]).astype("<i8")
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([table.tobytes()], pa.binary()), pa.array([b""], pa.binary())], names=["bucket", "data", "counts"])
         if size >= FLUSH:
             yield flush()
@@ -107,8 +107,8 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _unpack_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data in batch.column(0).to_pylist():
-            valid, ids, n, digest = np.frombuffer(data, "<i8").reshape(4, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, mask=valid == 0), pa.array(n), pa.array(digest)], names=["doc_id", "n", "c"])
+            valid, ids, n, digest, text = np.frombuffer(data, "<i8").reshape(5, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, mask=valid == 0), pa.array(n), pa.array(digest), pa.array(text)], names=["doc_id", "n", "c", "t"])
 
 
 def _frequent(table: pa.Table) -> pa.Table:
@@ -274,11 +274,12 @@ def _search(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, c) of every document, c being null for an empty set; (a, b): links between classes that span all links."""
+    """(doc_id, n, c, t) of every document, t being a hash of its text and c null for an empty set; (a, b): links between classes that span all links."""
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
-    profile = settled(docs.mapInArrow(_profile, "bucket int, data binary, counts binary"))
-    members = profile.where("bucket < 0").select("data").mapInArrow(_unpack_members, "doc_id long, n long, c long")
+    hashed = docs.withColumn("t", F.xxhash64("text"))
+    profile = settled(hashed.mapInArrow(_profile, "bucket int, data binary, counts binary"))
+    members = profile.where("bucket < 0").select("data").mapInArrow(_unpack_members, "doc_id long, n long, c long, t long")
     members = settled(members.withColumn("c", F.when(F.col("n") > 0, F.col("c"))))
     found = profile.where("bucket >= 0").groupBy("bucket").applyInArrow(_frequent, "data binary, complete boolean").collect()  # HOT numbers at most
     frequent = np.sort(np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(r["data"], "<u4") for r in found)]))
@@ -294,9 +295,11 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ties = _possible(lists, exact).union(dense.join(low, "h").select(F.col("c").alias("a"), "b"))
     group = settled(components(ties))
 
-    which = members.where("c is not null and doc_id is not null").groupBy("c").agg(F.min("doc_id").alias("w_id"))
-    which = which.join(group.select(F.col("id").alias("c")), "c").groupBy("w_id").agg(F.first("c").alias("c"))
-    sets = squeezed(docs).join(which, F.col("doc_id") == F.col("w_id")).select("c", "z").mapInArrow(_sets, "c long, members binary")
+    # One text for each class, by id and text: an id may be null, or be on several texts.
+    which = members.where("c is not null").join(group.select(F.col("id").alias("c")), "c")
+    which = which.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")).alias("w"))
+    texts = squeezed(hashed, "t").join(which, F.col("doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t") == F.col("w.t")))
+    sets = texts.groupBy("c").agg(F.first("z").alias("z")).mapInArrow(_sets, "c long, members binary")
     blocks = group.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
     dealt = group.join(blocks, "component").select(F.col("id").alias("c"), "component", "k", F.pmod(F.xxhash64("id"), F.col("k")).cast("int").alias("block"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))

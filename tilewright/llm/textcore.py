@@ -153,8 +153,10 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(total)
 
 
-def squeezed(docs):
-    """doc_id and z, the compressed bytes of every text, of a DataFrame: what to shuffle instead of texts."""
+def squeezed(docs, *more: str):
+    """doc_id, z, the compressed bytes of every text, and the columns `more` of a DataFrame: what to shuffle instead of texts."""
+    rows = docs.select("doc_id", "text", *more)
+    schema = ", ".join(["doc_id long, z binary", *(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
@@ -162,9 +164,9 @@ def squeezed(docs):
             raw, offsets = spans_of(batch.column(1))
             data = raw.tobytes()
             packed = [squeeze.compress(data[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "z"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(packed, pa.binary()), *batch.columns[2:]], names=["doc_id", "z", *more])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, z binary")
+    return rows.mapInArrow(run, schema)
 
 
 def unsqueezed(z: bytes | None) -> bytes:
