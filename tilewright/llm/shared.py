@@ -10,10 +10,21 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """Use spark.checkpoint.dir; only where it is unset, as in tests, a temporary folder."""
+    """Use spark.checkpoint.dir; only where it is unset and there is but one machine, as in tests, a temporary folder."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """`name`, with underscores until no column of `rows` has it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def settled(rows: DataFrame) -> DataFrame:
