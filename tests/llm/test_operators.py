@@ -382,8 +382,8 @@ def test_language_cases(spark, docs):
 
 def test_quality(spark, docs, rows):
     labels = spark.createDataFrame([(k, int(k % 2)) for k in range(60)], "doc_id long, quality int")
-    chain = quality.train(docs, labels)
-    out = {r["doc_id"]: r for r in quality.judge(docs, chain).collect()}
+    found, seen = quality.survey(docs)
+    out = {r["doc_id"]: r for r in quality.judge(found, seen, quality.train(found, seen, labels)).collect()}
     for d, text, *_ in rows:
         text = text or ""
         w = WORD.findall(text)
@@ -423,10 +423,38 @@ def test_quality_learns_from_every_line(spark):
     plain, shout = "some plain words here\n", "BUY NOW !!! $$$ ###\n"
     texts = [(k, plain * 40 + (shout if k % 2 else plain) * (20 + k % 5)) for k in range(40)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    chain = quality.train(docs, spark.createDataFrame([(k, 1 - k % 2) for k in range(40)], "doc_id long, quality int"))
+    chain = quality.train(*quality.survey(docs), spark.createDataFrame([(k, 1 - k % 2) for k in range(40)], "doc_id long, quality int"))
     assert chain.emit[0, 1] > chain.emit[1, 1] + 0.1  # symbols, met after 40 lines only, tell of boilerplate
 
 
+def test_quality_of_documents_not_trained_from(spark):
+    from pyspark.sql import functions as F
+
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
+    found, seen = quality.survey(d)
+    out = quality.judge(found, seen, quality.train(found, seen, labels.where(~held))).join(labels.where(held), "doc_id", "left").collect()
+    own = [r for r in out if r["quality"] is not None and not r["base_failed"]]
+    assert len(own) > 100 and sum(r["kept"] == (r["quality"] == 1) for r in own) >= 0.95 * len(own)
+    several = [r for r in out if r["n_lines"] > 1]
+    assert sum(0 < r["content_lines"] < r["n_lines"] for r in several) > 0.1 * len(several)
+
+
+def test_footers_are_boilerplate_and_copies_are_not(spark):
+    big = [f"w{k}" for k in range(3000)]
+    texts = ["\n".join([words(30, 2 * k, big), words(25, 2 * k + 1, big), "all rights reserved by the same owner"]) for k in range(60)]
+    texts += ["\n".join(words(20, 900 + k, big) for k in range(3))] * 60
+    texts += ["\n".join("BUY!!! NOW!!! $$$" for _ in range(5)) + f" {k}" for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 120)) for k in range(0, 150, 2)], "doc_id long, quality int")
+    found, seen = quality.survey(docs)
+    assert {r["n"] for r in seen.where("n >= 30").collect()} == {60, 30}
+    out = {r["doc_id"]: r for r in quality.judge(found, seen, quality.train(found, seen, labels)).collect()}
+    assert all((out[k]["n_lines"], out[k]["content_lines"], out[k]["kept"]) == (3, 2, True) for k in range(60))
+    assert all((out[k]["content_lines"], out[k]["kept"]) == (3, True) for k in range(60, 120))
+    assert not any(out[k]["kept"] for k in range(120, 150))
+
+
 def test_chain_training_on_uneven_sequences():
     import itertools
 
@@ -485,7 +513,8 @@ def test_empty_tables(spark):
     assert ngramjoin.join_components(empty).count() == suffixes.dedup(empty).count() == chunks.removed(empty).count() == 0
     assert packing.pack_documents(empty).count() == mixing.mix(empty).count() == secrets.scan(empty).count() == 0
     assert langid.identify(empty, langid.learn(empty)).count() == 0
-    assert quality.judge(empty, quality.train(empty, spark.createDataFrame([], "doc_id long, quality int"))).count() == 0
+    found, seen = quality.survey(empty)
+    assert quality.judge(found, seen, quality.train(found, seen, spark.createDataFrame([], "doc_id long, quality int"))).count() == 0
     vectors = topk.integers(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert topk.top_products(vectors, vectors).count() == 0
     captures = spark.createDataFrame([], "page_id long, url string, at date")
@@ -539,5 +568,5 @@ def test_null_and_repeated_ids(spark):
     comp = {r["doc_id"]: r["component_id"] for r in ngramjoin.join_components(docs).collect() if r["n_shingles"] and r["doc_id"]}
     assert comp == {1: 1, 2: 1}
     assert Counter(r["doc_id"] for r in packing.pack_documents(docs).where("piece = 0").collect()) == ids
-    assert Counter(r["doc_id"] for r in quality.judge(docs, quality.Chain()).collect()) == ids
+    assert Counter(r["doc_id"] for r in quality.judge(*quality.survey(docs), quality.Chain()).collect()) == ids
     assert {r["doc_id"] for r in ngramjoin.one_of_each(docs).collect()} == {None, 1, 3}
