@@ -98,11 +98,12 @@ def brute_join(rows):
     return {i: (len(sets[i]), comp[i]) for i in sets}
 
 
-@pytest.mark.parametrize("often,block", [(24, 512), (2, 4)])
-def test_ngram_join(docs, rows, monkeypatch, often, block):
+@pytest.mark.parametrize("often,short,pivots,cell", [(24, 24, 4, 1 << 18), (2, 2, 1, 400), (24, 3, 2, 400), (0, 1, 1, 4000)])
+def test_ngram_join(docs, rows, monkeypatch, often, short, pivots, cell):
     monkeypatch.setattr(ngramjoin, "OFTEN", often)
-    monkeypatch.setattr(ngramjoin, "SHORT", often)
-    monkeypatch.setattr(ngramjoin, "BLOCK", block)
+    monkeypatch.setattr(ngramjoin, "SHORT", short)
+    monkeypatch.setattr(ngramjoin, "PIVOTS", pivots)
+    monkeypatch.setattr(ngramjoin, "CELL", cell)
     assert got(ngramjoin.join_components(docs)) == brute_join(rows)
 
 
@@ -129,11 +130,68 @@ def test_divide_skip():
     r = random.Random(2)
     base = list(range(0, 400, 2))
     sets = [np.array(sorted(set(r.sample(base, 185)) | {1000 + r.randrange(50) for _ in range(r.randint(0, 12))}), np.uint64) for _ in range(60)]
-    left = np.arange(60) < 30
-    for same in (True, False):
-        links = ngramjoin.divide_skip(sets, left, same)
-        want = [(a, b) for a in range(60) for b in range(a) if (same or left[a] != left[b]) and 100 * (c := len(np.intersect1d(sets[a], sets[b]))) >= 80 * (len(sets[a]) + len(sets[b]) - c)]
-        assert components(range(60), links) == components(range(60), want)
+    ask, listed = np.arange(60) < 40, np.arange(60) > 20
+    want = {(a, b) for a in range(60) for b in range(60) if a != b and ask[a] and listed[b] and 100 * (c := len(np.intersect1d(sets[a], sets[b]))) >= 80 * (len(sets[a]) + len(sets[b]) - c)}
+    assert set(ngramjoin.divide_skip(sets, ask, listed, forest=False)) == want and want
+    links = ngramjoin.divide_skip(sets, ask, listed)
+    assert set(links) <= want and components(range(60), links) == components(range(60), want)
+    root = np.where(np.arange(60) % 2, 7, np.arange(60))
+    joined = [(1, k) for k in range(3, 60, 2)]
+    assert components(range(60), ngramjoin.divide_skip(sets, ask, listed, root) + joined) == components(range(60), [*want, *joined])
+    a, b = ngramjoin._trees(links, 60)
+    assert components(range(60), zip(a.tolist(), b.tolist())) == components(range(60), links)
+
+
+def test_merge_skip():
+    r = random.Random(3)
+    for _ in range(300):
+        lists = [sorted(r.sample(range(30), r.randint(0, 20))) for _ in range(r.randint(1, 9))]
+        need = r.randint(1, len(lists))
+        count = Counter(x for own in lists for x in own)
+        assert ngramjoin.merge_skip(lists, need) == sorted((x, n) for x, n in count.items() if n >= need)
+
+
+def test_one_shingle_in_all_classes_is_streamed():
+    import resource
+    import time
+
+    def batches(n, step=10000):
+        for i in range(0, n, step):
+            c = np.arange(i, i + step, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(step, 7)), pa.array(c), pa.array(np.full(step, 100)), pa.array(np.full(step, 5, np.int32))], names=["h", "c", "size", "end"])
+
+    def taken(n):
+        began, stars, members = time.process_time(), 0, 0
+        for x in ngramjoin._lists(batches(n)):
+            k = x.column(1).null_count
+            members, stars = members + k, stars + x.num_rows - k
+        assert (members, stars) == (n, sum(n - 1 - k for k in range(ngramjoin.PIVOTS)))
+        return time.process_time() - began
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    small, large = taken(1_000_000), taken(5_000_000)
+    assert large < 12 * small and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 150_000
+
+
+def test_lists_over_batches(monkeypatch):
+    monkeypatch.setattr(ngramjoin, "SHORT", 3)
+    monkeypatch.setattr(ngramjoin, "PIVOTS", 2)
+    r = random.Random(4)
+    for _ in range(200):
+        lists = {h: sorted(r.sample(range(100, 140), r.randint(1, 8))) for h in range(r.randint(1, 6))}
+        rows = sorted((h, c, 50, 5) for h, own in lists.items() for c in own for _ in range(r.randint(1, 3)))
+        cuts = sorted(r.choices(range(len(rows) + 1), k=3))
+        parts = [rows[i:j] for i, j in zip([0, *cuts], [*cuts, len(rows)])]
+        batches = (pa.RecordBatch.from_arrays([pa.array([x[k] for x in p], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32()))], names=["h", "c", "size", "end"]) for p in parts)
+        got = Counter((x["a"], x["b"], x["h"], x["star"]) for b in ngramjoin._lists(batches) for x in b.to_pylist())
+        want = Counter()
+        for h, own in lists.items():
+            if len(own) <= 3:
+                want.update((a, b, None, 0) for a in own for b in own if a < b)
+            else:
+                want.update((a, b, None, 1) for a in own[:2] for b in own if a < b)
+                want.update((c, None, h, 0) for c in own)
+        assert got == want
 
 
 def brute_suffix(rows):

@@ -36,23 +36,24 @@ def settled(rows: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) of every end of an edge; edges: a, b (long, no nulls).
 
-    Alternating steps: every node points its larger neighbours to the smallest of its
-    neighbourhood, then its smaller ones and itself; edges end as stars. Only minima are
-    gathered for a node, so hubs don't collect their neighbours anywhere.
+    Alternating steps on edges (larger, smaller): the smaller end of every edge gives way to
+    its own least neighbour, then all smaller neighbours of a node but the least, and the node
+    itself, point to the least. Edges end as stars. Only minima are gathered for a node, and
+    those that a hub's edges meet are written first, so that the join with them is one the
+    engine can split.
     """
     now = settled(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    before = None
     while True:
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a")
-        small = small.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low.select("a", F.col("low").alias("b"))).distinct()
-        new = settled(small)
-        same = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() == new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        now = new
-        if same:
+        low = settled(now.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low")))
+        large = now.join(low, F.col("b") == F.col("n"), "left").select("a", F.coalesce("low", "b").alias("b")).repartition("a")
+        low = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
+        small = large.join(low, F.col("a") == F.col("n")).where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low)
+        now = settled(small.distinct())
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == before:
             break
+        before = state
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
