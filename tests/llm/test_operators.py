@@ -98,7 +98,7 @@ def brute_join(rows):
     return {i: (len(sets[i]), comp[i]) for i in sets}
 
 
-@pytest.mark.parametrize("often,short,pivots,cell", [(24, 24, 4, 1 << 18), (2, 2, 1, 400), (24, 3, 2, 400), (0, 1, 1, 4000)])
+@pytest.mark.parametrize("often,short,pivots,cell", [(24, 24, 4, 1 << 18), (2, 2, 1, 400), (0, 1, 1, 4000)])
 def test_ngram_join(docs, rows, monkeypatch, often, short, pivots, cell):
     monkeypatch.setattr(ngramjoin, "OFTEN", often)
     monkeypatch.setattr(ngramjoin, "SHORT", short)
@@ -135,6 +135,8 @@ def test_divide_skip():
     assert set(ngramjoin.divide_skip(sets, ask, listed, forest=False)) == want and want
     links = ngramjoin.divide_skip(sets, ask, listed)
     assert set(links) <= want and components(range(60), links) == components(range(60), want)
+    alone = np.array([sum(not any(x in o for j, o in enumerate(map(set, sets)) if j != k) for x in s.tolist()) for k, s in enumerate(sets)])
+    assert set(ngramjoin.divide_skip(sets, ask, listed, rare=alone, forest=False)) == want
     root = np.where(np.arange(60) % 2, 7, np.arange(60))
     joined = [(1, k) for k in range(3, 60, 2)]
     assert components(range(60), ngramjoin.divide_skip(sets, ask, listed, root) + joined) == components(range(60), [*want, *joined])
@@ -218,6 +220,63 @@ def test_suffix_dedup(spark, docs, rows, monkeypatch, crowd):
     assert got(suffixes.dedup(spark.createDataFrame(special, "doc_id long, text string"))) == brute_suffix(special)
 
 
+def test_suffix_dedup_without_ids_or_with_repeated_ones(spark):
+    one, two = words(80, 1), words(80, 2)
+    rows = [(None, one), (1, "x " + one), (2, two), (2, words(90, 3) + " " + two[:300]), (None, words(70, 4)), (3, None), (None, one + " y")]
+    want = brute_suffix([(k, t) for k, (_, t) in enumerate(rows)])
+    out = suffixes.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, out)) == Counter((d, *want[k]) for k, (d, _) in enumerate(rows))
+
+
+def classified(rows, sizes):
+    cuts = np.cumsum(sizes)[:-1].tolist()
+    parts = [rows[i:j] for i, j in zip([0, *cuts], [*cuts, len(rows)])]
+    return suffixes._classify(pa.RecordBatch.from_arrays([pa.array([x[k] for x in p], pa.int64()) for k in range(4)], names=["key", "digest", "doc_id", "place"]) for p in parts)
+
+
+def test_runs_are_classified_over_batches(monkeypatch):
+    monkeypatch.setattr(suffixes, "CROWD", 3)
+    r = random.Random(6)
+    for _ in range(300):
+        rows = sorted((r.randint(1, 4), r.randint(1, 6), k, (k << 15) | r.choice([0, 128]) | 5) for k in range(r.randint(1, 25)))
+        rows = [(9, 0, 100 + k, (k << 15) | 3) for k in range(2)] + [(a, b, c, d & ~128 | (128 if b % 2 else 0)) for a, b, c, d in rows]
+        sizes = [r.randint(0, 6) for _ in range(4)]
+        sizes = [*sizes, max(0, len(rows) - sum(sizes))] if sum(sizes) <= len(rows) else [len(rows)]
+        out = [tuple(x.values()) for b in classified(rows, sizes) for x in b.to_pylist()]
+        groups, kinds = Counter(x[:2] for x in rows[2:]), defaultdict(set)
+        for key, digest, *_ in rows[2:]:
+            kinds[key].add(digest)
+        covered = Counter((d, p >> 15) for k, g, d, p in rows if g == 0 or groups[k, g] > 1)
+        assert Counter(x[:2] for x in out if x[3] is None) == covered
+        first = {}
+        for k, g, d, p in rows[2:]:
+            first.setdefault((k, g), (d, p >> 15, k, len(kinds[k]) > 3))
+        want = {v for (k, g), v in first.items() if len(kinds[k]) > 1 or (groups[k, g] == 1 and g % 2)}
+        assert {(x[0], x[1], x[3], x[4]) for x in out if x[3] is not None} == want
+
+
+def test_one_key_of_all_runs_is_streamed():
+    import resource
+    import time
+
+    def batches(n, step=10000):
+        for i in range(0, n, step):
+            k = np.arange(i, i + step, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(step, 7)), pa.array(k // 2 + 1), pa.array(k), pa.array((k << 15) | 9)], names=["key", "digest", "doc_id", "place"])
+
+    def taken(n):
+        began, covered, asked = time.process_time(), 0, 0
+        for x in suffixes._classify(batches(n)):
+            k = x.column(3).null_count
+            covered, asked = covered + k, asked + x.num_rows - k
+        assert (covered, asked) == (n, n // 2)
+        return time.process_time() - began
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    small, large = taken(1_000_000), taken(5_000_000)
+    assert large < 12 * small and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 150_000
+
+
 def test_column_construction():
     r = random.Random(3)
     for t in range(60):

@@ -4,9 +4,11 @@ Equal WIDTH-byte windows have equal least K-gram hashes, so runs of windows with
 hash (at most WIDTH - K + 1 windows, a string of under 2 * WIDTH bytes) are the unit: two
 equal windows always lie in runs with the same key.
 
-1. Every run gives its key and a digest of its string. Keys met once are dropped. A string
-   met twice is repeated as a whole. Only keys with several different strings go on, with one
-   place of each string, and single strings periodic enough to repeat a window within.
+1. Every run gives its key and a digest of its string. Of equal strings met together in one
+   step only two are sent to their key, which stands for the rest. Keys are read as a stream,
+   of which at most CROWD strings are held. Keys met once are dropped. A string met twice is
+   repeated as a whole. Only keys with several different strings go on, with one place of each
+   string, and single strings periodic enough to repeat a window within.
 2. The strings of a key, with those of other keys up to COLLECTION strings, form a document
    collection whose Burrows-Wheeler transform is built column by column: each round inserts
    the next symbol, from the right, of every string, where counting symbols before its last
@@ -21,9 +23,9 @@ equal windows always lie in runs with the same key.
 Windows are compared on whole texts as UTF-8 bytes and never cross documents.
 
 Cases: a null or empty text, or one shorter than WIDTH, has nothing removed. Equal rows
-repeat each other. Ids must be unique and not null for their spans to be told apart; rows
-with a null id are returned with nothing removed. An empty table gives no rows. Other
-columns are never read.
+repeat each other. A row with a null id takes part like any other. Different texts under one
+id are told apart by 16 bits of a hash. A very long text is one step of its own. An empty
+table gives no rows. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,16 +165,38 @@ def repeated_windows(strings: list[bytes], width: int = WIDTH) -> list[np.ndarra
     return out
 
 
+def _mark(text: bytes) -> int:
+    """16 bits of a hash, above the 32 of a place."""
+    return (xxhash.xxh3_64_intdigest(text) & 0xFFFF) << 32
+
+
+def _sent(key: np.ndarray, digest: np.ndarray, doc: pa.Array, place: np.ndarray) -> pa.RecordBatch:
+    """Runs to send to their keys; of equal strings, the third one and later ones are covered for sure: a random key and the digest 0."""
+    digest = np.where(digest == 0, 1, digest)
+    order = np.lexsort((digest, key))
+    head = np.ones(len(order), dtype=bool)
+    head[1:] = (key[order][1:] != key[order][:-1]) | (digest[order][1:] != digest[order][:-1])
+    first = np.flatnonzero(head)
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    sure = order[rank > 1]
+    key, digest = key.copy(), digest.copy()
+    key[sure] = mix64(place[sure].view(np.uint64) ^ digest[sure].view(np.uint64)).view(np.int64)
+    digest[sure] = 0
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(digest), doc, pa.array(place)], names=["key", "digest", "doc_id", "place"])
+
+
 def _runs(k: int):
-    """Of whole texts."""
+    """Of whole texts. place: from bit 15 on start and mark; in bits 8 to 14 the start in the string that was cut; then whether a window may repeat within, and the number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             ids = batch.column(0).cast(pa.int64())
             raw, offsets = spans_of(batch.column(1))
             start, n, key, digest = runs_of(raw, offsets, k)
+            data = raw.tobytes()
+            marks = np.array([_mark(data[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())], dtype=np.int64)
             doc = np.searchsorted(offsets, start, side="right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(digest), ids.take(pa.array(doc)), pa.array(((start - offsets[doc]) << 15) | n)], names=["key", "digest", "doc_id", "place"])
+            yield _sent(key, digest, ids.take(pa.array(doc)), ((start - offsets[doc] + marks[doc]) << 15) | n)
 
     return run
 
@@ -185,50 +210,78 @@ def _runs_again(k: int):
             start, n, key, digest = runs_of(raw, offsets, k)
             doc = np.searchsorted(offsets, start, side="right") - 1
             base = batch.column(1).to_numpy()[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(digest), batch.column(0).take(pa.array(doc)), pa.array(((start - offsets[doc] + base) << 15) | ((start - offsets[doc]) << 8) | n)], names=["key", "digest", "doc_id", "place"])
+            yield _sent(key, digest, batch.column(0).take(pa.array(doc)), ((start - offsets[doc] + base) << 15) | ((start - offsets[doc]) << 8) | n)
 
     return run
 
 
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs by (key, digest): doc_id, start, size of covered spans (key null), and of strings to compare, with key, whether it is crowded and the place in the string it was cut from."""
-    rest = [np.zeros(0, np.int64)] * 4
-    names = ["doc_id", "start", "size", "key", "crowded", "inset"]
+    """From runs by (key, digest): doc_id, start, size of covered spans (key null), and of strings to compare, with key, whether it is crowded and the place in the string it was cut from.
 
-    def emit(key, digest, doc, place):
-        start, n, inner = place >> 15, place & 127, place & 128 > 0
-        head = np.concatenate(([True], (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])))
+    Held over: of the last key one run for each digest, with whether more were met; once it is crowded, of its last digest alone.
+    """
+    names = ["doc_id", "start", "size", "key", "crowded", "inset"]
+    none = [np.zeros(0, np.int64)] * 4
+    held, held_many, asked = none, np.zeros(0, dtype=bool), False  # asked: the held key is crowded, its held digest has been handed out
+
+    def covered(doc, place) -> pa.RecordBatch:
+        n = len(doc)
+        size = (place & 127) + WIDTH - 1
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place >> 15), pa.array(size), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64())], names=names)
+
+    def compared(doc, place, key, crowded) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place >> 15), pa.array((place & 127) + WIDTH - 1), pa.array(key), pa.array(crowded), pa.array((place >> 8) & 127)], names=names)
+
+    def gone_through(rows, last: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal held, held_many, asked
+        key, digest, doc, place = [np.concatenate(x) for x in zip(held, rows)]
+        n, old = len(key), len(held[0])
+        if not n:
+            return
+        known = np.zeros(n, dtype=bool)  # handed out as covered
+        known[:old] = held_many
+        head = np.ones(n, dtype=bool)
+        head[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])
         first = np.flatnonzero(head)
-        count = np.diff(np.append(first, len(key)))
-        twice = np.repeat(count > 1, count)
-        k_first = np.flatnonzero(np.concatenate(([True], key[first][1:] != key[first][:-1])))
+        many = np.add.reduceat(1 + known, first) > 1
+        some = np.flatnonzero(np.repeat(many, np.diff(np.append(first, n))) & ~known)
+        yield covered(doc[some], place[some])
+        k_head = np.concatenate(([True], key[first][1:] != key[first][:-1]))
+        k_first = np.flatnonzero(k_head)
         kinds = np.diff(np.append(k_first, len(first)))
-        kinds = np.repeat(kinds, kinds)
-        size = n + WIDTH - 1
-        some = np.flatnonzero(twice)
-        yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(start[some]), pa.array(size[some]), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.bool_()), pa.nulls(len(some), pa.int64())], names=names)
-        ask = (kinds > 1) | ((count == 1) & inner[first])
+        if asked:
+            kinds[0] += CROWD
+        open_ = len(first) if last else k_first[-1]  # digests of the last key aren't complete
+        crowd = kinds > CROWD
+        if crowd[-1]:
+            open_ = len(first)
+        kinds, crowd = np.repeat(kinds, np.diff(np.append(k_first, len(first)))), np.repeat(crowd, np.diff(np.append(k_first, len(first))))
+        ask = (kinds > 1) | (~many & ((place[first] & 128) > 0))
+        ask[open_:] = False
+        ask[0] &= not asked
         one = first[ask]
         if len(one):
-            yield pa.RecordBatch.from_arrays([pa.array(doc[one]), pa.array(start[one]), pa.array(size[one]), pa.array(key[one]), pa.array(kinds[ask] > CROWD), pa.array((place[one] >> 8) & 127)], names=names)
+            yield compared(doc[one], place[one], key[one], crowd[ask])
+        asked = bool(crowd[-1])
+        keep = first[-1:] if asked else first[k_first[-1] :]
+        held, held_many = [x[keep] for x in (key, digest, doc, place)], many[-1:] if asked else many[k_first[-1] :]
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [np.concatenate((r, x.to_numpy())) for r, x in zip(rest, batch.columns)]
-        cut = int(np.searchsorted(columns[0], columns[0][-1]))
-        rest = [c[cut:] for c in columns]
-        if cut:
-            yield from emit(*(c[:cut] for c in columns))
-    if len(rest[0]):
-        yield from emit(*rest)
+        rows = [x.to_numpy() for x in batch.columns]
+        sure = rows[1] == 0
+        if sure.any():
+            yield covered(rows[2][sure], rows[3][sure])
+            rows = [x[~sure] for x in rows]
+        if len(rows[0]):
+            yield from gone_through(rows, False)
+    yield from gone_through(none, True)
 
 
 FOUND = "doc_id long, start long, size long, key long, crowded boolean, inset long"
 
 
 def _found(runs: DataFrame, parts: int) -> DataFrame:
-    return settled(runs.where("doc_id is not null").repartition(parts, "key").sortWithinPartitions("key", "digest").mapInArrow(_classify, FOUND))
+    return settled(runs.repartition(parts, "key").sortWithinPartitions("key", "digest").mapInArrow(_classify, FOUND))
 
 
 def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,8 +289,10 @@ def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, start, key, crowded, data = [], [], [], [], []
         for d, base, z, wanted in zip(*(batch.column(k).to_pylist() for k in range(4))):
             text = unsqueezed(z) if base is None else z
-            base = base or 0
+            base = _mark(text) if base is None else base
             for w in wanted:
+                if w["start"] >> 32 != base >> 32:  # of another text with this id
+                    continue
                 doc.append(d)
                 start.append(w["start"])
                 key.append(w["key"])
@@ -272,7 +327,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def covered_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, start, size: spans, which may overlap, of bytes to remove."""
+    """doc_id, start (with the text's mark), size: spans, which may overlap, of bytes to remove."""
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     docs = docs.select("doc_id", "text")
     runs = docs.mapInArrow(_runs(LEVELS[0]), "key long, digest long, doc_id long, place long")
@@ -318,7 +373,8 @@ def _apply(row_of, schema: pa.Schema):
             rows = []
             for doc, z, starts, sizes in zip(*(c.to_pylist() for c in batch.columns)):
                 text = unsqueezed(z)
-                gone = merged([(i, i + n) for i, n in zip(starts or [], sizes or [])])
+                own = _mark(text)
+                gone = merged([(i - own, i - own + n) for i, n in zip(starts or [], sizes or []) if i >> 32 == own >> 32])
                 parts, last = [], 0
                 for i, j in gone:
                     parts.append(text[last:i])
@@ -330,9 +386,11 @@ def _apply(row_of, schema: pa.Schema):
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    by = covered_spans(docs).groupBy(F.col("doc_id").alias("s_id")).agg(F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes"))
-    z = squeezed(docs)
-    return z.join(by, F.col("doc_id") == F.col("s_id"), "left").select("doc_id", "z", "starts", "sizes")
+    """doc_id, z (the compressed text), starts and sizes of its spans; a row without an id goes by a hash of its text."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("doc_id"), "text", F.col("doc_id").cast("long").alias("own_id"))
+    by = covered_spans(rows).groupBy(F.col("doc_id").alias("s_id")).agg(F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes"))
+    z = squeezed(rows, "own_id")
+    return z.join(by, F.col("doc_id") == F.col("s_id"), "left").select(F.col("own_id").alias("doc_id"), "z", "starts", "sizes")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
