@@ -10,13 +10,15 @@ Chunks have LEAST to 2 * LEAST - 1 bytes, but for shorter texts. They are compar
 where they follow each other over RUN bytes or make up a whole text: a few common words in a
 row are no repetition.
 
-Only digests, places and lengths are shuffled. Digests are counted with partial aggregation
-first, and only those met twice are joined back, so a chunk that a third of all documents
-share is one row in the join's small side.
+Texts are read once, and only digests, places and lengths are shuffled, once by digest and,
+of repeated chunks, once by document. Of equal chunks met together in one step only the first
+goes to its digest; the others can't be the first of all and are spread at random. So a chunk
+that a third of all documents share is a row for each step, not for each document.
 
 Cases: a null or empty text has no chunk. Rows that share an id count as copies of one
 document: a chunk stays at the same place in each. A null id comes first. An empty table
-gives no rows. Other columns are never read.
+gives no rows. A very long text is one step of its own. `removed` reads no other columns;
+`dedup_texts` returns them all, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textcore import BYTE_CODE, spans_of, steps
+from .shared import free_name
+from .textcore import BYTE_CODE, mix64, spans_of, steps
 
 LEAST = 24
 #: Repeated chunks in a row count from so many bytes.
@@ -88,7 +91,7 @@ def cuts(raw: np.ndarray, least: int = LEAST) -> list[int]:
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, length, d1, d2 of every chunk; mark: twice its place, and 1 more for the last one of a text."""
+    """doc_id, mark, length, d1, d2 of every chunk; mark: twice its place, and 1 more for the last one of a text; length: negative, and the digest random, if one like it comes before in the step."""
     schema = "doc_id long, mark int, length int, d1 long, d2 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,19 +112,24 @@ def chunk_table(docs: DataFrame) -> DataFrame:
             place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             mark = 2 * place + (place == counts[row] - 1)
             d = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())).cast(pa.int64()), pa.array(mark, pa.int32()), pa.array(lengths, pa.int32()), pa.array(d[:, 0]), pa.array(d[:, 1])],
-                names=["doc_id", "mark", "length", "d1", "d2"])
+            doc, size = batch.column(0).cast(pa.int64()), np.array(lengths, dtype=np.int32)
+            ids = np.where(doc.is_valid().to_numpy(zero_copy_only=False), doc.fill_null(0).to_numpy(), np.iinfo(np.int64).min)[row]
+            order = np.lexsort((mark, ids, d[:, 1], d[:, 0]))
+            same = (d[order][1:] == d[order][:-1]).all(axis=1)
+            best = np.maximum.accumulate(np.where(np.insert(same, 0, False), 0, np.arange(len(order)))) if len(order) else order
+            later = order[(ids[order] != ids[order][best]) | (mark[order] != mark[order][best])]  # than the first one; copies of one document at one place are
+            size[later] = -size[later]
+            d[later, 0] = mix64(d[later, 0].view(np.uint64) ^ mix64((ids[later].view(np.uint64) << np.uint64(20)) ^ mark[later].astype(np.uint64))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([doc.take(pa.array(row, pa.int64())), pa.array(mark, pa.int32()), pa.array(size), pa.array(d[:, 0]), pa.array(d[:, 1])], names=["doc_id", "mark", "length", "d1", "d2"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def duplicate_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, place, length of every chunk to remove."""
-    chunks = chunk_table(docs)
-    first = chunks.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "mark")).alias("first")).where("n > 1").drop("n")
-    again = chunks.join(first, ["d1", "d2"]).where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))))
-    again = again.select("doc_id", F.shiftright("mark", 1).alias("place"), (F.col("mark") % 2).alias("last"), "length")
+    rank = F.rank().over(Window.partitionBy("d1", "d2").orderBy(F.col("doc_id").asc_nulls_first(), "mark"))
+    again = chunk_table(docs).withColumn("rank", rank).where("rank > 1 or length < 0")
+    again = again.select("doc_id", F.shiftright("mark", 1).alias("place"), (F.col("mark") % 2).alias("last"), F.abs("length").alias("length"))
     # Chunks in a row have places that rise with their ranks.
     again = again.withColumn("row", F.col("place") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("place")))
     same = Window.partitionBy("doc_id", "row")
@@ -142,8 +150,9 @@ def removed(docs: DataFrame) -> DataFrame:
 
 def dedup_texts(docs: DataFrame) -> DataFrame:
     """All columns of `docs`, removed chunks cut out of `text`; ids must be unique."""
-    gone = duplicate_chunks(docs).groupBy(F.col("doc_id").alias("g_id")).agg(F.collect_list("place").alias("g_places"))
-    rows = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")), "left").select(*docs.columns, "g_places")
+    key, gone_places = free_name(docs, "gone_id"), free_name(docs, "gone_places")
+    gone = duplicate_chunks(docs).groupBy(F.col("doc_id").alias(key)).agg(F.collect_list("place").alias(gone_places))
+    rows = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(key)), "left").drop(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
