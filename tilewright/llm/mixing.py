@@ -5,12 +5,14 @@ weight, from a digest of its id; smaller keys are drawn first. A source whose ta
 times its size plus a rest gives q complete epochs and then, by key order, documents whose
 prefix sum reaches the rest. Keys are spread evenly over buckets of the unit interval, so
 prefix sums run within (source, bucket) and start from the sums of earlier buckets: no task
-ever holds a whole source.
+ever holds a whole source. The number of buckets grows with the table. Texts are read once;
+what is kept of them, id, source and size, is written to the shared folder.
 
 Cases: a null text has size 0 and takes part with taken 0. A null source is a source of its
 own and last in order. Repeated rows are drawn on their own. An empty table gives no rows.
-Extra columns are ignored; `doc_id`, `text` and `source` are the only ones read. A missing
-quality weight counts as 1.
+A very long text is one row whose size counts whole. `mix` reads `doc_id`, `text` and `source`
+alone; `mixed_documents` returns all columns, whatever their names. A missing quality weight
+counts as 1.
 """
 
 from __future__ import annotations
@@ -18,11 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import free_name, stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = "mix-1"
-BUCKETS = 256
+#: About so many documents in one of a source's buckets if they were all of that source.
+BUCKET_DOCS = 20_000
 
 
 def unit(key: Column, seed: str) -> Column:
@@ -53,13 +58,14 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     return per.select("source", "source_size", F.coalesce(F.least(own, F.col("w") * F.col("final")), own).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, quality: DataFrame | None = None, seed: str = SEED, buckets: int = BUCKETS) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, quality: DataFrame | None = None, seed: str = SEED, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken.
 
     quality: doc_id and weight (positive); the first weight of an id counts. A document is in
     the rest of its source when the middle of its words, in key order, lies within the rest.
     """
-    rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))
+    rows = stored(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")))
+    buckets = -(-rows.count() // bucket_docs)
     targets = source_targets(rows, weights, cap)
     if quality is not None:
         weight = quality.groupBy("doc_id").agg(F.max("weight").alias("weight"))
@@ -87,9 +93,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, qua
 
 def mixed_documents(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
     """The rows of `docs` with each repeated as often as the mix takes it; ids must be unique."""
-    plan = mix(docs, quality=quality).where("copies > 0").groupBy(F.col("doc_id").alias("mix_id")).agg(F.max("copies").alias("mix_copies"))
-    kept = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("mix_id")))
-    return kept.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
+    key, copies, copy = (free_name(docs, x) for x in ("mix_id", "mix_copies", "mix_copy"))
+    plan = mix(docs, quality=quality).where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
+    kept = docs.join(plan, F.col("doc_id").eqNullSafe(F.col(key)))
+    return kept.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(key, copies, copy)
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
