@@ -5,15 +5,19 @@ frozen. A byte costs -log2 of n / (n + q) in the longest context that has been s
 n being its count and q the context's distinct bytes, plus the escapes q / (n + q) from the
 longer contexts that have been seen without it; below order 0 every byte costs 8 bits. (This
 is escape method C with full counts and without exclusion.) A text goes to the language with
-the shortest code; its score is that language's share of 2 ** -length over all languages.
+the shortest code. Its score is that language's share of 2 ** (-SHARP * bits per byte) over
+all languages and a code of 8 bits a byte for none of them: near 1 where one language stands
+out, lower where two are as likely, near 0 for a text that no tree can shorten.
 
 The trees are fitted on a bounded sample of labelled rows: about SAMPLE rows for each
-language, picked by a hash of the id. Everything else covers every byte of every text.
+language, picked by a hash of the id, of the LANGUAGES most frequent ones. Everything else
+covers every byte of every text.
 
 Cases: `und` with score 0 for a null text, a text without a letter, or if nothing was
 learned. Rows with a null `lang` teach nothing. A null id is never held out. Equal lengths go
-to the first language in order. Equal rows give equal rows. An empty table gives no rows.
-Other columns are never read.
+to the first language in order. Equal rows give equal rows. An empty table gives no rows. A
+very long text is one step of its own. Other columns are passed on; one that has the name of
+a new one is replaced by it, and the new ones can be given other names.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ from .textcore import MULT, SPACE, spans_of, steps
 ORDER = 3
 #: About so many labelled rows of each language are learned from.
 SAMPLE = 1200
+#: At most so many languages are learned: the most frequent ones.
+LANGUAGES = 64
+SHARP = 2.0
 UNKNOWN = "und"
 SLOT_BITS = 21
 
@@ -152,7 +159,7 @@ def _letters(texts: pa.Array, raw: np.ndarray, offsets: np.ndarray) -> np.ndarra
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Trees from rows of `docs` (doc_id, text, lang) that aren't held out."""
     rows = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
     languages = sorted(known)
     if not languages:
         return Model([], [])
@@ -178,11 +185,11 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(list(by), list(by.values()))
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of `docs` with lang_pred and score; columns of these names are replaced."""
+def identify(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All columns of `docs` with `pred` and `score`; columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("lang_pred", "score")
-    schema = kept.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    kept = docs.drop(pred, score)
+    schema = kept.select("*", F.lit("").alias(pred), F.lit(0.0).alias(score)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -191,13 +198,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             texts = batch.column(batch.schema.get_field_index("text"))
             raw, offsets = spans_of(texts)
             ok = _letters(texts, raw, offsets)
-            best, score = np.full(len(ok), len(names) - 1), np.zeros(len(ok))
+            best, share = np.full(len(ok), len(names) - 1), np.zeros(len(ok))
             if len(names) > 1 and len(ok):
                 bits = model.lengths(raw, offsets)
-                low = bits.min(axis=1)
                 best = np.where(ok, bits.argmin(axis=1), best)
-                score = np.where(ok, 1.0 / np.exp2(-np.minimum(bits - low[:, None], 1000.0)).sum(axis=1), 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names[best], pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
+                rate = bits / np.maximum(np.diff(offsets), 1)[:, None]
+                gap = np.column_stack((rate, np.full(len(rate), 8.0))) - rate.min(axis=1)[:, None]
+                share = np.where(ok, 1.0 / np.exp2(-SHARP * np.maximum(gap, -400.0)).sum(axis=1), 0.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names[best], pa.string()), pa.array(share)], names=[*batch.schema.names, pred, score])
 
     return kept.mapInArrow(run, schema)
 
