@@ -14,7 +14,9 @@ their sets then share at least T = ceil(0.8 n) members of either.
    sets or counts against the link, so a pair with too few in common is dropped; it is
    searched all the same if it shares a longer list. A longer list gives the pairs of each of
    its first PIVOTS classes with the others: the text that near copies were made from has no
-   rare shingle of its own.
+   rare shingle of its own. In the list of a frequent shingle all rare ones of a set are in
+   its prefix, so a pair that shares none of them, and is in no other list for that, is left
+   out if either set has more of them than a link allows.
 3. These pairs are verified before anything is tied together. They are dealt into cells of
    about CELL shingles by their first class, a class with more partners into several, and each
    cell is searched by DivideSkip: for a query set the short inverted lists are merged by a
@@ -23,7 +25,8 @@ their sets then share at least T = ceil(0.8 n) members of either.
 4. Links become components by alternating star contraction. A long list whose classes are all
    in one component is settled. Of any other one, the classes outside its largest component
    are searched against all of its classes, in blocks, by DivideSkip; sets already connected
-   are left out of the merged lists.
+   are left out of the merged lists, and a pair that is in several long lists is searched in
+   the first one only.
 
 Links leave a cell as a tree over the sets they connect, with at most FAN branches at a node.
 No step emits the pairs of a group or gathers a group, list or component in one task beyond
@@ -67,6 +70,7 @@ FAN = 64
 #: DivideSkip's weight: with lists up to M long, T / (MU * log2 M + 1) lists count as long.
 MU = 0.05
 ENDLESS = (1 << 31) - 1
+FREQUENT = -1
 
 
 def _squeeze(values: np.ndarray) -> bytes:
@@ -138,7 +142,7 @@ def _least(n: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(hot):
-    """h, c, size (shingles of the set; from bit 32, rare ones of its prefix) and end (of a prefix of rare ones alone, upper 31 bits of its last)."""
+    """h, c, size (shingles of the set; from bit 32, rare ones of its prefix) and end (of a prefix of rare ones alone, upper 31 bits of its last; FREQUENT at a frequent one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = hot.value
@@ -157,13 +161,15 @@ def _prefixes(hot):
             order = np.lexsort((late, doc))  # stable: within a class of frequency still by hash
             many = n - _least(n) + 1
             rare = np.minimum(n - np.bincount(doc[late], minlength=len(n)), many)
+            late = late[order]
             end = np.full(len(n), ENDLESS, dtype=np.int64)
             all_rare = (rare == many) & (n > 0)
             end[all_rare] = (hashes[order][(at[:-1] + many - 1)[all_rare]] >> np.uint64(33)).astype(np.int64)
             take = ranges(at[:-1][use], many[use])
             row = doc[take]
+            ends = np.where(late[take], FREQUENT, end[row])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[order][take].view(np.int64)), pa.array(digest[row]), pa.array((rare[row] << 32) | n[row]), pa.array(end[row], pa.int32())], names=["h", "c", "size", "end"])
+                [pa.array(hashes[order][take].view(np.int64)), pa.array(digest[row]), pa.array((rare[row] << 32) | n[row]), pa.array(ends, pa.int32())], names=["h", "c", "size", "end"])
 
     return run
 
@@ -175,6 +181,12 @@ def _near(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
 
 
+def _room(n: np.ndarray, rare_n: np.ndarray, m: np.ndarray, rare_m: np.ndarray) -> np.ndarray:
+    """Whether sets of n and m that share none of their rare shingles may link."""
+    need = (PERCENT * (n + m) + 99 + PERCENT) // (100 + PERCENT)
+    return (rare_n <= n - need) & (rare_m <= m - need)
+
+
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows by (h, size, c): pairs of short lists; of long ones a star of pairs around each pivot, and the members a with their h.
 
@@ -187,7 +199,10 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def pairs(columns, i, j, star):
         _, c, size, end = columns
-        near = _near(size[i] & 0xFFFFFFFF, size[j] & 0xFFFFFFFF)
+        n, m = size[i] & 0xFFFFFFFF, size[j] & 0xFFFFFFFF
+        near = _near(n, m)
+        if star:
+            near &= (end[i] != FREQUENT) | _room(n, size[i] >> 32, m, size[j] >> 32)
         i, j = i[near], j[near]
         if len(i):
             zero = np.zeros(len(i), np.int64)
@@ -281,7 +296,8 @@ def _possible(lists: DataFrame) -> DataFrame:
     n, m, rare_n, rare_m = _count("size_a"), _count("size_b"), F.shiftright("size_a", 32), F.shiftright("size_b", 32)
     need = F.floor((PERCENT * (n + m) + 99 + PERCENT) / (100 + PERCENT))
     by_a, by_b = rare_n - F.col("common") <= n - need, rare_m - F.col("common") <= m - need
-    enough = ((F.col("end_a") <= F.col("end_b")) & by_a) | ((F.col("end_b") <= F.col("end_a")) & by_b)
+    end_a, end_b = (F.when(F.col(x) == FREQUENT, ENDLESS).otherwise(F.col(x)) for x in ("end_a", "end_b"))
+    enough = ((end_a <= end_b) & by_a) | ((end_b <= end_a) & by_b)
     return lists.where("h is null").where((F.col("star") > 0) | enough).select("a", "b", n.alias("n_a"), m.alias("n_b"))
 
 
@@ -311,28 +327,38 @@ def merge_skip(lists: list[list[int]], need: int) -> list[tuple[int, int]]:
     return out
 
 
-def divide_skip(sets: list[np.ndarray], ask: np.ndarray, listed: np.ndarray, root: np.ndarray | None = None, forest: bool = True) -> list[tuple[int, int]]:
-    """Links between sets that ask and sets that are listed; with `forest` those that join them as all links do, given that sets of equal `root` are joined."""
+def divide_skip(sets: list[np.ndarray], ask: np.ndarray, listed: np.ndarray, root: np.ndarray | None = None, rare: np.ndarray | None = None, skip=None, forest: bool = True) -> list[tuple[int, int]]:
+    """Links between sets that ask and sets that are listed; with `forest` those that join them as all links do, given that sets of equal `root` are joined.
+
+    rare: of every set so many shingles that no other one shares; where any is negative, all pairs are searched. skip: of a set, those not to search it against.
+    """
     size = np.array([len(s) for s in sets], dtype=np.int64)
     root = np.arange(len(sets)) if root is None else np.unique(root, return_inverse=True)[1]
     others = np.flatnonzero(listed & (size > 0))
     if not len(others):
         return []
+    rare = None if rare is None or (rare < 0).any() else rare
     owner = np.repeat(others, size[others])
     tokens, back, df = np.unique(np.concatenate([sets[k] for k in others.tolist()]), return_inverse=True, return_counts=True)
     posted, start = owner[np.argsort(back, kind="stable")], np.cumsum(df) - df
     logs = np.log2(max(2, int(df.max())))
     out = []
     for d in np.flatnonzero(ask).tolist():
-        need = int(_least(size[d]))
         at = np.minimum(np.searchsorted(tokens, sets[d]), len(tokens) - 1)
         own = at[tokens[at] == sets[d]]
-        if len(own) < max(need, 1):
+        if len(own) < max(_least(size[d]), 1):
             continue
-        wanted = _near(size, size[d])
+        wanted = listed & _near(size, size[d])
         wanted[d] = False
         if forest:
             wanted &= root != root[d]
+        if rare is not None:
+            wanted &= _room(size, rare, size[d], rare[d])
+        if skip is not None:
+            wanted[skip(d)] = False
+        if not wanted.any():
+            continue
+        need = int((PERCENT * (size[d] + size[wanted].min()) + 99 + PERCENT) // (100 + PERCENT))  # what the smallest of them takes
         ids = posted[ranges(start[own], df[own])]
         kept = wanted[ids]
         lengths = np.add.reduceat(kept, np.cumsum(df[own]) - df[own], dtype=np.int64)
@@ -369,22 +395,34 @@ def _trees(links: list[tuple[int, int]], n: int) -> tuple[np.ndarray, np.ndarray
     return order[low], order[(base + (place - 1) // FAN)[low]]
 
 
+def _earlier(h: int, hs: list[list[int]]):
+    """Of a member of the list h, those that it shares an earlier list with; hs: the lists of each member."""
+    by: dict[int, list[int]] = {}
+    for k, own in enumerate(hs):
+        for x in own:
+            if x < h:
+                by.setdefault(x, []).append(k)
+    arrays = {x: np.array(own) for x, own in by.items()}
+    return lambda d: np.concatenate([np.zeros(0, np.int64), *(arrays[x] for x in hs[d] if x < h)])
+
+
 def _search(table: pa.Table) -> pa.Table:
     c = table["c"].to_numpy()
     sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table["members"]]
-    links = divide_skip(sets, table["ask"].to_numpy(), table["listed"].to_numpy(), table["root"].to_numpy())
+    skip = _earlier(table["h"][0].as_py(), table["hs"].to_pylist()) if "hs" in table.column_names else None
+    links = divide_skip(sets, table["ask"].to_numpy(), table["listed"].to_numpy(), table["root"].to_numpy(), table["rare"].to_numpy(), skip)
     a, b = _trees(links, len(c))
     return pa.table({"a": pa.array(c[a]), "b": pa.array(c[b])})
 
 
 def _searched(cells: DataFrame, keys: list[str], sets: DataFrame) -> DataFrame:
-    """Links of cells of (keys, c, ask, listed, root)."""
-    cells = cells.groupBy(*keys, "c").agg(F.max("ask").alias("ask"), F.max("listed").alias("listed"), F.min("root").alias("root"))
+    """Links of cells of (keys, c, ask, listed, root, rare)."""
+    cells = cells.groupBy(*keys, "c").agg(F.max("ask").alias("ask"), F.max("listed").alias("listed"), F.min("root").alias("root"), F.min("rare").alias("rare"))
     return cells.join(sets, "c").groupBy(*keys).applyInArrow(_search, "a long, b long")
 
 
 def _pair_cells(pairs: DataFrame) -> DataFrame:
-    """cell, part, c, ask, listed, root of pairs (a, b, n_a, n_b)."""
+    """cell, part, c, ask, listed, root, rare of pairs (a, b, n_a, n_b)."""
     by = pairs.groupBy("a").agg(F.sum("n_b").alias("w"), F.max("n_a").alias("n"))
     whole = by.agg(F.sum(F.col("w") + F.col("n"))).first()[0] or 0
     cells = -(-whole // CELL)
@@ -393,13 +431,13 @@ def _pair_cells(pairs: DataFrame) -> DataFrame:
     part = F.when(F.col("k") > 1, F.pmod(F.xxhash64("b"), F.col("k"))).otherwise(-1)
     dealt = dealt.select("a", "b", part.alias("part"), F.when(F.col("k") > 1, F.col("a")).otherwise(F.pmod(F.xxhash64("a"), F.lit(max(cells, 1)))).alias("cell"))
     yes, no = F.lit(True), F.lit(False)
-    role = lambda c, ask, listed: dealt.select("cell", "part", F.col(c).alias("c"), ask.alias("ask"), listed.alias("listed"), F.col(c).alias("root"))
+    role = lambda c, ask, listed: dealt.select("cell", "part", F.col(c).alias("c"), ask.alias("ask"), listed.alias("listed"), F.col(c).alias("root"), F.lit(-1).cast("long").alias("rare"))
     return role("a", yes, no).union(role("b", no, yes))
 
 
 def _list_cells(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """h, one, two, c, ask, listed, root of long lists (h, c, n) whose classes aren't all in one component."""
-    rows = members.join(linked.withColumnRenamed("id", "c"), "c", "left").select("h", "c", "n", F.coalesce("component", "c").alias("root"))
+    """h, one, two, c, ask, listed, root, rare of long lists (h, c, n, rare) whose classes aren't all in one component."""
+    rows = members.join(linked.withColumnRenamed("id", "c"), "c", "left").select("h", "c", "n", "rare", F.coalesce("component", "c").alias("root"))
     per = rows.groupBy("h", "root").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("w"))
     main = per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.struct("k", "root", "w")).alias("m"), F.sum("w").alias("all")).where("kinds > 1")
     half = CELL // 2
@@ -408,8 +446,8 @@ def _list_cells(members: DataFrame, linked: DataFrame) -> DataFrame:
     yes, no = F.lit(True), F.lit(False)
     one, two = F.pmod(F.xxhash64("c"), F.col("ones")).cast("int"), F.pmod(F.xxhash64("c"), F.col("twos")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asking = rows.where("root <> main").select("h", one.alias("one"), every("twos").alias("two"), "c", yes.alias("ask"), no.alias("listed"), "root")
-    return asking.union(rows.select("h", every("ones").alias("one"), two.alias("two"), "c", no.alias("ask"), yes.alias("listed"), "root"))
+    asking = rows.where("root <> main").select("h", one.alias("one"), every("twos").alias("two"), "c", yes.alias("ask"), no.alias("listed"), "root", "rare")
+    return asking.union(rows.select("h", every("ones").alias("one"), two.alias("two"), "c", no.alias("ask"), yes.alias("listed"), "root", "rare"))
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -428,7 +466,9 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = prefixes.repartition(parts, "h").sortWithinPartitions("h", "size", "c").mapInArrow(_lists, LISTED)
     known = [F.first(x).alias(x) for x in ("size_a", "size_b", "end_a", "end_b")]
     lists = settled(found.groupBy("a", "b", "h").agg(F.sum(1 - F.col("star")).alias("common"), F.max("star").alias("star"), *known))
-    pairs, long = _possible(lists), lists.where("h is not null").select("h", F.col("a").alias("c"), _count("size_a").alias("n"))
+    frequent = F.col("end_a") == FREQUENT
+    first = F.shiftrightunsigned("h", 1)  # lists of rare shingles come before those of frequent ones, which leave pairs to them
+    pairs, long = _possible(lists), lists.where("h is not null").select(F.when(frequent, first).otherwise(-1 - first).alias("h"), F.col("a").alias("c"), _count("size_a").alias("n"), F.when(frequent, F.shiftright("size_a", 32)).otherwise(-1).alias("rare"))
 
     # One text for each class, by id and text: an id may be null, or be on several texts.
     asked = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).union(long.select("c")).distinct()
@@ -437,7 +477,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = stored(texts.groupBy("c").agg(F.first("z").alias("z")).mapInArrow(_sets, "c long, members binary"))
 
     linked = components(_searched(_pair_cells(pairs), ["cell", "part"], sets))
-    more = settled(_searched(_list_cells(long, linked), ["h", "one", "two"], sets))
+    own = long.groupBy("c").agg(F.collect_set("h").alias("hs"))
+    more = settled(_searched(_list_cells(long, linked), ["h", "one", "two"], sets.join(own, "c")))
     if not more.isEmpty():
         linked = components(linked.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
     return members, linked
