@@ -487,6 +487,17 @@ def test_language_held_out_accuracy(spark):
     assert len(out) > 100 and sum(r["lang_pred"] == truth[r["doc_id"]] for r in out) >= 0.97 * len(out)
 
 
+def test_language_scores(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.learn(d)
+    r = random.Random(3)
+    odd = ["".join(r.choice("bcdfghjklmnpqrstvwxz ") for _ in range(400)), "".join(chr(r.randrange(0x430, 0x44F)) for _ in range(200)), "zxcv " * 60]
+    out = langid.identify(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), model).collect()
+    assert all(x["score"] < 0.01 for x in out)
+    own = [x["score"] for x in langid.identify(d.where("length(text) > 40"), model).collect()]
+    assert min(own) > 0.1 and np.percentile(own, 2) > 0.7
+
+
 def test_language_cases(spark, docs):
     from pyspark.sql import functions as F
 
@@ -608,13 +619,38 @@ def test_topk(spark, monkeypatch):
     base = r.normal(size=(8, 16))
     vectors = [(int(k), (base[k % 8] * r.uniform(0.1, 3) + 0.02 * r.normal(size=16)).tolist()) for k in range(900)] + [(1000 + k, base[0].tolist()) for k in range(20)]
     vectors += [(5000, None), (5001, [None] * 16), (5050, [float("nan")] * 16), (5051, [float("inf")] + [0.0] * 15), (None, [0.1] * 16)]
-    monkeypatch.setattr(topk, "SEED_ROWS", 32)
+    monkeypatch.setattr(topk, "GROWTH", 2)
     monkeypatch.setattr(topk, "BUCKET", 100)
     monkeypatch.setattr(topk, "BLOCK", 7)
     df = topk.integers(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"))
     assert {tuple(x) for x in topk.top_products(df, df.where("vec_id % 50 = 0")).collect()} == brute_topk(vectors)
 
 
+def test_topk_of_large_parts_and_repeated_ids(spark):
+    vectors = [(0, [1e20, 0.0]), (1, [1.0, 2.0]), (2, [-1e20, 3.0]), (3, [3e38, 3e38]), (50, [0.0, 0.5]), (50, [0.0, 0.5]), (51, [2.0**40, 1.0]), (52, [2.0**40, 1.0 + 2.0**-8]), (100, [2.0**20, 2.0**20]), (53, [1e305, 0.0]), (54, [1.7e308, 0.0])]
+    df = topk.integers(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"))
+    usable = [(i, [int(np.floor(256 * y)) for y in x]) for i, x in vectors if i != 54]
+    want, most = set(), (1 << 63) - 1
+    for q, v in dict(usable).items():
+        if q % 50 == 0:
+            scores = sorted((-max(-most, min(most, sum(a * b for a, b in zip(v, x)))), i) for i, x in usable if i != q)[:5]
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)}
+    assert {tuple(x) for x in topk.top_products(df, df.where("vec_id % 50 = 0")).collect()} == want
+    floats = topk.integers(spark.createDataFrame([(0, [1e20, 1.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>"))
+    assert [tuple(x) for x in topk.top_products(floats, floats.where("vec_id = 0")).collect()] == [(0, 1, 1, most)]
+
+
+def test_pairs_that_are_too_short_never_reach_python(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    vectors = [(int(k), ((0.01 if k >= 200 else 10.0) * np.abs(r.normal(size=4)) + 0.001).tolist()) for k in range(1000)]
+    monkeypatch.setattr(topk, "BUCKET", 100)
+    df = topk.integers(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"))
+    result = topk.top_products(df, df.where("vec_id % 50 = 0"))
+    assert {tuple(x) for x in result.collect()} == brute_topk(vectors)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "longest" in plan and ">= need" in plan
+
+
 def test_urls(spark):
     import datetime as dt
 
@@ -650,6 +686,69 @@ def test_queries_match_sql(spark, sf_dir, name):
     assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, db.execute(f"SELECT {columns} FROM ({registry.SQL[name]})").fetchall()))
 
 
+CLASHES = ("c", "n", "g_id", "gone", "gone_id", "gone_places", "mix_id", "mix_copies", "mix_copy", "score", "lang_pred", "lang_score", "weight", "bucket", "z", "rank", "key", "seen")
+
+
+def test_columns_of_any_name(spark, rows):
+    from pyspark.sql import functions as F
+
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.concat(F.lit("own "), F.col("doc_id").cast("string")) for c in CLASHES})
+    for out in (chunks.dedup_texts(docs), ngramjoin.one_of_each(docs), mixing.mixed_documents(docs), secrets.redact(docs), corpus_pipeline.keep_languages(spark, docs, "")):
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(r[c] == f"own {r['doc_id']}" for r in got for c in CLASHES)
+    plain = spark.createDataFrame(rows, SCHEMA)
+    same = lambda x, y: Counter(map(str, x.collect())) == Counter(map(str, y.collect()))
+    assert same(suffixes.dedup(docs), suffixes.dedup(plain)) and same(secrets.scan(docs), secrets.scan(plain)) and same(packing.token_pieces(docs), packing.token_pieces(plain))
+    assert same(quality.judge(*quality.survey(docs), quality.Chain()), quality.judge(*quality.survey(plain), quality.Chain()))
+
+
+def pipeline_of(spark, tmp_path, rows, labels=((1, 1),)):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, SCHEMA + ", score string, g_id string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    return corpus_pipeline.run(spark, folder).collect()
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    assert pipeline_of(spark, tmp_path, []) == []
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    text = words(80, 1)
+    odd = [(None, text + " x"), (1, text), (1, text), (2, text), (3, None), (4, ""), (5, "".join(random.Random(1).choices("qxzjkvw0123456789#;", k=400))), (None, None)]
+    rows = [(d, t, None, None, None, "own", "own") for d, t in odd] + [(100 + k, words(60 + k, 50 + k), "en", ("a", None)[k % 2], 1, None, None) for k in range(40)]
+    out = pipeline_of(spark, tmp_path, rows)
+    ids = {r["doc_id"] for r in out}
+    assert {3, 4, 5, 2} & ids == set() and ids <= {None, 1, *range(100, 140)} and len(ids) > 20
+
+
+def test_very_long_texts(spark):
+    """One text of 10 MB among short ones, through every operator of documents."""
+    r = random.Random(11)
+    big = [f"w{k:05d}" for k in range(50000)]
+    long = "\n".join(" ".join(r.choices(big, k=1000)) for _ in range(1430))
+    assert len(long) > 10_000_000
+    near = long.replace("w00001 ", "v00001 ")
+    rows = [(1, long), (2, near), (3, words(50, 1)), (4, long[:2_000_000])]
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], SCHEMA)
+    assert {x["doc_id"]: x["component_id"] for x in ngramjoin.join_components(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    gone = {x["doc_id"]: x["n_removed"] for x in suffixes.dedup(docs).collect()}
+    assert gone[1] > 0.9 * len(long) and gone[2] > 0.9 * len(long) and gone[3] == 0 and gone[4] > 0.9 * 2_000_000
+    cut = {x["doc_id"]: x["n_removed"] for x in chunks.removed(docs).collect()}
+    assert cut[1] == 0 and cut[2] > 0.9 * len(long) and cut[3] == 0 and cut[4] > 0.9 * 2_000_000
+    pieces = packing.pack_documents(docs).groupBy("doc_id").count().collect()
+    assert all(x["count"] > 400 for x in pieces if x["doc_id"] != 3)
+    sizes = {x["doc_id"]: x["size"] for x in mixing.mix(docs).collect()}
+    assert sizes[1] == 1_430_000
+    assert {x["lang_pred"] for x in langid.identify(docs, langid.learn(docs)).collect()} == {"en"}
+    assert secrets.scan(docs).where("n_assign + n_access + n_hex > 0").count() == 0
+    found, seen = quality.survey(docs)
+    assert {x["doc_id"]: (x["n_words"], x["n_lines"]) for x in quality.judge(found, seen, quality.train(found, seen, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int"))).collect()}[1] == (1_430_000, 1430)
+
+
 def test_pipeline_stages(spark, sf_dir):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
