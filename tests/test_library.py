@@ -196,7 +196,7 @@ def test_spatial_join_and_merge(spark):
     want = {(a[0], b[0]) for a in boxes for b in boxes if a[1] <= b[3] and b[1] <= a[3] and a[2] <= b[4] and b[2] <= a[4]}
     rows = spatial.touching(df, df, 16).select("l_id", "r_id").collect()
     assert len(rows) == len(want) and {tuple(r) for r in rows} == want
-    comp = {r["id"]: r["component"] for r in spatial.merge_touching(df, "id", 16).collect()}
+    comp = {r["id"]: r["component"] for r in spatial.merge_touching(df.withColumn("image", F.lit(1)), "id", 16, ["image"]).collect()}
     assert all(comp[a] == comp[b] for a, b in want)
 
 
@@ -319,3 +319,54 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() == 500
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def ring_area(r):
+    x, y = r[:, 0], r[:, 1]
+    return float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)
+
+
+def test_outlines_of_combined_polygons():
+    box = lambda x, y, w, h: [np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h)], dtype=float)]
+    union, both, less = (lambda p, a: p), (lambda p, a: p and a), (lambda p, a: p and not a)
+    out = G.slab_rings([box(0, 0, 4, 4)], [box(1, 1, 2, 2)], less)  # a hole
+    assert sorted(map(ring_area, out)) == [-4.0, 16.0]
+    out = G.slab_rings([box(0, 0, 2, 2), box(2, 2, 2, 2)], [], union)  # meet in a point
+    assert sorted(map(ring_area, out)) == [4.0, 4.0] and all(len(r) == 4 for r in out)
+    out = G.slab_rings([box(0, 0, 2, 2), box(1, 0, 3, 2)], [], union)
+    assert len(out) == 1 and len(out[0]) == 4 and ring_area(out[0]) == 8.0
+    assert G.slab_rings([box(0, 0, 1, 1)], [box(5, 5, 1, 1)], both) == []
+    r = np.random.default_rng(4)
+    for _ in range(40):
+        sides = []
+        for _ in range(2):
+            polygons = []
+            for _ in range(3):
+                turn = np.sort(r.uniform(0, 2 * np.pi, 7))
+                polygons.append([np.stack([np.cos(turn), np.sin(turn)], axis=1) * r.uniform(0.3, 2, (7, 1)) + r.uniform(-1, 1, 2)])
+            sides.append(polygons)
+        a, b, common = G.slab_areas(*sides)
+        for keep, want in ((union, a), (both, common), (less, a - common)):
+            assert sum(map(ring_area, G.slab_rings(*sides, keep))) == pytest.approx(want, abs=1e-6)
+
+
+def test_order_values(spark, monkeypatch):
+    monkeypatch.setattr(stats, "BINS", 4)
+    r = np.random.default_rng(5)
+    values = [*r.normal(size=200).tolist(), *[0.25] * 90, 1e9, -1e9, None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    real = np.sort([v for v in values if v is not None and v == v])
+    assert stats.order_values(df, "v", [0, 1, 100, 150, 291, 5]) == [real[k] for k in (0, 1, 100, 150, 291, 5)]
+    assert stats.exact_quantiles(df, "v", [0.1, 0.5, 0.9]) == pytest.approx(np.percentile(real, [10, 50, 90]).tolist())
+    assert stats.quantile_filter(df.limit(0), "v", 0.1, 0.9).count() == stats.large_area_filter(df.limit(0), "v").count() == 0
+    top = stats.top_share(spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k long, v double").where("not isnan(v) or v is null"), "v", 0.2, ["k"]).collect()
+    assert sorted((x["v"] for x in top), reverse=True) == sorted(real, reverse=True)[:58]
+
+
+def test_vector_moments_by_group(spark):
+    r = np.random.default_rng(6)
+    x, g = r.normal(size=(300, 4)) + 100, r.integers(0, 3, 300)
+    df = spark.createDataFrame([(int(k), v.tolist()) for k, v in zip(g, x)], "g long, v array<double>").repartition(5)
+    for row in stats.vector_moments(df, "v", ["g"]).collect():
+        own = x[g == row["g"]]
+        assert row["n"] == len(own) and row["cov"] == pytest.approx(np.cov(own.T)[row["i"], row["j"]]) and row["mean_j"] == pytest.approx(own[:, row["j"]].mean())

@@ -125,13 +125,8 @@ def rotated_dimensions(ring) -> Column:
     return F.pandas_udf(run, kind)(col(ring))
 
 
-def slab_areas(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[float, float, float]:
-    """Areas of A, of B and of both, of regions given by rings under the non-zero union of even-odd polygons.
-
-    The plane is cut at every vertex and crossing height; between two cuts every region is a
-    set of trapezoids whose area is the width at half height times the height. a, b: lists of
-    polygons, each a list of rings (outer and holes).
-    """
+def _slabs(a: list[list[np.ndarray]], b: list[list[np.ndarray]]):
+    """(y0, y1, edges at both heights, their owners) of every slab; see slab_areas."""
     edges, owner = [], []
     for side, polygons in enumerate((a, b)):
         for k, rings in enumerate(polygons):
@@ -140,8 +135,8 @@ def slab_areas(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[float, float,
                 keep = p[:, 1] != q[:, 1]
                 edges.append(np.hstack([p[keep], q[keep]]))
                 owner += [(side, k)] * int(keep.sum())
-    if not edges or not owner:
-        return 0.0, 0.0, 0.0
+    if not owner:
+        return
     e = np.vstack(edges)
     cuts = [e[:, 1], e[:, 3]]
     d = e[:, 2:] - e[:, :2]
@@ -155,29 +150,93 @@ def slab_areas(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[float, float,
         cuts.append(e[i, 1] + t[ok] * d[i, 1])
     ys = np.unique(np.concatenate(cuts))
     low, high = np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3])
-    total = [0.0, 0.0, 0.0]
     for y0, y1 in zip(ys[:-1], ys[1:]):
         mid = (y0 + y1) / 2
         some = np.flatnonzero((low <= y0) & (high >= y1) & (low < mid) & (high > mid))
-        x = e[some, 0] + (mid - e[some, 1]) / d[some, 1] * d[some, 0]
-        order = np.argsort(x, kind="stable")
-        inside: dict = {}
-        depth, last = [0, 0], 0.0
-        for k in order.tolist():
-            width = (x[k] - last) * (y1 - y0)
-            if depth[0]:
-                total[0] += width
-            if depth[1]:
-                total[1] += width
-            if depth[0] and depth[1]:
-                total[2] += width
-            who = owner[some[k]]
-            inside[who] = not inside.get(who, False)
-            depth[who[0]] += 1 if inside[who] else -1
-            last = x[k]
+        at = lambda y: e[some, 0] + (y - e[some, 1]) / d[some, 1] * d[some, 0]
+        order = np.argsort(at(mid), kind="stable")
+        yield y0, y1, at(y0)[order], at(y1)[order], [owner[k] for k in some[order].tolist()]
+
+
+def _stretches(owners: list[tuple[int, int]]):
+    """(k, in A, in B): what holds between the edges k - 1 and k of a slab."""
+    inside: dict = {}
+    depth = [0, 0]
+    for k, who in enumerate(owners):
+        yield k, depth[0] > 0, depth[1] > 0
+        inside[who] = not inside.get(who, False)
+        depth[who[0]] += 1 if inside[who] else -1
+
+
+def slab_areas(a: list[list[np.ndarray]], b: list[list[np.ndarray]]) -> tuple[float, float, float]:
+    """Areas of A, of B and of both, of regions given by rings under the non-zero union of even-odd polygons.
+
+    The plane is cut at every vertex and crossing height; between two cuts every region is a
+    set of trapezoids. a, b: lists of polygons, each a list of rings (outer and holes).
+    """
+    total = [0.0, 0.0, 0.0]
+    for y0, y1, x0, x1, owners in _slabs(a, b):
+        x = (x0 + x1) / 2
+        for k, in_a, in_b in _stretches(owners):
+            width = (x[k] - x[k - 1]) * (y1 - y0) if k else 0.0
+            for place, hit in enumerate((in_a, in_b, in_a and in_b)):
+                total[place] += width if hit else 0.0
     return total[0], total[1], total[2]
 
 
+def slab_rings(a: list[list[np.ndarray]], b: list[list[np.ndarray]], keep) -> list[np.ndarray]:
+    """Outlines of where keep(in A, in B) holds: outer rings counter-clockwise, holes clockwise.
+
+    The trapezoids of a slab give its slanted sides; where slabs meet, the parts of their
+    horizontal sides that only one of them has remain. Sides are then linked, turning left as
+    far as possible where several go on, so that rings that touch in a point stay apart.
+    """
+    near = lambda v: round(float(v), 9) + 0.0
+    sides: list[tuple[tuple[float, float], tuple[float, float]]] = []
+    flat: dict[float, dict[float, int]] = {}
+    for y0, y1, x0, x1, owners in _slabs(a, b):
+        begun = None
+        held = [keep(in_a, in_b) for _, in_a, in_b in _stretches(owners)] + [False]
+        for k in range(len(owners)):
+            if held[k + 1] and not held[k]:
+                begun = k
+            elif held[k] and not held[k + 1]:
+                (l0, l1), (r0, r1) = (near(x0[begun]), near(x1[begun])), (near(x0[k]), near(x1[k]))
+                low, high = near(y0), near(y1)
+                sides += [((r0, low), (r1, high)), ((l1, high), (l0, low))]
+                for y, x, turn in ((low, l0, 1), (low, r0, -1), (high, l1, -1), (high, r1, 1)):
+                    flat.setdefault(y, {}).setdefault(x, 0)
+                    flat[y][x] += turn
+    for y, turns in flat.items():
+        xs, depth = sorted(turns), 0
+        for p, q in zip(xs[:-1], xs[1:]):
+            depth += turns[p]
+            if depth:
+                sides.append(((p, y), (q, y)) if depth > 0 else ((q, y), (p, y)))
+    after: dict[tuple[float, float], list[tuple[float, float]]] = {}
+    for p, q in sides:
+        if p != q:
+            after.setdefault(p, []).append(q)
+    rings = []
+    for start in list(after):
+        while after.get(start):
+            ring, here = [start], after[start].pop()
+            while here != start and after.get(here):
+                back = np.arctan2(ring[-1][1] - here[1], ring[-1][0] - here[0])
+                turn = [(np.arctan2(q[1] - here[1], q[0] - here[0]) - back) % (2 * np.pi) for q in after[here]]
+                ring.append(here)
+                here = after[here].pop(int(np.argmax(turn)))
+            rings.append(np.array(_straight(ring)))
+    return [r for r in rings if len(r) > 2]
+
+
+def _straight(ring: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Without the points on a straight line between their neighbours."""
+    n = len(ring)
+    turn = lambda p, q, r: (q[0] - p[0]) * (r[1] - q[1]) - (q[1] - p[1]) * (r[0] - q[0])
+    return [ring[k] for k in range(n) if abs(turn(ring[k - 1], ring[k], ring[(k + 1) % n])) > 1e-12]
+
+
 def clip_ring(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
     """The part of a polygon within a box, one side after another; parts may be joined by edges without area."""
     for axis, bound, sign in ((0, x0, 1.0), (0, x1, -1.0), (1, y0, 1.0), (1, y1, -1.0)):

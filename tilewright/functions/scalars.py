@@ -154,3 +154,9 @@ def metres(pixels, microns_per_pixel) -> Column:
 def bucket(text, buckets: int = 4000) -> Column:
     """A stable partition number of a string, from the first 32 bits of its MD5 digest."""
     return F.pmod(F.conv(F.substring(F.md5(col(text).cast("binary")), 1, 8), 16, 10).cast("bigint"), F.lit(buckets)).cast("bigint")
+
+
+def digest_unit(name: str, *parts) -> Column:
+    """A reproducible number in [0, 1), a multiple of 2**-32, from an MD5 digest of the name and the parts."""
+    text = F.concat_ws(":", F.lit(name), *[col(p).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint").cast("double") / float(1 << 32)

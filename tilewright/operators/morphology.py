@@ -29,6 +29,15 @@ def dilate(flags: DataFrame, size: int, height: int, width: int) -> DataFrame:
     return grown.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1)).distinct()
 
 
+def swept(pixels: DataFrame, v: str, thresholds: list[float], sizes: list[int], height: int, width: int) -> DataFrame:
+    """(threshold, size, tile_id, y, x): pixels above each threshold, dilated by each size; both lists are short parameters."""
+    rows = pixels.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds]))).where(F.col(v) > F.col("threshold"))
+    rows = rows.select("threshold", F.explode(F.array(*[F.lit(k) for k in sizes])).alias("size"), *BY, "y", "x")
+    reach = lambda c: F.explode(F.expr(f"sequence(cast({c} - (size - 1) div 2 as int), cast({c} + size div 2 as int))"))
+    grown = rows.withColumn("y", reach("y")).withColumn("x", reach("x"))
+    return grown.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1)).distinct()
+
+
 def erode(flags: DataFrame, size: int, height: int, width: int, mirrored: bool = False) -> DataFrame:
     """(tile_id, y, x) whose whole neighbourhood within the image is flagged; mirrored: of an even square, the other way round."""
     before, after = square(size)[::-1] if mirrored else square(size)

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import col, divide_no_nan, flag, min_max, origin_distance
+from ..functions.scalars import col, digest_unit, divide_no_nan, flag, min_max, origin_distance
+
+
+#: Thresholds that are evaluated at a time.
+GRID = 10_000
 
 
 def absolute_errors(pixels: DataFrame, truth: str = "v", made: str = "r") -> DataFrame:
@@ -13,9 +19,10 @@ def absolute_errors(pixels: DataFrame, truth: str = "v", made: str = "r") -> Dat
 
 
 def normalise(pixels: DataFrame, v: str, by: list[str], out: str) -> DataFrame:
-    """Min-max over each image; a flat image is 0."""
-    w = Window.partitionBy(*by)
-    return pixels.withColumn(out, min_max(F.col(v), F.min(v).over(w), F.max(v).over(w)))
+    """Min-max over each image; a flat image is 0. Extremes are aggregated, so an image of any size is never in one task."""
+    ends = pixels.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.min(v).alias("_low"), F.max(v).alias("_high"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return pixels.join(ends, reduce(lambda x, y: x & y, same)).withColumn(out, min_max(F.col(v), F.col("_low"), F.col("_high"))).drop("_low", "_high", *[f"_{c}" for c in by])
 
 
 def residual_loss(pixels: DataFrame, by: list[str], truth: str = "v", made: str = "r") -> DataFrame:
@@ -37,10 +44,31 @@ def flag_counts(scored: DataFrame, distance: str, threshold: str, by: list[str],
 
 
 def confusion_at(rows: DataFrame, thresholds: DataFrame, score: str, truth: str, by: list[str] = []) -> DataFrame:
-    """threshold, tp, fp, fn, tn of score > threshold. thresholds: a small parameter table (threshold)."""
-    grid = rows.crossJoin(F.broadcast(thresholds))
-    hit, real = F.col(score) > F.col("threshold"), F.col(truth) == 1
-    return grid.groupBy(*by, "threshold").agg(F.count_if(hit & real).alias("tp"), F.count_if(hit & ~real).alias("fp"), F.count_if(~hit & real).alias("fn"), F.count_if(~hit & ~real).alias("tn"))
+    """threshold, tp, fp, fn, tn of score > threshold. thresholds: a parameter table (threshold) of GRID rows at most.
+
+    A score is binned once, by how many thresholds it passes; counts of bins then give every threshold's.
+    """
+    values = sorted({r[0] for r in thresholds.select("threshold").limit(GRID + 1).collect()})
+    if len(values) > GRID:
+        raise ValueError(f"more than {GRID} thresholds")
+    grid = F.array(*[F.lit(x) for x in values])
+    passed = F.size(F.filter(grid, lambda t: F.col(score) > t))
+    bins = rows.groupBy(*by, passed.alias("_k")).agg(F.count_if(F.col(truth) == 1).alias("_p"), F.count_if(F.coalesce(F.col(truth) != 1, F.lit(True))).alias("_n"))
+    each = bins.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(len(values) - 1)))) if values else bins.withColumn("_t", F.lit(0)).where("false")
+    hit = F.col("_k") > F.col("_t")
+    sums = [F.sum(F.when(c, F.col(n)).otherwise(0)).alias(a) for c, n, a in ((hit, "_p", "tp"), (hit, "_n", "fp"), (~hit, "_p", "fn"), (~hit, "_n", "tn"))]
+    return each.groupBy(*by, "_t").agg(*sums).withColumn("threshold", F.element_at(grid, F.col("_t") + 1)).select(*by, "threshold", "tp", "fp", "fn", "tn")
+
+
+def mask_confusion(masks: DataFrame, truth: DataFrame, pixels: DataFrame, by: list[str]) -> DataFrame:
+    """by, tp, fp, fn, tn of masks (by, tile_id, y, x) against the flagged pixels `truth` (tile_id, y, x) of all `pixels`."""
+    place = ["tile_id", "y", "x"]
+    real = truth.select(*place).withColumn("_real", F.lit(1))
+    hits = masks.join(real, place, "left").groupBy(*by).agg(F.count("_real").alias("tp"), F.count(F.lit(1)).alias("_all"))
+    sizes = real.agg(F.count(F.lit(1)).alias("_true")).crossJoin(pixels.agg(F.count(F.lit(1)).alias("_n")))
+    rows = hits.crossJoin(F.broadcast(sizes))  # one row
+    tp, made, real_n = F.col("tp"), F.col("_all"), F.col("_true")
+    return rows.select(*by, "tp", (made - tp).alias("fp"), (real_n - tp).alias("fn"), (F.col("_n") - made - real_n + tp).alias("tn"))
 
 
 def derived_metrics(rows: DataFrame) -> DataFrame:
@@ -109,8 +137,8 @@ def dead_mask(pixels: DataFrame, v: str = "v") -> DataFrame:
 
 
 def shuffle_mask(pixels: DataFrame, seed: int = 1, v: str = "v") -> DataFrame:
-    """Masked pixels of an image change places among each other, by a seeded hash order."""
-    key = F.xxhash64(F.lit(seed), "tile_id", "y", "x")
+    """Masked pixels of an image change places among each other, by the order of a seeded digest."""
+    key = digest_unit(f"shuffle-{seed}", "tile_id", "y", "x")
     part = pixels.where("masked")
     place = part.select("tile_id", "y", "x", F.row_number().over(Window.partitionBy("tile_id").orderBy("y", "x")).alias("_k"))
     value = part.select("tile_id", F.col(v).alias("_v"), F.row_number().over(Window.partitionBy("tile_id").orderBy(key, "y", "x")).alias("_k"))

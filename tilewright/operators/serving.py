@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import digest_unit
+
 #: What can be stitched.
 OUTPUTS = ("query_images", "generated_images", "query_anomaly_images_sigmoid", "query_anomaly_images_linear", "query_mahalanobis_distance_images_sigmoid", "query_mahalanobis_distance_images_linear", "query_pixel_anomaly_flag_images")
 
@@ -67,14 +70,15 @@ def gray(*channels: str) -> Column:
     return sum((F.col(c) for c in channels[1:]), F.col(channels[0])) / float(len(channels))
 
 
-def latent(rows: DataFrame, size: int, mean: float = 0.0, deviation: float = 1.0, seed: int = 1) -> DataFrame:
-    """z: an array of normal numbers for each row."""
-    return rows.withColumn("z", F.array(*[F.randn(seed + k) * deviation + mean for k in range(size)]))
+def latent(rows: DataFrame, key: str, size: int, mean: float = 0.0, deviation: float = 1.0, seed: int = 1) -> DataFrame:
+    """z: an array of normal numbers for each row, the same for equal keys (two digests each, by Box and Muller)."""
+    normal = lambda k: F.sqrt(-2.0 * F.log(1.0 - digest_unit(f"length-{seed}-{k}", key))) * F.cos(2.0 * math.pi * digest_unit(f"turn-{seed}-{k}", key))
+    return rows.withColumn("z", F.array(*[normal(k) * deviation + mean for k in range(size)]))
 
 
-def noisy(pixels: DataFrame, v: str = "v", seed: int = 1) -> DataFrame:
-    """Uniform noise in [0, 1) added to every element."""
-    return pixels.withColumn(v, F.col(v) + F.rand(seed))
+def noisy(pixels: DataFrame, key: list[str], v: str = "v", seed: int = 1) -> DataFrame:
+    """Uniform noise in [0, 1) added to every element, the same for equal keys."""
+    return pixels.withColumn(v, F.col(v) + digest_unit(f"noise-{seed}", *key))
 
 
 def any_nan(*columns: str) -> Column:
@@ -94,7 +98,7 @@ def epochs(rows: DataFrame, times: int) -> DataFrame:
 
 def shuffled(rows: DataFrame, key: str, seed: int = 1) -> DataFrame:
     """Rows in a reproducible random order."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
+    return rows.orderBy(digest_unit(f"order-{seed}", key), key)
 
 
 def split(rows: DataFrame, key: str, shares: dict[str, int]) -> DataFrame:
@@ -111,7 +115,7 @@ def random_rectangles(tiles: DataFrame, side: int, areas: list[int], seed: int =
     """tile_id, block, y0, x0, h, w: a rectangle of each area in every tile, as square as it goes, wholly inside."""
     rows = tiles.select("tile_id", F.posexplode(F.array(*[F.lit(a) for a in areas])).alias("block", "area"))
     rows = rows.withColumn("h", F.least(F.floor(F.sqrt("area")), F.lit(side)).cast("int")).withColumn("w", F.least(F.expr("area div h"), F.lit(side)).cast("int"))
-    u = lambda name: F.pmod(F.xxhash64(F.lit(f"{name}{seed}"), "tile_id", "block"), F.lit(1 << 30)) / float(1 << 30)
+    u = lambda name: digest_unit(f"{name}-{seed}", "tile_id", "block")
     return rows.select("tile_id", "block", F.floor(u("y") * (side - F.col("h") + 1)).cast("int").alias("y0"), F.floor(u("x") * (side - F.col("w") + 1)).cast("int").alias("x0"), "h", "w")
 
 

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import _points, bounds, clip_ring, slab_areas
+from ..functions.geometry import _points, bounds, clip_ring, slab_areas, slab_rings
 
 BOX = ("x0", "y0", "x1", "y1")
 
@@ -33,10 +34,11 @@ def touching(left: DataFrame, right: DataFrame, cell: float, by: list[str] = [])
 
 
 def overlapping_self(boxes: DataFrame, key: str, cell: float, by: list[str] = []) -> DataFrame:
-    """Each box with `partners`, how many other boxes touch it, and `least`, the smallest of their keys (null: none)."""
+    """Each box with `partners`, how many other boxes touch it, `least`, the smallest of their keys (null: none), and `others`, all of them in order."""
     pairs = touching(boxes, boxes, cell, by).where(F.col(f"l_{key}") != F.col(f"r_{key}"))
-    found = pairs.groupBy(F.col(f"l_{key}").alias(key)).agg(F.count(F.lit(1)).alias("partners"), F.min(f"r_{key}").alias("least"))
-    return boxes.join(found, key, "left").withColumn("partners", F.coalesce("partners", F.lit(0)))
+    found = pairs.groupBy(F.col(f"l_{key}").alias(key)).agg(F.count(F.lit(1)).alias("partners"), F.min(f"r_{key}").alias("least"), F.sort_array(F.collect_list(f"r_{key}")).alias("others"))
+    kind = boxes.schema[key].dataType.simpleString()
+    return boxes.join(found, key, "left").withColumns({"partners": F.coalesce("partners", F.lit(0)), "others": F.coalesce("others", F.array().cast(f"array<{kind}>"))})
 
 
 def box_overlap(pairs: DataFrame) -> DataFrame:
@@ -49,33 +51,83 @@ def box_overlap(pairs: DataFrame) -> DataFrame:
     return rows.withColumn("iou", F.when(F.col("union") == 0, 0.0).otherwise(F.col("inter") / F.col("union")))
 
 
+def _sides(table: pa.Table) -> list[list[list[np.ndarray]]]:
+    """Rings by polygon, of those that aren't annotated and of those that are."""
+    sides: tuple[dict, dict] = {}, {}
+    for flag, k, ring in zip(*(table[c].to_pylist() for c in ("annotated", "polygon_id", "ring"))):
+        sides[bool(flag)].setdefault(k, []).append(_points(ring))
+    return [list(side.values()) for side in sides]
+
+
+def _ring_table(keys: dict[str, pa.Scalar], rings: list[np.ndarray]) -> pa.Table:
+    points = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+    made = pa.array([[{"x": x, "y": y} for x, y in r.tolist()] for r in rings], points)
+    return pa.table({**{name: pa.repeat(value, len(rings)) for name, value in keys.items()}, "ring": made})
+
+
+def _dealt(polygons: DataFrame, by: str, cell: float) -> DataFrame:
+    b = bounds("ring")
+    span = lambda lo, hi: F.sequence(F.floor(lo / cell), F.floor(hi / cell))
+    dealt = polygons.where(F.size("ring") > 2).select(by, "annotated", "polygon_id", "ring", b.alias("_b"))
+    return dealt.withColumn("cx", F.explode(span(F.col("_b.x0"), F.col("_b.x1")))).withColumn("cy", F.explode(span(F.col("_b.y0"), F.col("_b.y1")))).drop("_b")
+
+
+def _clipped(pdf: pd.DataFrame, x: float, y: float, cell: float) -> list:
+    """Polygons that aren't annotated, and those that are, within a cell."""
+    sides = [[[clip_ring(_points(r), x, y, x + cell, y + cell) for r in g] for _, g in pdf[pdf["annotated"] == flag].groupby("polygon_id")["ring"]] for flag in (False, True)]
+    return [[[r for r in p if len(r)] for p in s] for s in sides]
+
+
 def region_areas(polygons: DataFrame, by: str, cell: float) -> DataFrame:
     """by, predicted, annotated, common: exact areas of the unions of polygons.
 
     polygons: by, annotated (boolean), polygon_id, ring; rings of one polygon_id are combined even-odd, so holes count.
     Rings are dealt to the grid cells that their bounds touch and clipped there; a task sees one cell, and areas add up.
     """
-    b = bounds("ring")
-    span = lambda lo, hi: F.sequence(F.floor(lo / cell), F.floor(hi / cell))
-    dealt = polygons.where(F.size("ring") > 2).select(by, "annotated", "polygon_id", "ring", b.alias("_b"))
-    dealt = dealt.withColumn("cx", F.explode(span(F.col("_b.x0"), F.col("_b.x1")))).withColumn("cy", F.explode(span(F.col("_b.y0"), F.col("_b.y1")))).drop("_b")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = float(key[1]) * cell, float(key[2]) * cell
-        sides = []
-        for flag in (False, True):
-            own = pdf[pdf["annotated"] == flag]
-            sides.append([[clip_ring(_points(r), x, y, x + cell, y + cell) for r in g] for _, g in own.groupby("polygon_id")["ring"]])
-        a, b, both = slab_areas(*[[[r for r in p if len(r)] for p in s] for s in sides])
+        a, b, both = slab_areas(*_clipped(pdf, float(key[1]) * cell, float(key[2]) * cell, cell))
         return pd.DataFrame({by: [key[0]], "predicted": [a], "annotated": [b], "common": [both]})
 
     kind = dict(polygons.dtypes)[by]
-    parts = dealt.groupBy(by, "cx", "cy").applyInPandas(run, f"{by} {kind}, predicted double, annotated double, common double")
+    parts = _dealt(polygons, by, cell).groupBy(by, "cx", "cy").applyInPandas(run, f"{by} {kind}, predicted double, annotated double, common double")
     return parts.groupBy(by).agg(*[F.sum(c).alias(c) for c in ("predicted", "annotated", "common")])
 
 
-def merge_touching(boxes: DataFrame, key: str, cell: float, by: list[str] = []) -> DataFrame:
-    """Groups of boxes joined by touching, as (key, component): the smallest key reachable; for boxes in bounded images."""
+def region_rings(polygons: DataFrame, by: str, cell: float, kind: str = "union") -> DataFrame:
+    """by, cx, cy, ring: outlines of a union, intersection or difference of polygons, cut at the grid cells.
+
+    polygons as for region_areas; union: of the predicted ones; intersection: where those meet annotated ones;
+    difference: the predicted ones less the annotated ones. Outer rings run counter-clockwise, holes clockwise.
+    """
+    keep = {"union": lambda p, a: p, "intersection": lambda p, a: p and a, "difference": lambda p, a: p and not a}[kind]
+    key_kind = dict(polygons.dtypes)[by]
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        x, y = float(key[1].as_py()) * cell, float(key[2].as_py()) * cell
+        sides = [[[c for r in p if len(c := clip_ring(r, x, y, x + cell, y + cell))] for p in side] for side in _sides(table)]
+        return _ring_table({by: key[0], "cx": key[1], "cy": key[2]}, slab_rings(*sides, keep))
+
+    return _dealt(polygons, by, cell).groupBy(by, "cx", "cy").applyInArrow(run, f"{by} {key_kind}, cx long, cy long, ring array<struct<x: double, y: double>>")
+
+
+def less_partners(polygons: DataFrame, key: str, partners: DataFrame) -> DataFrame:
+    """key, ring: each polygon (key, ring) less the union of its partners; partners: key, others (arrays of keys), as overlapping_self gives them."""
+    pairs = partners.select(F.col(key).alias("_own"), F.explode("others").alias(key)).join(polygons.select(key, "ring"), key)
+    own = polygons.select(F.col(key).alias("_own"), F.lit(False).alias("annotated"), F.col(key).alias("polygon_id"), "ring")
+    rows = own.union(pairs.select("_own", F.lit(True), key, "ring")).where(F.size("ring") > 2)
+    kind = dict(polygons.dtypes)[key]
+
+    def run(own: tuple, table: pa.Table) -> pa.Table:
+        return _ring_table({key: own[0]}, slab_rings(*_sides(table), lambda p, a: p and not a))
+
+    return rows.groupBy("_own").applyInArrow(run, f"{key} {kind}, ring array<struct<x: double, y: double>>")
+
+
+def merge_touching(boxes: DataFrame, key: str, cell: float, by: list[str]) -> DataFrame:
+    """Groups of boxes joined by touching, as (key, component): the smallest key reachable; by: the image, whose boxes are bounded."""
+    if not by:
+        raise ValueError("boxes are merged within images: name their columns")
     pairs = touching(boxes, boxes, cell, by).select(*by, F.col(f"l_{key}").alias("a"), F.col(f"r_{key}").alias("b"))
 
     def run(_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

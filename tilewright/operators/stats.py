@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Bins of a histogram, and distinct values that are counted one by one.
+BINS = 4096
+
+
 def moments(rows: DataFrame, columns: list[str], by: list[str] = [], sample: bool = True) -> DataFrame:
     """n, mean_<c> and cov_<c>_<d> (c not after d) of every group, in one partial aggregation."""
     cov = F.covar_samp if sample else F.covar_pop
@@ -18,11 +24,32 @@ def moments(rows: DataFrame, columns: list[str], by: list[str] = [], sample: boo
 
 
 def vector_moments(rows: DataFrame, column: str, by: list[str] = []) -> DataFrame:
-    """i, j, n, mean_i, mean_j, cov (sample) of an array column, for wide arrays: a row for each pair of places."""
-    at = rows.select(*by, F.posexplode(column).alias("i", "x"), F.col(column).alias("v"))
-    pairs = at.select(*by, "i", F.col("x").cast("double").alias("x"), F.posexplode("v").alias("j", "y")).where("i <= j")
-    pairs = pairs.withColumn("y", F.col("y").cast("double"))
-    return pairs.groupBy(*by, "i", "j").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean_i"), F.avg("y").alias("mean_j"), F.covar_samp("x", "y").alias("cov"))
+    """i, j, n, mean_i, mean_j, cov (sample) of an array column of numbers of one length.
+
+    A batch of vectors becomes one row for each pair of places i <= j and group: its count,
+    means and sum of products about the means. These merge exactly.
+    """
+    kinds = dict(rows.dtypes)
+    own = "".join(f"{c} {kinds[c]}, " for c in by)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for key, group in pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]:
+                if not len(group):
+                    continue
+                x = np.stack([np.asarray(v, dtype=float) for v in group[column]])
+                mean = x.mean(axis=0)
+                i, j = np.triu_indices(x.shape[1])
+                products = (x - mean).T @ (x - mean)
+                yield pd.DataFrame({**{c: [k] * len(i) for c, k in zip(by, key)}, "i": i, "j": j, "n": len(x), "mean_i": mean[i], "mean_j": mean[j], "m": products[i, j]})
+
+    part = rows.where(F.col(column).isNotNull()).select(*by, column).mapInPandas(run, f"{own}i int, j int, n long, mean_i double, mean_j double, m double")
+    total = F.sum("n")
+    mean = {c: F.sum(F.col("n") * F.col(c)) / total for c in ("mean_i", "mean_j")}
+    sums = part.groupBy(*by, "i", "j").agg(
+        total.alias("n"), mean["mean_i"].alias("mean_i"), mean["mean_j"].alias("mean_j"),
+        (F.sum("m") + F.sum(F.col("n") * F.col("mean_i") * F.col("mean_j")) - total * mean["mean_i"] * mean["mean_j"]).alias("_m"))
+    return sums.select(*by, "i", "j", "n", "mean_i", "mean_j", F.when(F.col("n") > 1, F.col("_m") / (F.col("n") - 1)).alias("cov"))
 
 
 def merge_moments(states: DataFrame, columns: list[str], by: list[str] = []) -> DataFrame:
@@ -85,16 +112,60 @@ def squared_distance(column: str, mean: np.ndarray, factor: np.ndarray) -> Colum
     return total
 
 
+def order_values(rows: DataFrame, column: str, ranks: list[int]) -> list[float]:
+    """The values at `ranks` (from 0) among the non-null ones in ascending order; NaN counts as null.
+
+    A histogram of BINS equal bins narrows the range that holds a rank until few enough
+    distinct values are left to count; no task and not the driver holds more than that.
+    """
+    x = F.col(column).cast("double")
+    rows = rows.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    low, high = rows.agg(F.min("x"), F.max("x")).first()
+    found: dict[int, float] = {}
+
+    def search(low: float, high: float, before: int, wanted: list[int]) -> None:
+        part = rows.where(F.col("x").between(low, high))
+        counts = {r["x"]: r["n"] for r in part.groupBy("x").agg(F.count(F.lit(1)).alias("n")).limit(BINS + 1).collect()} if low < high else {low: None}
+        if len(counts) <= BINS:
+            for value in sorted(counts):
+                upto = before + counts[value] if counts[value] is not None else None
+                while wanted and (upto is None or wanted[0] < upto):
+                    found[wanted.pop(0)] = value
+                before = upto
+            return
+        at = F.least(F.floor((F.col("x") - low) / (high - low) * BINS), F.lit(BINS - 1))
+        for r in part.groupBy(at.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("l"), F.max("x").alias("h")).orderBy("b").collect():
+            own = [k for k in wanted if k < before + r["n"]]
+            wanted = wanted[len(own) :]
+            if own:
+                search(r["l"], r["h"], before, own)
+            before += r["n"]
+
+    if low is not None:
+        search(low, high, 0, sorted(set(ranks)))
+    return [found[k] for k in ranks]
+
+
+def exact_quantiles(rows: DataFrame, column: str, shares: list[float]) -> list[float]:
+    """Quantiles with linear interpolation between neighbouring values; none of an empty column."""
+    n = rows.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count()
+    if not n:
+        return []
+    places = [q * (n - 1) for q in shares]
+    values = order_values(rows, column, [k for p in places for k in (math.floor(p), math.ceil(p))])
+    return [a + (b - a) * (p - math.floor(p)) for p, a, b in zip(places, values[::2], values[1::2])]
+
+
 def quantile_filter(rows: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    """Rows between two exact quantiles, both included. The bounds are one row and are broadcast."""
-    b = rows.agg(F.percentile(column, F.array(F.lit(low), F.lit(high))).alias("_b"))
-    return rows.crossJoin(F.broadcast(b)).where(F.col(column).between(F.col("_b")[0], F.col("_b")[1])).drop("_b")
+    """Rows between two exact quantiles, both included."""
+    bounds = exact_quantiles(rows, column, [low, high])
+    return rows.where(F.col(column).between(*bounds)) if bounds else rows.where("false")
 
 
 def large_area_filter(rows: DataFrame, column: str, least: float = 200.0, q: float = 0.9) -> DataFrame:
     """Rows of at least the q-quantile, rounded half to even, of the areas above `least`."""
-    cut = rows.where(F.col(column) > least).agg(F.bround(F.percentile(column, q), 0).alias("_q"))
-    return rows.crossJoin(F.broadcast(cut)).where(F.col(column) >= F.col("_q")).drop("_q")
+    cut = exact_quantiles(rows.where(F.col(column) > least), column, [q])
+    return rows.where(F.col(column) >= float(round(cut[0]))) if cut else rows.where("false")
 
 
 def otsu(rows: DataFrame, value: str, by: list[str] = []) -> DataFrame:
@@ -160,5 +231,15 @@ def _dot(x: Column, weights: np.ndarray, start: float) -> Column:
 
 
 def top_share(rows: DataFrame, score: str, share: float, key: list[str]) -> DataFrame:
-    """The int(rows * share) rows with the largest scores; ties by key. None for a share that rounds to 0."""
-    return rows.orderBy(F.col(score).desc(), *key).limit(math.floor(rows.count() * share))
+    """The int(rows * share) rows with the largest scores; ties by key. None for a share that rounds to 0.
+
+    The last score is found by its rank; only rows that tie with it are ordered. A null score isn't taken.
+    """
+    scored = rows.where(F.col(score).isNotNull())
+    n = scored.count()
+    many = min(math.floor(rows.count() * share), n)
+    if not many:
+        return rows.limit(0)
+    last = order_values(scored, score, [n - many])[0]
+    above = scored.where(F.col(score) > last)
+    return above.union(scored.where(F.col(score) == last).orderBy(*key).limit(many - above.count()))

@@ -51,3 +51,9 @@ PIXELS = TILES + ', pixels AS (SELECT tile_id, label, "row", col, ((i - 1) // 8)
 RECONSTRUCTED = PIXELS + ", means AS (SELECT label, y, x, avg(v) AS r FROM pixels GROUP BY ALL), rec AS (SELECT * FROM pixels JOIN means USING (label, y, x))"
 BOXES = "boxes AS (SELECT event_id, event_type, user_id * 3 AS x0, floor(value)::BIGINT AS y0, user_id * 3 + 4 AS x1, floor(value)::BIGINT + 6 AS y1 FROM events)"
 PREDICTIONS = "pred AS (SELECT doc_id, n_chars AS score, quality AS truth FROM documents JOIN labels USING (doc_id))"
+
+
+def digest_unit(name: str, *parts: str) -> str:
+    """SQL of scalars.digest_unit."""
+    text = " || ':' || ".join([f"'{name}'", *[f"{p}::VARCHAR" for p in parts]])
+    return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"

@@ -76,28 +76,33 @@ def role_split(spark, d):
     return serving.split(D.table(spark, d, "embeddings").select("vec_id"), "vec_id", {"reconstruct": 6, "fit": 2, "threshold": 2})
 
 
-@query("shuffled_take")
+@query("shuffled_take", f"SELECT vec_id, label FROM embeddings ORDER BY {D.digest_unit('order-1', 'vec_id')}, vec_id LIMIT 64")
 def shuffled_take(spark, d):
     return serving.shuffled(D.table(spark, d, "embeddings").select("vec_id", "label"), "vec_id").limit(64)
 
 
-@query("random_rectangle_masks")
+@query("random_rectangle_masks", f"""
+WITH {D.PIXELS}, b AS (SELECT * FROM (VALUES (0, 2, 4), (1, 2, 2), (2, 1, 2), (3, 1, 1), (4, 1, 1)) AS t(block, h, w)),
+r AS (SELECT tile_id, h, w, floor({D.digest_unit('y-1', 'tile_id', 'block')} * (9 - h))::INTEGER AS y0, floor({D.digest_unit('x-1', 'tile_id', 'block')} * (9 - w))::INTEGER AS x0 FROM tiles, b)
+SELECT p.tile_id, p.y, p.x, count(r.h)::BIGINT AS covers, count(r.h) = 1 AS masked FROM pixels p LEFT JOIN r ON r.tile_id = p.tile_id AND p.y BETWEEN r.y0 AND r.y0 + r.h - 1 AND p.x BETWEEN r.x0 AND r.x0 + r.w - 1 GROUP BY p.tile_id, p.y, p.x""")
 def random_rectangle_masks(spark, d):
     rects = serving.random_rectangles(D.tiles(spark, d), D.SIDE, scoring.mask_blocks(16))
-    masked = scoring.rectangle_mask(D.pixels(spark, d).select("tile_id", "y", "x", "v"), rects)
-    return masked.groupBy("tile_id").agg(F.count_if("masked").alias("masked"), F.count_if(F.col("covers") > 1).alias("crossed"))
+    return scoring.rectangle_mask(D.pixels(spark, d).select("tile_id", "y", "x", "v"), rects).select("tile_id", "y", "x", "covers", "masked")
 
 
-@query("latent_samples")
+def _normal(k: int) -> str:
+    return f"round(sqrt(-2.0 * ln(1.0 - {D.digest_unit(f'length-1-{k}', 'vec_id')})) * cos(2.0 * pi() * {D.digest_unit(f'turn-1-{k}', 'vec_id')}) * 0.5 + 1.0, 8) AS z{k}"
+
+
+@query("latent_samples", f"SELECT vec_id AS tile_id, {', '.join(map(_normal, range(4)))} FROM embeddings")
 def latent_samples(spark, d):
-    z = serving.latent(D.tiles(spark, d).select("tile_id"), 4, 1.0, 0.5)
-    return z.select("tile_id", F.size("z").alias("size"), F.exists("z", lambda x: F.isnan(x)).alias("bad"))
+    z = serving.latent(D.tiles(spark, d).select("tile_id"), "tile_id", 4, 1.0, 0.5)
+    return z.select("tile_id", *[F.round(F.col("z")[k], 8).alias(f"z{k}") for k in range(4)])
 
 
-@query("uniform_noise", f"WITH {D.PIXELS} SELECT tile_id, y, x, true AS inside FROM pixels")
+@query("uniform_noise", f"WITH {D.PIXELS} SELECT tile_id, y, x, round(v + {D.digest_unit('noise-1', 'tile_id', 'y', 'x')}, 9) AS v FROM pixels")
 def uniform_noise(spark, d):
-    p = serving.noisy(D.pixels(spark, d).withColumn("was", F.col("v")))
-    return p.select("tile_id", "y", "x", ((F.col("v") >= F.col("was")) & (F.col("v") < F.col("was") + 1.0 + 1e-12)).alias("inside"))
+    return serving.noisy(D.pixels(spark, d), ["tile_id", "y", "x"]).select("tile_id", "y", "x", F.round("v", 9).alias("v"))
 
 
 @query("map_union", "SELECT event_id, value AS a, (event_id * 2)::DOUBLE AS b, value + 1.0 AS c FROM events")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import scoring, stats
+from ..operators import morphology, scoring, stats
 from ..sources import logs
 from . import domain as D
 
@@ -181,10 +181,19 @@ def derived_metrics(spark, d):
     return scoring.derived_metrics(confusion_at_thresholds(spark, d)).drop("tp", "fp", "fn", "tn")
 
 
-@query("threshold_dilation_grid", "SELECT t.threshold, g.dilation::INTEGER AS dilation, concat('t', t.threshold::VARCHAR, '_d', g.dilation::VARCHAR) AS name FROM (SELECT unnest(range(1, 6)) * 10 AS threshold) t, (SELECT unnest(range(0, 4)) AS dilation) g")
+@query("threshold_dilation_grid", f"""
+WITH {D.PIXELS}, t AS (SELECT unnest([0.1, 0.2, 0.3]::DOUBLE[]) AS threshold), g AS (SELECT unnest([1, 2, 3]) AS size),
+m AS (SELECT DISTINCT threshold, size, tile_id, y + dy AS y, x + dx AS x FROM pixels, t, g, (SELECT unnest([-1, 0, 1]) AS dy), (SELECT unnest([-1, 0, 1]) AS dx)
+ WHERE v > threshold AND dy BETWEEN -((size - 1) // 2) AND size // 2 AND dx BETWEEN -((size - 1) // 2) AND size // 2 AND y + dy BETWEEN 0 AND 7 AND x + dx BETWEEN 0 AND 7),
+c AS (SELECT threshold, size, (count(*) FILTER (p.v > 0.15))::DOUBLE AS tp, count(*)::DOUBLE AS made FROM m JOIN pixels p USING (tile_id, y, x) GROUP BY ALL),
+n AS (SELECT count(*)::DOUBLE AS total, (count(*) FILTER (v > 0.15))::DOUBLE AS truth FROM pixels)
+SELECT threshold, size, tp::BIGINT AS tp, (made - tp)::BIGINT AS fp, (truth - tp)::BIGINT AS fn, (total - made - truth + tp)::BIGINT AS tn, round(tp / (made + truth - tp), 9) AS iou, round(2.0 * tp / (made + truth), 9) AS f1 FROM c, n""")
 def threshold_dilation_grid(spark, d):
-    grid = spark.range(1, 6).select((F.col("id") * 10).alias("threshold")).crossJoin(F.broadcast(spark.range(4).select(F.col("id").cast("int").alias("dilation"))))
-    return grid.withColumn("name", F.concat(F.lit("t"), F.col("threshold"), F.lit("_d"), F.col("dilation")))
+    """Masks by threshold and dilation against the pixels above 0.15."""
+    p = D.pixels(spark, d).select("tile_id", "y", "x", "v")
+    masks = morphology.swept(p, "v", [0.1, 0.2, 0.3], [1, 2, 3], D.SIDE, D.SIDE)
+    c = scoring.mask_confusion(masks, p.where("v > 0.15"), p, ["threshold", "size"])
+    return scoring.derived_metrics(c).select("threshold", "size", "tp", "fp", "fn", "tn", F.round("iou", 9).alias("iou"), F.round("f1", 9).alias("f1"))
 
 
 @query("loss_log_flatten", "SELECT event_id AS global_step, event_type AS growth, value AS loss, (props ->> '$.k')::DOUBLE AS k FROM events")

@@ -127,7 +127,12 @@ def gray_and_stain(spark, d):
     return e.select("event_id", S.luma(F.col("event_id") * 7 % 256, F.col("event_id") * 13 % 256, F.col("event_id") * 29 % 256).alias("gray"))
 
 
-@query("stain_mask")
+@query("stain_mask", """
+WITH c AS (SELECT event_id, unnest([7, 13, 29]) AS f, unnest([1, 2, 3]) AS k FROM events),
+m AS (SELECT *, 0.65 * (e * i - f * h) - 0.70 * (d * i - f * g) + 0.29 * (d * h - e * g) AS det FROM (SELECT 0.07::DOUBLE AS d, 0.99::DOUBLE AS e, 0.11::DOUBLE AS f, 0.27::DOUBLE AS g, 0.57::DOUBLE AS h, 0.78::DOUBLE AS i)),
+w AS (SELECT [(0.70 * f - 0.29 * e) / det, (0.29 * d - 0.65 * f) / det, (0.65 * e - 0.70 * d) / det] AS w FROM m),
+s AS (SELECT event_id, sum(ln(greatest(event_id * f % 256 / 255.0::DOUBLE, 1e-6::DOUBLE)) / ln(1e-6::DOUBLE) * w[k]) AS dab FROM c, w GROUP BY event_id)
+SELECT event_id, round(greatest(dab, 0.0), 6) AS dab, dab > -0.41 AS kept FROM s""")
 def stain_mask(spark, d):
     e = D.table(spark, d, "events")
     c = [F.col("event_id") * k % 256 for k in (7, 13, 29)]
@@ -162,9 +167,19 @@ def coordinate_csv(spark, d):
     return coordinates.patch_lines(t)
 
 
-@query("spatial_self_join", f"WITH {D.BOXES}, p AS (SELECT a.event_id, b.event_id AS o FROM boxes a JOIN boxes b ON a.event_id <> b.event_id AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1) SELECT b.event_id, count(p.o)::BIGINT AS partners, min(p.o) AS least FROM boxes b LEFT JOIN p USING (event_id) GROUP BY b.event_id")
+@query("spatial_self_join", f"WITH {D.BOXES}, p AS (SELECT a.event_id, b.event_id AS o FROM boxes a JOIN boxes b ON a.event_id <> b.event_id AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1) SELECT b.event_id, count(p.o)::BIGINT AS partners, min(p.o) AS least, coalesce(string_agg(p.o::VARCHAR, ',' ORDER BY p.o), '') AS others FROM boxes b LEFT JOIN p USING (event_id) GROUP BY b.event_id")
 def spatial_self_join(spark, d):
-    return spatial.overlapping_self(D.boxes(spark, d), "event_id", 16).select("event_id", "partners", "least")
+    found = spatial.overlapping_self(D.boxes(spark, d), "event_id", 16)
+    return found.select("event_id", "partners", "least", F.array_join(F.transform("others", lambda x: x.cast("string")), ",").alias("others"))
+
+
+@query("boxes_less_partners", f"""WITH {D.BOXES}, c AS (SELECT event_id, cx, cy FROM boxes, LATERAL (SELECT unnest(range(x0, x1)) AS cx) u, LATERAL (SELECT unnest(range(y0, y1)) AS cy) w),
+n AS (SELECT cx, cy, count(*) AS k FROM c GROUP BY ALL) SELECT event_id, (count(*))::DOUBLE AS area FROM c JOIN n USING (cx, cy) WHERE k = 1 GROUP BY event_id""")
+def boxes_less_partners(spark, d):
+    """The area of every box that no other box covers, from its outline less the union of its partners."""
+    b = D.boxes(spark, d)
+    rings = spatial.less_partners(b.select("event_id", G.rectangle("x0", "y0", "x1", "y1").alias("ring")), "event_id", spatial.overlapping_self(b, "event_id", 16).select("event_id", "others"))
+    return rings.groupBy("event_id").agg(F.round(F.sum(G.signed_area("ring")), 6).alias("area"))
 
 
 @query("rect_area_iou", f"""WITH {D.BOXES}, p AS (SELECT a.event_id AS l, b.event_id AS r, ((least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0)))::DOUBLE AS i FROM boxes a JOIN boxes b ON a.event_id < b.event_id AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1)
@@ -186,9 +201,29 @@ def region_area_algebra(spark, d):
     return out.select("event_type", *[F.round(c, 6).alias(c) for c in ("predicted", "annotated", "common")])
 
 
-@query("polygon_shoelace_centroid", f"WITH {D.BOXES} SELECT event_id, 24.0::DOUBLE AS area, round(x0 + 2.0, 4)::DOUBLE AS cx, round(y0 + 3.0, 4)::DOUBLE AS cy FROM boxes")
+@query("region_outlines", SQL["region_area_algebra"].replace("SELECT event_type, (count(*) FILTER (p))::DOUBLE AS predicted, (count(*) FILTER (t))::DOUBLE AS annotated, (count(*) FILTER (p AND t))::DOUBLE AS common", 'SELECT event_type, (count(*) FILTER (p))::DOUBLE AS "union", (count(*) FILTER (p AND t))::DOUBLE AS intersection, (count(*) FILTER (p AND NOT t))::DOUBLE AS difference'))
+def region_outlines(spark, d):
+    """Areas within the outlines of unions, intersections and differences."""
+    b = D.boxes(spark, d)
+    rings = b.select("event_type", (F.col("event_id") % 2 == 1).alias("annotated"), F.col("event_id").alias("polygon_id"), G.rectangle("x0", "y0", "x1", "y1").alias("ring"))
+    kinds = ("union", "intersection", "difference")
+    parts = [spatial.region_rings(rings, "event_type", 64.0, k).select("event_type", *[(G.signed_area("ring") if k == n else F.lit(0.0)).alias(n) for n in kinds]) for k in kinds]
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("event_type").agg(*[F.round(F.sum(n), 6).alias(n) for n in kinds])
+
+
+def _star(spark, d):
+    """Concave pentagons, one of whose corners moves with the box's key."""
+    k = F.col("event_id") % 5
+    corners = (("x0", "y0"), (F.col("x1") + k, F.col("y0") + 1), ("x1", "y1"), (F.col("x0") + 2, F.col("y1") - 2), (F.col("x0") - 1, F.col("y1") + k))
+    return D.boxes(spark, d).select("event_id", F.array(*[G.point(F.col(x) if isinstance(x, str) else x, F.col(y) if isinstance(y, str) else y) for x, y in corners]).alias("ring"))
+
+
+@query("polygon_shoelace_centroid", f"""WITH {D.BOXES}, r AS (SELECT event_id, [x0, x1 + event_id % 5, x1, x0 + 2, x0 - 1]::DOUBLE[] AS xs, [y0, y0 + 1, y1, y1 - 2, y1 + event_id % 5]::DOUBLE[] AS ys FROM boxes),
+e AS (SELECT event_id, xs[i] AS px, ys[i] AS py, xs[i % 5 + 1] AS qx, ys[i % 5 + 1] AS qy FROM r, (SELECT unnest(range(1, 6)) AS i)),
+a AS (SELECT event_id, sum(px * qy - qx * py) AS c, sum((px + qx) * (px * qy - qx * py)) AS mx, sum((py + qy) * (px * qy - qx * py)) AS my FROM e GROUP BY event_id)
+SELECT event_id, abs(c) / 2.0 AS area, round(mx / (3.0 * c), 4) AS cx, round(my / (3.0 * c), 4) AS cy FROM a""")
 def polygon_shoelace_centroid(spark, d):
-    b = D.boxes(spark, d).select("event_id", G.rectangle("x0", "y0", "x1", "y1").alias("ring"))
+    b = _star(spark, d)
     c = G.centroid("ring")
     return b.select("event_id", G.area("ring").alias("area"), F.round(c["x"], 4).alias("cx"), F.round(c["y"], 4).alias("cy"))
 
@@ -200,10 +235,15 @@ def rotate_scale(spark, d):
     return held.select("event_id", F.col("r")[0]["x"].alias("ax"), F.col("r")[0]["y"].alias("ay"), F.col("h")[2]["x"].alias("bx"), F.col("h")[2]["y"].alias("by"))
 
 
-@query("min_rotated_rectangle", f"WITH {D.BOXES} SELECT event_id, 4.0::DOUBLE AS min_dim, 6.0::DOUBLE AS max_dim, round(6.0 * 0.5e-6, 12)::DOUBLE AS diameter FROM boxes")
+@query("min_rotated_rectangle", f"WITH {D.BOXES}, r AS (SELECT event_id, (4 + event_id % 5)::DOUBLE AS w, (6 + event_id % 3)::DOUBLE AS h FROM boxes) SELECT event_id, least(w, h) AS min_dim, greatest(w, h) AS max_dim, round(greatest(w, h) * 0.5e-6, 12) AS diameter FROM r")
 def min_rotated_rectangle(spark, d):
-    b = D.boxes(spark, d).select("event_id", G.rotated_dimensions(G.rectangle("x0", "y0", "x1", "y1")).alias("m"))
-    return b.select("event_id", F.round("m.min_dim", 6).alias("min_dim"), F.round("m.max_dim", 6).alias("max_dim"), F.round(S.metres("m.max_dim", F.lit(0.5)), 12).alias("diameter"))
+    """Rectangles turned by a 3-4-5 angle, one side dented inwards."""
+    w, h, x, y = F.col("event_id") % 5 + 4, F.col("event_id") % 3 + 6, F.col("x0"), F.col("y0")
+    at = lambda a, b: G.point(x + a * 0.6 - b * 0.8, y + a * 0.8 + b * 0.6)
+    zero = F.lit(0)
+    ring = F.array(at(zero, zero), at(w, zero), at(w * 0.75, h * 0.5), at(w, h), at(zero, h))
+    b = D.boxes(spark, d).select("event_id", G.rotated_dimensions(ring).alias("m"))
+    return b.select("event_id", F.round("m.min_dim", 6).alias("min_dim"), F.round("m.max_dim", 6).alias("max_dim"), F.round(S.metres(F.round("m.max_dim", 6), F.lit(0.5)), 12).alias("diameter"))
 
 
 _FLAGS = D.PIXELS + ", flags AS (SELECT tile_id, y, x FROM pixels WHERE v > 0.15)"
@@ -283,7 +323,8 @@ def rectangle_mask(spark, d):
     return scoring.dead_mask(masked).select("tile_id", "y", "x", "covers", "masked", "v")
 
 
-@query("shuffle_mask")
+@query("shuffle_mask", f"""WITH {D.PIXELS}, m AS (SELECT *, row_number() OVER (PARTITION BY tile_id ORDER BY y, x) AS p, row_number() OVER (PARTITION BY tile_id ORDER BY {D.digest_unit('shuffle-1', 'tile_id', 'y', 'x')}, y, x) AS q FROM pixels WHERE y < 4 AND x < 4)
+SELECT p.tile_id, p.y, p.x, p.y < 4 AND p.x < 4 AS masked, coalesce(b.v, p.v) AS v FROM pixels p LEFT JOIN m a USING (tile_id, y, x) LEFT JOIN m b ON b.tile_id = a.tile_id AND b.q = a.p""")
 def shuffle_mask(spark, d):
     p = D.pixels(spark, d).select("tile_id", "y", "x", "v").withColumn("masked", (F.col("y") < 4) & (F.col("x") < 4))
     return scoring.shuffle_mask(p)
