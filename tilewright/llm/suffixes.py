@@ -10,7 +10,7 @@ equal windows always lie in runs with the same key.
    repeated as a whole. Only keys with several different strings go on, with one place of each
    string, and single strings periodic enough to repeat a window within.
 2. The strings of a key, with those of other keys up to COLLECTION strings, form a document
-   collection whose Burrows-Wheeler transform is built column by column: each round inserts
+   collection. Strings with no window whose hash is met twice in it are left out. Its Burrows-Wheeler transform is built column by column: each round inserts
    the next symbol, from the right, of every string, where counting symbols before its last
    place puts it, and updates the longest common prefixes by range minima. A window is
    repeated if its suffix shares WIDTH bytes with a neighbour. As a collection's strings are
@@ -117,6 +117,7 @@ def repeated_windows(strings: list[bytes], width: int = WIDTH) -> list[np.ndarra
     column[np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size), owner] = np.cumsum(occurs)[flat].astype(small)
     bwt = column[0].copy()
     lcp = np.zeros(m, dtype=np.int16)
+    counts = np.bincount(bwt, minlength=int(occurs.sum()) + 1)
     newest, who = np.arange(m), np.arange(m)
     for j in range(1, longest + 1):
         alive = bwt[newest] > 0
@@ -125,13 +126,16 @@ def repeated_windows(strings: list[bytes], width: int = WIDTH) -> list[np.ndarra
             break
         n = len(bwt)
         order = np.argsort(bwt, kind="stable")
-        rank = np.empty(n, dtype=np.int32)
-        rank[order] = np.arange(n, dtype=np.int32)
-        ended = n - int(np.count_nonzero(bwt))
-        r = rank[newest]
-        by = np.argsort(r)
-        newest, who, r = newest[by], who[by], r[by]
+        heads, ended = np.cumsum(counts) - counts, int(counts[0])
         symbol = bwt[newest]
+        by = np.lexsort((newest, symbol))
+        newest, who, symbol = newest[by], who[by], symbol[by]
+        # Where each newest place is among those of its symbol.
+        r = np.empty(len(newest), dtype=np.int64)
+        first = np.flatnonzero(np.concatenate(([True], symbol[1:] != symbol[:-1])))
+        for low, high in zip(first.tolist(), [*first[1:].tolist(), len(r)]):
+            head = heads[symbol[low]]
+            r[low:high] = head + np.searchsorted(order[head : head + counts[symbol[low]]], newest[low:high])
         before = order[np.maximum(r - 1, 0)]
         has_before = (r > 0) & (bwt[before] == symbol)
         after = order[np.minimum(r + 1, n - 1)]
@@ -148,6 +152,7 @@ def repeated_windows(strings: list[bytes], width: int = WIDTH) -> list[np.ndarra
         nxt_bwt, nxt_lcp = np.empty(n + len(r), small), np.empty(n + len(r), np.int16)
         nxt_bwt[old], nxt_lcp[old] = bwt, lcp
         nxt_bwt[place] = column[j][who]
+        counts = counts + np.bincount(nxt_bwt[place], minlength=len(counts))
         nxt_lcp[place[has_after] + 1] = down[has_after]  # a new follower's own value, the same, is written next
         nxt_lcp[place] = up
         bwt, lcp, newest = nxt_bwt, nxt_lcp, place
@@ -301,12 +306,21 @@ def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(data, pa.binary()), pa.array(key, pa.int64()), pa.array(crowded, pa.bool_())], names=["doc_id", "start", "string", "key", "crowded"])
 
 
+def promising(strings: list[bytes], width: int = WIDTH) -> np.ndarray:
+    """Which strings have a window whose hash is met twice; no others can repeat one."""
+    size = np.array([len(x) for x in strings], dtype=np.int64)
+    count = np.maximum(size - width + 1, 0)
+    at = ranges(np.cumsum(size) - size, count)
+    _, back, n = np.unique(span_hash(prefix_hash(np.frombuffer(b"".join(strings), np.uint8)), at, at + width), return_inverse=True, return_counts=True)
+    return np.bincount(np.repeat(np.arange(len(strings)), count), weights=n[back] > 1, minlength=len(strings)) > 0
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Covered spans from strings by key; a collection holds whole keys."""
     held: list[tuple[int, int, int, bytes]] = []
 
     def close(upto: int) -> Iterator[pa.RecordBatch]:
-        part = held[:upto]
+        part = [held[k] for k in np.flatnonzero(promising([x[3] for x in held[:upto]])).tolist()]
         del held[:upto]
         doc, start, size = [], [], []
         for (_, d, s, _), hit in zip(part, repeated_windows([x[3] for x in part])):
@@ -317,7 +331,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size.append(j - i - 1 + WIDTH)
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, start, size)], names=["doc_id", "start", "size"])
 
-    for batch in batches:
+    for batch in batches:  # sorted by key
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             if len(held) >= COLLECTION and row[0] != held[-1][0]:
                 yield from close(len(held))
