@@ -169,9 +169,8 @@ def search_bucket(q_ids, q, bounds, ids, v, top: int = TOP):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _first_lengths(vectors: DataFrame) -> list[float]:
-    """Lengths at which rounds begin, falling."""
-    n = vectors.count()
+def _first_lengths(vectors: DataFrame, n: int) -> list[float]:
+    """Lengths at which rounds begin, falling; n: rows."""
     shares, size, done = [], BUCKET, BUCKET
     while done < n:
         shares.append(1.0 - done / n)
@@ -184,10 +183,14 @@ def _first_lengths(vectors: DataFrame) -> list[float]:
 
 def top_products(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     """query_id, rank, vec_id, score of `queries` against `vectors`, both as integers() gives them."""
-    starts = _first_lengths(vectors)
-    packed = vectors.repartitionByRange(F.col("norm").desc()).sortWithinPartitions(F.col("norm").desc()).mapInArrow(_buckets, "ids binary, vals binary, longest double")
+    n = vectors.count()
+    starts = _first_lengths(vectors, n)
+    # Pairs of partitions are tasks: no more partitions than full buckets and blocks take.
+    sorted_ = vectors.repartitionByRange(F.col("norm").desc()).sortWithinPartitions(F.col("norm").desc()).coalesce(max(1, -(-n // BUCKET)))
+    packed = sorted_.mapInArrow(_buckets, "ids binary, vals binary, longest double")
     buckets = settled(packed.withColumn("round", sum((F.when(F.col("longest") < x, 1).otherwise(0) for x in starts), F.lit(0))))
     queries = queries.dropDuplicates(["vec_id"])
+    parts = max(1, -(-queries.count() // (4 * BLOCK)))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,8 +209,8 @@ def top_products(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> Data
             kth = kth.withColumn("bound", F.when(F.abs("bound") >= SURE, F.col("bound") - F.abs("bound") * 2.0**-51).otherwise(F.col("bound")))  # a long may have been rounded up
             asked = queries.join(kth, F.col("vec_id") == F.col("k_id"), "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
             need = F.when((F.col("bound") > 0) & (F.col("norm") > 0), F.col("bound") / F.col("norm")).otherwise(0.0)
-            asked = asked.select("vec_id", "v", "bound", need.alias("need")).sortWithinPartitions("need")
-        blocks = asked.mapInArrow(_blocks, "q_ids binary, q_vals binary, bounds binary, need double")
+            asked = asked.select("vec_id", "v", "bound", need.alias("need"))
+        blocks = asked.coalesce(parts).sortWithinPartitions("need").mapInArrow(_blocks, "q_ids binary, q_vals binary, bounds binary, need double")
         blocks = settled(blocks)  # read once for each partition of buckets
         pairs = buckets.where(F.col("round") == turn).join(blocks, F.col("longest") * (1 + 1e-9) >= F.col("need"))
         found = pairs.select("ids", "vals", "q_ids", "q_vals", "bounds").mapInArrow(meet, "query_id long, vec_id long, score long")
