@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import geometry as G
 from tilewright.functions import scalars as S
-from tilewright.operators import morphology, scoring, spatial, stats, store, tiles
+from tilewright.operators import morphology, scoring, serving, spatial, stats, store, tiles
 from tilewright.plans import catalog
 from tilewright.sources import coordinates, logs, png, tfrecord
 
@@ -55,6 +55,24 @@ def test_golden_cases(spark):
     assert one(spark, S.resize_factor(F.lit(110), F.lit(1024), F.lit(4096), F.lit(128), F.lit(7))).asDict().popitem()[1] == pytest.approx(110 * 1024 / 4096)
 
 
+def test_settings_are_replaced_by_name():
+    own = {"a": {"b": 1, "c": {"d": 2}}, "e": 3}
+    assert serving.overridden(own, {"a": {"c": {"d": 5, "x": 6}}, "e": 4}) == {"a": {"b": 1, "c": {"d": 5, "x": 6}}, "e": 4}
+    assert serving.overridden(own, {"a": {"c": {"d": 5, "x": 6}}, "y": 4}, known_only=True) == {"a": {"b": 1, "c": {"d": 5}}, "e": 3}
+    assert own == {"a": {"b": 1, "c": {"d": 2}}, "e": 3}
+
+
+def test_mirror_of_images_smaller_than_a_window(spark):
+    image = np.arange(6).reshape(2, 3)
+    rows = spark.createDataFrame([(0, y, x, float(image[y, x])) for y in range(2) for x in range(3)], "tile_id int, y int, x int, v double")
+    made, height, width = tiles.mirrored(rows, 2, 3, 9, 2)
+    out = np.full((height, width), -1.0)
+    for r in made.collect():
+        assert out[r.y, r.x] == -1.0
+        out[r.y, r.x] = r.v
+    assert (height, width) == (9, 9) and (out == np.pad(image, ((0, 7), (0, 6)), mode="symmetric")).all()
+
+
 def test_morton_round_trip(spark):
     g = spark.range(64).select((F.col("id") / 8).cast("int").alias("r"), (F.col("id") % 8).cast("int").alias("c")).withColumn("code", S.morton("r", "c", 3))
     row, column = S.unmorton("code", 3)

@@ -106,6 +106,12 @@ def slide_depth(width, height, patch_width: int, patch_height: int) -> Column:
     return F.greatest(tree_depth(F.ceil(col(width) / patch_width)), tree_depth(F.ceil(col(height) / patch_height)))
 
 
+def thumbnail_size(width, height, target: int) -> Column:
+    """width, height of a thumbnail about `target` wide: both over the whole number of times that the target fits, once at least."""
+    times = F.greatest(F.floor(col(width) / target), F.lit(1))
+    return F.struct(F.floor(col(width) / times).alias("width"), F.floor(col(height) / times).alias("height"))
+
+
 def level_of_size(size, largest: int = 1024) -> Column:
     """0 for the largest size, one more for each halving."""
     return (F.lit(largest.bit_length() - 1) - (F.length(F.bin(col(size).cast("bigint"))) - 1)).cast("int")

@@ -68,6 +68,13 @@ def median(pixels: DataFrame, size: int, height: int, width: int, v: str = "v")
     return seen.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1)).groupBy(*BY, "y", "x").agg(F.percentile(v, 0.5).alias(v))
 
 
+def overlay(image: DataFrame, marks: DataFrame, green: str = "g", full: int = 255) -> DataFrame:
+    """The image with green at its full value where a mark (y, x) is, and marked: whether there is one."""
+    found = marks.select(*BY, "y", "x").distinct().withColumn("marked", F.lit(True))
+    rows = image.join(found, [*BY, "y", "x"], "left").withColumn("marked", F.coalesce("marked", F.lit(False)))
+    return rows.withColumn(green, F.when(F.col("marked"), F.greatest(F.col(green), F.lit(full))).otherwise(F.col(green)))
+
+
 def edges(labels: DataFrame) -> DataFrame:
     """Pixels with a 4-neighbour of another label, or none."""
     near = F.explode(F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0))]))

@@ -146,6 +146,12 @@ def shuffle_mask(pixels: DataFrame, seed: int = 1, v: str = "v") -> DataFrame:
     return pixels.join(moved, ["tile_id", "y", "x"], "left").withColumn(v, F.coalesce("_v", v)).drop("_v")
 
 
+def masked_images(pixels: DataFrame, rects: DataFrame, shuffle: bool = False, seed: int = 1, v: str = "v") -> DataFrame:
+    """Pixels masked by rectangles: those changed about within the mask, or dead."""
+    marked = rectangle_mask(pixels, rects)
+    return shuffle_mask(marked, seed, v) if shuffle else dead_mask(marked, v)
+
+
 def tiled_inpainting(pixels: DataFrame, block: int, width: int, divisor: int, v: str = "v", fill: float = -1.0) -> DataFrame:
     """turn, y, x, v: for each turn k, blocks whose number leaves k modulo divisor are masked."""
     number = F.floor(F.col("y") / block) * (width // block) + F.floor(F.col("x") / block)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import digest_unit
+from .tiles import bilinear
 
 #: What can be stitched.
 OUTPUTS = ("query_images", "generated_images", "query_anomaly_images_sigmoid", "query_anomaly_images_linear", "query_mahalanobis_distance_images_sigmoid", "query_mahalanobis_distance_images_linear", "query_pixel_anomaly_flag_images")
@@ -58,6 +60,25 @@ def pyramid(tiles: DataFrame, largest: int, wanted: list[int] | None = None) ->
     return rows.withColumn("resolution", F.lit(4) * F.pow(F.lit(2), F.floor((F.col("growth") + 1) / 2)).cast("int"))
 
 
+def pyramid_images(pixels: DataFrame, side: int, largest: int, wanted: list[int] | None = None) -> DataFrame:
+    """level, tile_id, y, x, v: square images resized to 4, 8 and so on up to `largest`; wanted: only these levels, others give no rows."""
+    levels = [k for k in range(largest.bit_length() - 2) if 4 << k <= largest and (wanted is None or k in wanted)]
+    sizes = [bilinear(pixels, side, side, 4 << k, 4 << k).select(F.lit(k).alias("level"), "tile_id", "y", "x", "v") for k in levels]
+    none = pixels.select(F.lit(0).alias("level"), "tile_id", F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.col("v").cast("double").alias("v")).where(F.lit(False))
+    return reduce(DataFrame.unionByName, sizes, none)
+
+
+def overridden(defaults: dict, overrides: dict, known_only: bool = False) -> dict:
+    """Nested settings with some of them replaced; known_only: names that the defaults lack are ignored."""
+    out = dict(defaults)
+    for name, value in overrides.items():
+        if known_only and name not in defaults:
+            continue
+        own = out.get(name)
+        out[name] = overridden(own if isinstance(own, dict) else {}, value, known_only and isinstance(own, dict)) if isinstance(value, dict) else value
+    return out
+
+
 def learned_flags(distance, threshold, custom: float = -1.0) -> Column:
     """Shown flags: 1 where not flagged, -1 where flagged, so that flags are dark."""
     from ..functions.scalars import flag

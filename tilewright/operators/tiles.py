@@ -102,6 +102,22 @@ def windows(pixels: DataFrame, height: int, width: int, window: int, stride: int
     return pixels.withColumn("wy", F.explode(covering("y", height, window, stride))).withColumn("wx", F.explode(covering("x", width, window, stride)))
 
 
+def mirrored(pixels: DataFrame, height: int, width: int, window: int, stride: int) -> tuple[DataFrame, int, int]:
+    """Pixels with a border below and to the right that whole windows take, and its height and width.
+
+    The border mirrors the image, the outermost line included, as often as it must.
+    """
+    def targets(name: str, length: int) -> tuple[Column, int]:
+        full = window + stride * max(0, -(-(length - window) // stride))
+        starts = range(0, full, 2 * length)
+        places = F.array(*[p for s in starts for p in (F.col(name) + s, F.lit(s + 2 * length - 1) - F.col(name))])
+        return F.explode(F.filter(places, lambda p: p < full)), full
+
+    (y, full_height), (x, full_width) = targets("y", height), targets("x", width)
+    rows = pixels.withColumn("_y", y).withColumn("_x", x).drop("y", "x").withColumnsRenamed({"_y": "y", "_x": "x"})
+    return rows, full_height, full_width
+
+
 def overlap_mean(scores: DataFrame, by: list[str] = ["tile_id", "y", "x"], v: str = "v") -> DataFrame:
     """Mean over all windows that cover a pixel, and how many do."""
     return scores.groupBy(*by).agg(F.avg(v).alias(v), F.count(F.lit(1)).alias("covers"))

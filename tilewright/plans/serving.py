@@ -48,6 +48,19 @@ def growth_pyramid(spark, d):
     return serving.pyramid(D.tiles(spark, d).select("tile_id"), 32, [0, 3, 6, 99])
 
 
+@query("pyramid_images", f"""WITH {D.PIXELS} SELECT 0 AS level, tile_id, y // 2 AS y, x // 2 AS x, round(avg(v), 8) AS v FROM pixels GROUP BY ALL UNION ALL SELECT 1, tile_id, y, x, round(v, 8) FROM pixels""")
+def pyramid_images(spark, d):
+    made = serving.pyramid_images(D.pixels(spark, d).select("tile_id", "y", "x", "v"), D.SIDE, 32, [0, 1, 99])
+    return made.withColumn("v", F.round("v", 8))
+
+
+@query("masked_image", f"WITH {D.PIXELS} SELECT tile_id, y, x, CASE WHEN (y BETWEEN 1 AND 3 AND x BETWEEN 1 AND 3) <> (y BETWEEN 3 AND 5 AND x BETWEEN 3 AND 5) THEN -1.0 ELSE v END AS v FROM pixels")
+def masked_image(spark, d):
+    p = D.pixels(spark, d).select("tile_id", "y", "x", "v")
+    rects = D.tiles(spark, d).select("tile_id", F.explode(F.array(F.lit(1), F.lit(3))).alias("y0")).select("tile_id", "y0", F.col("y0").alias("x0"), F.lit(3).alias("h"), F.lit(3).alias("w"))
+    return scoring.masked_images(p, rects).select("tile_id", "y", "x", "v")
+
+
 @query("channel_mean", "SELECT vec_id AS tile_id, round((embedding[1]::DOUBLE + embedding[2]::DOUBLE + embedding[3]::DOUBLE) / 3.0, 8) AS gray FROM embeddings")
 def channel_mean(spark, d):
     t = D.tiles(spark, d).select("tile_id", *[F.col("values")[k].alias(c) for k, c in enumerate("rgb")])

@@ -99,6 +99,16 @@ def sliding_window_overlap_avg(spark, d):
     return tiles.overlap_mean(w.drop("v").join(score, ["tile_id", "wy", "wx"])).withColumn("v", F.round("v", 8))
 
 
+@query("mirrored_windows", f"""WITH {D.PIXELS}, t AS (SELECT unnest(range(0, 11)) AS t), f AS (SELECT t, CASE WHEN t < 8 THEN t ELSE 15 - t END AS s FROM t),
+b AS (SELECT p.tile_id, a.t AS y, c.t AS x, p.v FROM pixels p JOIN f a ON a.s = p.y JOIN f c ON c.s = p.x),
+w AS (SELECT b.*, wy, wx FROM b, (SELECT unnest(range(0, 2)) AS wy), (SELECT unnest(range(0, 2)) AS wx) WHERE y BETWEEN wy * 5 AND wy * 5 + 5 AND x BETWEEN wx * 5 AND wx * 5 + 5)
+SELECT tile_id, wy::INTEGER AS wy, wx::INTEGER AS wx, count(*)::BIGINT AS n, round(sum(v * (y * 11 + x)), 6) AS total FROM w GROUP BY ALL""")
+def mirrored_windows(spark, d):
+    p, height, width = tiles.mirrored(D.pixels(spark, d).select("tile_id", "y", "x", "v"), D.SIDE, D.SIDE, 6, 5)
+    w = tiles.windows(p, height, width, 6, 5)
+    return w.groupBy("tile_id", "wy", "wx").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("v") * (F.col("y") * 11 + F.col("x"))), 6).alias("total"))
+
+
 @query("nearest_resize", f"WITH {D.PIXELS} SELECT tile_id, i AS y, j AS x, v FROM pixels, (SELECT unnest(range(0, 12)) AS i), (SELECT unnest(range(0, 12)) AS j) WHERE y = i * 8 // 12 AND x = j * 8 // 12")
 def nearest_resize(spark, d):
     return tiles.nearest(D.pixels(spark, d).select("tile_id", "y", "x", "v"), D.SIDE, D.SIDE, 12, 12).select("tile_id", "y", "x", "v")
@@ -149,6 +159,12 @@ def slide_depths(spark, d):
     return D.table(spark, d, "part").select("p_partkey", S.slide_depth(F.col("p_size") * 2000, F.col("p_retailprice") * 50, 1024, 1024).alias("depth"))
 
 
+@query("thumbnail_sizes", "WITH a AS (SELECT p_partkey, p_size * 2000 AS w, floor(p_retailprice * 50)::BIGINT AS h FROM part), b AS (SELECT *, greatest(w // 5000, 1) AS k FROM a) SELECT p_partkey, (w // k)::BIGINT AS width, (h // k)::BIGINT AS height FROM b")
+def thumbnail_sizes(spark, d):
+    p = D.table(spark, d, "part").select("p_partkey", (F.col("p_size") * 2000).alias("w"), F.floor(F.col("p_retailprice") * 50).cast("bigint").alias("h"))
+    return p.select("p_partkey", S.thumbnail_size("w", "h", 5000).alias("t")).select("p_partkey", "t.width", "t.height")
+
+
 @query("level_sizes", "SELECT k::INTEGER AS level, (1024 >> k)::BIGINT AS size FROM (SELECT unnest(range(0, 9)) AS k)")
 def level_sizes(spark, d):
     return spark.range(9).select(F.expr("shiftright(1024L, cast(id as int))").alias("size")).select(S.level_of_size("size").alias("level"), "size")
@@ -289,6 +305,14 @@ def label_edges(spark, d):
     return morphology.edges(_flags(spark, d).withColumn("label", F.lit(1))).select("tile_id", "y", "x")
 
 
+@query("edge_overlay", f"WITH {D.PIXELS}, f AS (SELECT tile_id, y, x FROM pixels WHERE v > 0.15) SELECT tile_id, y, x, abs(round(v * 100))::BIGINT AS r, CASE WHEN marked THEN 255 ELSE abs(round(v * 100)) END::BIGINT AS g, marked FROM (SELECT p.*, EXISTS (SELECT 1 FROM f WHERE f.tile_id = p.tile_id AND f.y = p.y AND f.x = p.x) AND (SELECT count(*) FROM f WHERE f.tile_id = p.tile_id AND abs(f.y - p.y) + abs(f.x - p.x) = 1) < 4 AS marked FROM pixels p)")
+def edge_overlay(spark, d):
+    p = D.pixels(spark, d)
+    image = p.select("tile_id", "y", "x", *[F.abs(F.round(F.col("v") * 100)).cast("bigint").alias(c) for c in "rg"])
+    marks = morphology.edges(p.where("v > 0.15").select("tile_id", "y", "x", F.lit(1).alias("label")))
+    return morphology.overlay(image, marks).select("tile_id", "y", "x", "r", F.col("g").cast("bigint").alias("g"), "marked")
+
+
 @query("contours")
 def contours(spark, d):
     c = morphology.contours(D.pixels(spark, d), 0.15)
