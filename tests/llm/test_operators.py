@@ -196,6 +196,12 @@ def test_lists_over_batches(monkeypatch):
         assert got == want
 
 
+def by_sql(sql, rows):
+    db = duckdb.connect()
+    db.register("documents", pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())}))
+    return {r[0]: r[1:] for r in db.execute(sql).fetchall()}
+
+
 def brute_suffix(rows):
     data = {r[0]: (r[1] or "").encode() for r in rows}
     seen = Counter(b[i : i + 200] for b in data.values() for i in range(len(b) - 199))
@@ -218,6 +224,7 @@ def test_suffix_dedup(spark, docs, rows, monkeypatch, crowd):
     assert got(suffixes.dedup(docs)) == brute_suffix(rows)
     special = [(k, t) for k, t in enumerate(["ab" * 110, "x" * 201, "y" * 200, "0123456789abcdefghijklmnopqrstuvwxyz" * 7, "q" + "é" * 99, "é" * 150])]
     assert got(suffixes.dedup(spark.createDataFrame(special, "doc_id long, text string"))) == brute_suffix(special)
+    assert by_sql(suffixes.OP4_SQL, [*rows, (10**9, None)]) == brute_suffix([*rows, (10**9, None)]) and by_sql(suffixes.OP4_SQL, special) == brute_suffix(special)
 
 
 def test_suffix_dedup_without_ids_or_with_repeated_ones(spark):
@@ -442,6 +449,7 @@ def test_secrets(spark, docs):
         base = brute_secrets(t)
         joined = ",".join(f"{x[2]}:{x[0]}:{x[1]}" for x in base)
         assert out[k][:4] == (*(sum(x[2] == n for x in base) for n in secrets.BASE), hashlib.sha256(joined.encode()).hexdigest())
+    assert out == by_sql(secrets.OP6_SQL, list(enumerate(texts)))
     assert secrets.redacted("my password=abcdef1 and more") == "my [SECRET] and more"
     assert secrets.redact(docs).columns == docs.columns
 
@@ -674,7 +682,7 @@ def test_empty_tables(spark):
     assert urls.filter_captures(captures, urls.sample_log(captures)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op3_mix_sources", "op5_ngram_jaccard_join", "op9_url_filters", "op10_exact_topk"])
+@pytest.mark.parametrize("name", ["op3_mix_sources", "op4_suffix_dedup", "op5_ngram_jaccard_join", "op6_secret_scan", "op9_url_filters", "op10_exact_topk"])
 def test_queries_match_sql(spark, sf_dir, name):
     from tilewright.llm import registry
 

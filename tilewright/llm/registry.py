@@ -8,8 +8,8 @@ from .mixing import OP3_SQL, op3_mix_sources
 from .ngramjoin import OP5_SQL, op5_ngram_jaccard_join
 from .packing import op2_best_fit_packing
 from .quality import op8_quality_rules
-from .secrets import op6_secret_scan
-from .suffixes import op4_suffix_dedup
+from .secrets import OP6_SQL, op6_secret_scan
+from .suffixes import OP4_SQL, op4_suffix_dedup
 from .topk import OP10_SQL, op10_exact_topk
 from .urls import OP9_SQL, op9_url_filters
 
@@ -25,4 +25,11 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_exact_topk": op10_exact_topk,
 }
-SQL = {"op3_mix_sources": OP3_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_exact_topk": OP10_SQL}
+SQL = {
+    "op3_mix_sources": OP3_SQL,
+    "op4_suffix_dedup": OP4_SQL,
+    "op5_ngram_jaccard_join": OP5_SQL,
+    "op6_secret_scan": OP6_SQL,
+    "op9_url_filters": OP9_SQL,
+    "op10_exact_topk": OP10_SQL,
+}

@@ -155,5 +155,45 @@ def redact(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
+#: A place is the length of all pieces and matches before it; CRC-32 bit by bit.
+OP6_SQL = r"""
+WITH flat AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_replace(coalesce(text, ''), '[^\x00-\x7F]', '?', 'g') AS t FROM documents
+), kinds(k, kind, p) AS (VALUES
+  (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'), (3, 'github', 'gh[pousr]_'), (4, 'npm', 'npm_')
+), matched AS (
+  SELECT r, t, k, kind, p, unnest(range(len(pieces))) AS i, unnest(pieces) AS piece, unnest(ms) AS m
+  FROM (SELECT r, t, k, kind, p, string_split_regex(t, p) AS pieces, regexp_extract_all(t, p) AS ms FROM flat, kinds)
+), placed AS (
+  SELECT r, t, k, kind, p, m, CAST(sum(length(piece) + coalesce(length(m), 0)) OVER w AS BIGINT) - coalesce(length(m), 0) AS start
+  FROM matched WINDOW w AS (PARTITION BY r, k ORDER BY i)
+), tokens AS (
+  SELECT r, k, kind, start, length(m) + 36 AS size, substr(t, start + length(m) + 1, 30) AS body,
+         substr(t, start + length(m) + 31, 6) AS digits, substr(t, start + length(m) + 37, 1) AS following
+  FROM placed WHERE m IS NOT NULL AND k >= 3
+), checked AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [(ascii(body[j // 8 + 1]) >> (j % 8)::INTEGER) & 1 for j in range(240)]),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)))) AS crc
+  FROM tokens WHERE regexp_full_match(body || digits, '[A-Za-z0-9]{36}') AND NOT regexp_full_match(following, '[A-Za-z0-9]')
+), valid AS (
+  SELECT r, k, kind, start, start + length(m) AS stop FROM placed
+  WHERE k = 0 AND length(regexp_extract(m, p, 2)) >= 6 OR k = 1 AND length(m) >= 20 OR k = 2 AND length(m) >= 24
+  UNION ALL
+  SELECT r, k, kind, start, start + size FROM checked
+  WHERE digits = list_aggregate([substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', (crc // power(62, 5 - j)::BIGINT % 62 + 1)::INTEGER, 1) for j in range(6)], 'string_agg', '')
+  QUALIFY coalesce(start - lag(start) OVER (PARTITION BY r, k ORDER BY start) >= size, true)
+), joined AS (
+  SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, k) FILTER (k < 3) AS base,
+         string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, k) AS spans
+  FROM valid GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM flat LEFT JOIN joined USING (r)
+"""
+
+
 def op6_secret_scan(spark, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))

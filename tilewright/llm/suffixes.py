@@ -420,5 +420,35 @@ def kept_bytes(docs: DataFrame) -> DataFrame:
     return _with_spans(docs).mapInArrow(_apply(lambda doc, text, gone, kept: (doc, kept), schema), "doc_id long, kept binary")
 
 
+#: Windows by MD5 digests of their hexadecimal form, cut from blocks of 500 places.
+OP4_SQL = r"""
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS MATERIALIZED (
+  SELECT r, from_pos + i AS pos, md5_number(substr(block, 2 * i + 1, 400)) AS d
+  FROM (SELECT *, unnest(range(0, length(block) // 2 - 199)) AS i
+        FROM (SELECT r, from_pos, substr(h, 2 * from_pos + 1, 1398) AS block
+              FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 199, 500)) AS from_pos FROM texts)))
+), again AS (
+  SELECT r, pos, pos - lag(pos) OVER (PARTITION BY r ORDER BY pos) AS step
+  FROM windows WHERE d IN (SELECT d FROM windows GROUP BY d HAVING count(*) > 1)
+), numbered AS (
+  SELECT r, pos, count(*) FILTER (WHERE step IS NULL OR step > 200) OVER (PARTITION BY r ORDER BY pos) AS span FROM again
+), spans AS (
+  SELECT r, span, min(pos) AS start, max(pos) + 200 AS stop FROM numbered GROUP BY r, span
+), gaps AS (
+  SELECT r, start, stop, coalesce(lag(stop) OVER (PARTITION BY r ORDER BY start), 0) AS since FROM spans
+), cut AS (
+  SELECT r, sum(stop - start) AS n_removed, count(*) AS n_spans, max(stop) AS last,
+         string_agg(substr(h, 2 * since + 1, 2 * (start - since)), '' ORDER BY start) AS front
+  FROM gaps JOIN texts USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (r)
+"""
+
+
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
