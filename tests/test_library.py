@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import geometry as G
 from tilewright.functions import scalars as S
-from tilewright.operators import morphology, scoring, serving, spatial, stats, store, tiles
+from tilewright.operators import morphology, order, scoring, serving, spatial, stats, store, tiles
 from tilewright.plans import catalog
 from tilewright.sources import coordinates, logs, png, tfrecord
 
@@ -102,6 +102,26 @@ def test_rolling_mean_of_a_constant(spark):
     assert {r["smooth"] for r in stats.centred_mean(df, "v", ["id"], 6).collect()} == {3.0}
 
 
+@pytest.mark.parametrize("size", [1, 9, 64])
+def test_running_results_by_bucket(spark, monkeypatch, size):
+    monkeypatch.setattr(stats, "BLOCK", size)
+    r = np.random.default_rng(size)
+    rows = [(k, None if k % 50 == 7 else int(x), ("a", "b", None)[k % 7 % 3], None if k % 11 == 0 else int(y)) for k, (x, y) in enumerate(zip(r.integers(0, 60, 300), r.integers(0, 9, 300)))]
+    df = spark.createDataFrame(rows, "id long, at int, kind string, v int")
+    bucket = F.floor(F.col("at") / 7)
+    places, before, smooth = {}, {}, {}
+    for kind in ("a", "b", None):
+        own = sorted((x for x in rows if x[2] == kind), key=lambda x: (x[1] is not None, x[1] or 0, x[0]))
+        for k, x in enumerate(own):
+            near = [y[3] for y in own[max(k - 4, 0) : k + 5] if y[3] is not None]
+            places[x[0]], before[x[0]], smooth[x[0]] = k, own[k - 1][3] if k else None, sum(near) / len(near) if near else None
+    assert {x["id"]: x["k"] for x in order.positions(df, ["at", "id"], ["kind"], bucket, "k").collect()} == places
+    assert {x["id"]: x["w"] for x in order.row_before(df, F.col("v"), ["at", "id"], ["kind"], bucket, "w").collect()} == before
+    out = {x["id"]: x["smooth"] for x in stats.centred_mean(df, "v", ["at", "id"], 9, ["kind"], bucket).collect()}
+    assert out == pytest.approx(smooth)
+    assert order.positions(df.where("id < 0"), ["at", "id"], [], bucket, "k").count() == 0
+
+
 def test_pca(spark):
     v = np.random.default_rng(2).normal(size=(60, 4)) * [1, 2, 3, 4] + 1
     v[:, 3] += v[:, 0]

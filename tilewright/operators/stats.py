@@ -10,9 +10,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import positions
+
 
 #: Bins of a histogram, and distinct values that are counted one by one.
 BINS = 4096
+#: Places in a block of a running mean.
+BLOCK = 1 << 16
 
 
 def moments(rows: DataFrame, columns: list[str], by: list[str] = [], sample: bool = True) -> DataFrame:
@@ -185,10 +189,19 @@ def otsu(rows: DataFrame, value: str, by: list[str] = []) -> DataFrame:
     return cut.groupBy(*by).agg(F.max_by("after", F.struct(F.col("between"), -F.col("v"))).alias("threshold"))
 
 
-def centred_mean(rows: DataFrame, value: str, order: list, n: int, by: list[str] = []) -> DataFrame:
-    """smooth: mean over n rows around each (an even n counts as n - 1), fewer at the ends."""
+def centred_mean(rows: DataFrame, value: str, order: list, n: int, by: list[str] = [], bucket: Column | None = None) -> DataFrame:
+    """smooth: mean over n rows around each (an even n counts as n - 1), fewer at the ends.
+
+    With a bucket (see `order`), rows are dealt in blocks of BLOCK places, each with the few rows around it.
+    """
     half = (n - 1 if n % 2 == 0 else n) // 2
-    return rows.withColumn("smooth", F.avg(value).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(-half, half)))
+    if bucket is None:
+        return rows.withColumn("smooth", F.avg(value).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(-half, half)))
+    size, k = max(BLOCK, n), F.col("_k")
+    seen = F.sequence(F.greatest(F.floor((k - half) / size), F.lit(0)), F.floor((k + half) / size))
+    dealt = positions(rows, order, by, bucket, "_k").withColumn("_block", F.explode(seen))
+    around = Window.partitionBy(*by, "_block").orderBy("_k").rowsBetween(-half, half)
+    return dealt.withColumn("smooth", F.avg(value).over(around)).where(F.col("_block") == F.floor(k / size)).drop("_k", "_block")
 
 
 def standardise(rows: DataFrame, columns: list[str]) -> DataFrame:

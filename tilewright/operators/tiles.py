@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import morton, tree_depth
+from .order import positions
 
 
 def padded_side(grid: DataFrame) -> DataFrame:
@@ -34,10 +35,10 @@ def index_stacks(depth: int, code="code") -> tuple[Column, Column]:
 
 
 def batches(grid: DataFrame, usable: str, size: int, order: list[str] = ["row", "col"], by: list[str] = []) -> DataFrame:
-    """batch_idx: k // size of the usable tiles in order; -(k // size + 1) of the others."""
-    k = F.row_number().over(Window.partitionBy(*by, usable).orderBy(*order)) - 1
-    b = F.floor(k / size)
-    return grid.withColumn("batch_idx", F.when(F.col(usable), b).otherwise(-(b + 1)).cast("bigint"))
+    """batch_idx: k // size of the usable tiles in order; -(k // size + 1) of the others. Tiles of one value of the first order column meet in one task."""
+    b = F.floor(F.col("_k") / size)
+    placed = positions(grid, order, [*by, usable], F.col(order[0]), "_k")
+    return placed.withColumn("batch_idx", F.when(F.col(usable), b).otherwise(-(b + 1)).cast("bigint")).drop("_k")
 
 
 def drop_remainder(rows: DataFrame, size: int, batch: str = "batch_idx") -> DataFrame:

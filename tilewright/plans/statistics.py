@@ -102,7 +102,7 @@ def area_percentile_filter(spark, d):
 @query("rolling_mean_centred", "SELECT event_id, (sum(round(value * 100)::BIGINT) OVER w)::DOUBLE / (count(*) OVER w) AS smooth FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING)")
 def rolling_mean_centred(spark, d):
     cents = D.table(spark, d, "events").withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
-    return stats.centred_mean(cents, "cents", ["ts", "event_id"], 26, ["event_type"]).select("event_id", "smooth")
+    return stats.centred_mean(cents, "cents", ["ts", "event_id"], 26, ["event_type"], F.date_trunc("hour", "ts")).select("event_id", "smooth")
 
 
 @query("anomaly_score_convex", f"""

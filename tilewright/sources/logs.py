@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import row_before
+
 SCHEMA = "global_step string, growth_step string, epoch_step string, `steps/sec` string, datetime_utc string, block_idx string, growth_idx string, epoch_idx string, losses map<string,string>"
 NAME = r"growth_(\d+)_epoch_(\d+)_epoch_step_(\d+)"
 
@@ -30,7 +32,8 @@ def write(rows: DataFrame, path: str, every: int) -> None:
 
 
 def rates(rows: DataFrame, at: str, by: list[str], order: list[str], steps: int) -> DataFrame:
-    """rate: steps over the seconds since the row before; null for the first, and for no time passed."""
+    """rate: steps over the seconds since the row before; null for the first, and for no time passed. `order` begins with `at`; rows of one hour meet in one task."""
     now = F.unix_micros(F.col(at).cast("timestamp"))
-    gap = now - F.lag(now).over(Window.partitionBy(*by).orderBy(*order))
-    return rows.withColumn("rate", F.lit(float(steps)) / F.when(gap != 0, gap) * 1000000)
+    gap = now - F.col("_since")
+    rows = row_before(rows, now, order, by, F.date_trunc("hour", F.col(at).cast("timestamp")), "_since")
+    return rows.withColumn("rate", F.lit(float(steps)) / F.when(gap != 0, gap) * 1000000).drop("_since")
