@@ -373,6 +373,14 @@ def test_packing(docs, rows):
         assert at <= 1024
 
 
+def test_packing_spreads_rows_without_ids(spark):
+    from pyspark.sql import functions as F
+
+    pieces = spark.createDataFrame([(None, 0, 0, 1 + k % 900, k) for k in range(4000)] + [(5, k, 1024 * k, 1024, k) for k in range(4000)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out = packing.pack(pieces, 8).groupBy(F.shiftright("sequence_id", 32).alias("group")).agg(F.count_if(F.isnull("doc_id")).alias("a"), F.count_if(F.col("doc_id") == 5).alias("b")).collect()
+    assert len(out) == 8 and all(350 < x["a"] < 650 and 350 < x["b"] < 650 for x in out)
+
+
 def test_ids_of_odd_texts():
     from tokenizers import Tokenizer
 

@@ -4,9 +4,9 @@ A document becomes its token ids and one closing id. Only a document longer than
 is cut, counted from its end, so that every piece but perhaps the first fills a sequence.
 Pieces are placed one at a time: of the open sequences with room, or a new one, the piece
 goes where the sum over residual gaps of the squared number of open sequences with that gap
-becomes smallest; of equals, where the smaller gap is left. Documents are dealt to groups of
-a fixed expected size by a hash of the id, and each group is packed on its own, so a task
-holds lengths of a bounded number of documents and never any token.
+becomes smallest; of equals, where the smaller gap is left. Pieces are dealt to groups of the
+expected size of GROUP_DOCS documents by a hash of themselves, and each group is packed on
+its own, so a task holds lengths of a bounded number of pieces and never any token.
 
 Cases: a null or empty text is the closing id alone. Equal rows are packed each on its own;
 so are rows with a null id. An empty table gives no rows. Other columns are never read.
@@ -245,7 +245,8 @@ def pack(pieces: DataFrame, groups: int, sequence: int = SEQUENCE) -> DataFrame:
         at[order], offset[order] = seq + len(lengths), off
         return table.drop_columns("group").append_column("sequence_id", pa.array(at + (group << 32), pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, groups))).cast("long"))
+    # By the piece and not its document alone, so that neither a very long text nor rows with one id or none fill a group.
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(max(1, groups))).cast("long"))
     return dealt.groupBy("group").applyInArrow(run, schema)
 
 
