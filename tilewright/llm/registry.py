@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chunks import op1_substring_dedup
+from .fim import OP11_SQL, op11_fill_in_middle
 from .langid import op7_language_id
 from .mixing import OP3_SQL, op3_mix_sources
 from .ngramjoin import OP5_SQL, op5_ngram_jaccard_join
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_exact_topk": op10_exact_topk,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 SQL = {
     "op3_mix_sources": OP3_SQL,
@@ -32,4 +34,5 @@ SQL = {
     "op6_secret_scan": OP6_SQL,
     "op9_url_filters": OP9_SQL,
     "op10_exact_topk": OP10_SQL,
+    "op11_fill_in_middle": OP11_SQL,
 }
