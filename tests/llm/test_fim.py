@@ -31,7 +31,7 @@ def plain(doc_id, text, plan):
     return p + one + s + three + m + two, n, "psm", len(one), len(two)
 
 
-@pytest.mark.parametrize("plan", [fim.Plan(), fim.Plan(units=r"\S+", marks=("[pre]", "[suf]", "[mid]"), share=60, spm_share=20, seed=3), fim.Plan(units=r"[^\n]*\n", spm_share=100)])
+@pytest.mark.parametrize("plan", [fim.Plan(), fim.Plan(units=r"\S+", marks=("[pre]", "[suf]", "[mid]"), share=60, spm_share=20, seed=3), fim.Plan(units=r"[^\n]+|\n", spm_share=100)])
 def test_equal_to_lists_and_back(spark, plan):
     rows = [(None if k % 9 == 4 else k // 2, t) for k, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in ("form", "n", "units", "h")})
