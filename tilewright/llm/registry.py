@@ -8,6 +8,7 @@ from .langid import op7_language_id
 from .mixing import OP3_SQL, op3_mix_sources
 from .ngramjoin import OP5_SQL, op5_ngram_jaccard_join
 from .packing import op2_best_fit_packing
+from .phrases import OP13_SQL, op13_phrase_mining
 from .quality import op8_quality_rules
 from .secrets import OP6_SQL, op6_secret_scan
 from .suffixes import OP4_SQL, op4_suffix_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_exact_topk": op10_exact_topk,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 SQL = {
     "op3_mix_sources": OP3_SQL,
@@ -35,4 +37,5 @@ SQL = {
     "op9_url_filters": OP9_SQL,
     "op10_exact_topk": OP10_SQL,
     "op11_fill_in_middle": OP11_SQL,
+    "op13_phrase_mining": OP13_SQL,
 }
