@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chunks import op1_substring_dedup
 from .fim import OP11_SQL, op11_fill_in_middle
+from .hpylm import op12_lm_scoring
 from .langid import op7_language_id
 from .mixing import OP3_SQL, op3_mix_sources
 from .ngramjoin import OP5_SQL, op5_ngram_jaccard_join
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_exact_topk": op10_exact_topk,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_phrase_mining": op13_phrase_mining,
 }
 SQL = {
