@@ -41,13 +41,13 @@ from .textcore import LOWER, MULT, STEP_BYTES, U64, mix64, prefix_hash, span_has
 #: Most words of a phrase.
 MOST = 4
 #: Text bytes for each cell of the sketch, and bounds of its size as powers of two.
-CELL_BYTES = 16
+CELL_BYTES = 32
 LEAST_BITS, MOST_BITS = 16, 28
 #: Cells of a block, as a power of two.
 BLOCK_BITS = 14
 #: Counts that a task gathers before it hands on a sketch, and text bytes of a shard.
-GATHERED = 12_000_000
-SHARD = 16 << 20
+GATHERED = 4_000_000
+SHARD = 4 << 20
 UNKNOWN = "und"
 
 BREAK = np.zeros(256, dtype=bool)
