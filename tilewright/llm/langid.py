@@ -10,8 +10,8 @@ all languages and a code of 8 bits a byte for none of them: near 1 where one lan
 out, lower where two are as likely, near 0 for a text that no tree can shorten.
 
 The trees are fitted on a bounded sample of labelled rows: about SAMPLE rows for each
-language, picked by a hash of the id, of the LANGUAGES most frequent ones. Everything else
-covers every byte of every text.
+language, picked by a hash of id and text. Trees are kept for up to LANGUAGES languages
+together, as many times as it takes. Everything else covers every byte of every text.
 
 Cases: `und` with score 0 for a null text, a text without a letter, or if nothing was
 learned. Rows with a null `lang` teach nothing. A null id is never held out. Equal lengths go
@@ -35,7 +35,7 @@ from .textcore import MULT, SPACE, spans_of, steps
 ORDER = 3
 #: About so many labelled rows of each language are learned from.
 SAMPLE = 1200
-#: At most so many languages are learned: the most frequent ones.
+#: Languages whose trees share a table.
 LANGUAGES = 64
 SHARP = 2.0
 UNKNOWN = "und"
@@ -146,6 +146,17 @@ class Model:
         return out
 
 
+class Models:
+    """Trees of any number of languages, in order."""
+
+    def __init__(self, parts: list[Model]):
+        self.parts = parts
+        self.languages = [x for p in parts for x in p.languages]
+
+    def lengths(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return np.hstack([p.lengths(raw, offsets) for p in self.parts])
+
+
 def _letters(texts: pa.Array, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Which texts have a letter."""
     low = raw | 0x20
@@ -156,15 +167,15 @@ def _letters(texts: pa.Array, raw: np.ndarray, offsets: np.ndarray) -> np.ndarra
     return has
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
+def learn(docs: DataFrame, sample: int = SAMPLE) -> Models:
     """Trees from rows of `docs` (doc_id, text, lang) that aren't held out."""
     rows = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
+    known = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(known)
     if not languages:
-        return Model([], [])
+        return Models([])
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample / known[lang]))])
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20)).select("lang", "text")
+    picked = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -182,10 +193,11 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
             keys, n = own["key"].to_numpy().astype(np.uint32), own["n"].to_numpy().astype(np.float64)
             order = np.argsort(keys)
             by[lang] = keys[order], n[order]
-    return Model(list(by), list(by.values()))
+    names = list(by)
+    return Models([Model(own, [by[x] for x in own]) for own in (names[k : k + LANGUAGES] for k in range(0, len(names), LANGUAGES))])
 
 
-def identify(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+def identify(docs: DataFrame, model: Model | Models, pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """All columns of `docs` with `pred` and `score`; columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop(pred, score)

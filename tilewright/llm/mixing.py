@@ -58,13 +58,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     return per.select("source", "source_size", F.coalesce(F.least(own, F.col("w") * F.col("final")), own).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, quality: DataFrame | None = None, seed: str = SEED, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken.
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, quality: DataFrame | None = None, seed: str = SEED, bucket_docs: int = BUCKET_DOCS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken, and the columns `keep`, whose names must be none of the others.
 
     quality: doc_id and weight (positive); the first weight of an id counts. A document is in
     the rest of its source when the middle of its words, in key order, lies within the rest.
     """
-    rows = stored(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")))
+    rows = stored(docs.select("doc_id", "source", *keep, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")))
     buckets = -(-rows.count() // bucket_docs)
     targets = source_targets(rows, weights, cap)
     if quality is not None:
@@ -88,15 +88,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, qua
     rest = F.col("target") - epochs * F.col("source_size")
     chosen = (F.col("upto") - F.col("size") / F.lit(2.0) < rest) & (epochs < cap)
     rows = rows.withColumn("copies", (epochs + chosen.cast("bigint")))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), *keep)
 
 
 def mixed_documents(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
-    """The rows of `docs` with each repeated as often as the mix takes it; ids must be unique."""
-    key, copies, copy = (free_name(docs, x) for x in ("mix_id", "mix_copies", "mix_copy"))
-    plan = mix(docs, quality=quality).where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
-    kept = docs.join(plan, F.col("doc_id").eqNullSafe(F.col(key)))
-    return kept.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(key, copies, copy)
+    """The rows of `docs` with each repeated as often as the mix takes that row, whatever its id.
+
+    Rows are numbered and written to the shared folder first, so that a number stays with its row.
+    """
+    row, copies, copy = (free_name(docs, x) for x in ("mix_row", "mix_copies", "mix_copy"))
+    tagged = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    plan = mix(tagged.select("doc_id", "text", "source", F.col(row).alias("_row")), quality=quality, keep=("_row",)).where("copies > 0")
+    kept = tagged.join(plan.select(F.col("_row").alias(row), F.col("copies").alias(copies)), row)
+    return kept.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
