@@ -84,8 +84,9 @@ def edges(labels: DataFrame) -> DataFrame:
     return hit.select(*BY, F.col("oy").alias("y"), F.col("ox").alias("x"), "label").distinct()
 
 
-def label_image(y: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Of flagged pixels the least place of their 8-connected component; union by runs of a row."""
+def label_image(y: np.ndarray, x: np.ndarray, corners: bool = True) -> np.ndarray:
+    """Of flagged pixels the least place of their component, 8-connected or, without corners, 4-connected; union by runs of a row."""
+    reach = 1 if corners else 0
     order = np.lexsort((x, y))
     ys, xs = y[order], x[order]
     new = np.ones(len(ys), dtype=bool)
@@ -103,10 +104,10 @@ def label_image(y: np.ndarray, x: np.ndarray) -> np.ndarray:
 
     a, b = 0, 0
     for b in range(len(first)):
-        while a < b and (ys[first[a]] < ys[first[b]] - 1 or (ys[first[a]] == ys[first[b]] - 1 and xs[last[a]] < xs[first[b]] - 1)):
+        while a < b and (ys[first[a]] < ys[first[b]] - 1 or (ys[first[a]] == ys[first[b]] - 1 and xs[last[a]] < xs[first[b]] - reach)):
             a += 1
         k = a
-        while k < b and ys[first[k]] == ys[first[b]] - 1 and xs[first[k]] <= xs[last[b]] + 1:
+        while k < b and ys[first[k]] == ys[first[b]] - 1 and xs[first[k]] <= xs[last[b]] + reach:
             i, j = find(k), find(b)
             root[max(i, j)] = min(i, j)
             k += 1
@@ -142,25 +143,25 @@ def component_centres(labels: DataFrame) -> DataFrame:
     return labels.groupBy(*BY, "label").agg(F.count(F.lit(1)).alias("size"), F.floor(F.avg("y")).cast("bigint").alias("cy"), F.floor(F.avg("x")).cast("bigint").alias("cx"))
 
 
-def trace(values: np.ndarray, level: float) -> list[np.ndarray]:
-    """Closed rings (row, column) at a level, by marching squares over the image padded below it.
+#: Where a contour crosses the side between two pixels: row and column of the first, and whether the second is below it.
+Crossing = tuple[int, int, int]
+
+
+def steps(v: np.ndarray, level: float) -> dict[Crossing, tuple[Crossing, tuple[float, float], tuple[int, int]]]:
+    """By marching squares, for each crossing where a line enters a cell: where it leaves, the point of entry, and a pixel above the level beside it.
 
     Each 2 by 2 cell gives at most two segments between points interpolated on its sides, with
-    higher values on the left; of a saddle, high corners stay apart. Segments are linked end to start.
+    higher values on the left; of a saddle, high corners stay apart.
     """
-    low = min(float(values.min()) if values.size else 0.0, level) - 1.0
-    v = np.pad(values.astype(float), 1, constant_values=low)
-    nxt: dict[tuple, tuple] = {}
+    out = {}
     up = v >= level
     mixed = up[:-1, :-1].astype(int) + up[:-1, 1:] + up[1:, :-1] + up[1:, 1:]
 
-    def cut(a: tuple[int, int], b: tuple[int, int]) -> tuple[float, float]:
-        if a > b:
-            a, b = b, a
-        t = (level - v[a]) / (v[b] - v[a])
-        return (a[0] + t * (b[0] - a[0]) - 1, a[1] + t * (b[1] - a[1]) - 1)
+    def side(a: tuple[int, int], b: tuple[int, int]) -> Crossing:
+        a, b = sorted((a, b))
+        return (*a, b[0] - a[0])
 
-    for r, c in zip(*np.nonzero((mixed > 0) & (mixed < 4))):
+    for r, c in zip(*(x.tolist() for x in np.nonzero((mixed > 0) & (mixed < 4)))):
         corner = [(r, c), (r, c + 1), (r + 1, c + 1), (r + 1, c)]
         high = [bool(up[p]) for p in corner]
         # Going round the cell, the line enters where low turns to high and leaves where high turns to low next.
@@ -169,16 +170,24 @@ def trace(values: np.ndarray, level: float) -> list[np.ndarray]:
                 j = k
                 while high[(j + 1) % 4]:
                     j += 1
-                start = ("e", *sorted((corner[k - 1], corner[k])))
-                end = ("e", *sorted((corner[j % 4], corner[(j + 1) % 4])))
-                nxt[start] = (end, cut(corner[k - 1], corner[k]))
+                a, b = sorted((corner[k - 1], corner[k]))
+                t = (level - v[a]) / (v[b] - v[a])
+                point = (float(a[0] + t * (b[0] - a[0])), float(a[1] + t * (b[1] - a[1])))
+                out[side(a, b)] = (side(corner[j % 4], corner[(j + 1) % 4]), point, corner[k])
+    return out
+
+
+def trace(values: np.ndarray, level: float) -> list[np.ndarray]:
+    """Closed rings (row, column) at a level over the image padded below it: segments linked end to start."""
+    low = min(float(values.min()) if values.size else 0.0, level) - 1.0
+    nxt = steps(np.pad(values.astype(float), 1, constant_values=low), level)
     rings = []
     while nxt:
         at = next(iter(nxt))
         ring = []
         while at in nxt:
-            at, place = nxt.pop(at)
-            ring.append(place)
+            at, (y, x), _ = nxt.pop(at)
+            ring.append((y - 1, x - 1))
         rings.append(np.array(ring + ring[:1]))
     return rings
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import serving, statistics, tiling
+from . import regions, serving, slides, statistics, tiling
 
-QUERIES = {**statistics.Q, **tiling.Q, **serving.Q}
-SQL = {**statistics.SQL, **tiling.SQL, **serving.SQL}
+MODULES = (statistics, tiling, serving, slides, regions)
+QUERIES = {name: f for module in MODULES for name, f in module.Q.items()}
+SQL = {name: text for module in MODULES for name, text in module.SQL.items()}
 FLAGSHIP = QUERIES["anomaly_flag_counts"]
