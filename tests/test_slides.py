@@ -38,7 +38,7 @@ def test_components(pixels, images, tile, corners):
 
 
 @pytest.mark.parametrize("tile", [3, 8, 64])
-def test_contours(pixels, images, tile):
+def test_contours(pixels, images, tile, monkeypatch):
     out = slides.contours(pixels, 0.55, tile, ["slide"], pad=-1.0).collect()
     for k, im in images.items():
         own = [r for r in out if r["slide"] == k]
@@ -55,6 +55,10 @@ def test_contours(pixels, images, tile):
                 around = [o for o in outer.values() if o["area"] > r["area"] and inside(r["ring"][0], o["ring"])]
                 assert min(around, key=lambda o: o["area"])["ring_id"] == r["parent"]
     assert sum(r["is_hole"] for r in out) > 10
+    if tile == 3:
+        ids = {(r["slide"], r["ring_id"], r["parent"], r["label"]) for r in out}
+        monkeypatch.setattr(graph, "SMALL", 5)
+        assert ids == {(r["slide"], r["ring_id"], r["parent"], r["label"]) for r in slides.contours(pixels, 0.55, 4, ["slide"], pad=-1.0).collect()}
     ids = {(r["slide"], r["ring_id"]) for r in out}
     assert len(ids) == len(out) and ids == {(r["slide"], r["ring_id"]) for r in slides.contours(pixels, 0.55, 5, ["slide"], pad=-1.0).collect()}
 
@@ -67,7 +71,10 @@ def inside(p, ring):
     return n % 2 == 1
 
 
-def test_graph_of_chains_and_cycles(spark):
+@pytest.mark.parametrize("small", [0, 100, 10**6])
+def test_graph_of_chains_and_cycles(spark, monkeypatch, small):
+    """All groups by joins, some by joins, each in a task."""
+    monkeypatch.setattr(graph, "SMALL", small)
     n = 200
     chain = [("a", k, k + 1) for k in range(n)] + [("b", 5, 9), ("b", 9, 5), ("b", 3, 3), ("b", 700, 9), (None, 8, 2)]
     out = {(r["g"], r["id"]): r["component"] for r in graph.components(spark.createDataFrame(chain, "g string, a long, b long"), ["g"]).collect()}

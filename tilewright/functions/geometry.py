@@ -197,16 +197,20 @@ def slab_rings(a: list[list[np.ndarray]], b: list[list[np.ndarray]], keep) -> li
     for y0, y1, x0, x1, owners in _slabs(a, b):
         begun = None
         held = [keep(in_a, in_b) for _, in_a, in_b in _stretches(owners)] + [False]
+        low, high = near(y0), near(y1)
+        spans: list[tuple[tuple[float, float], tuple[float, float]]] = []
         for k in range(len(owners)):
+            at = (near(x0[k]), near(x1[k]))
             if held[k + 1] and not held[k]:
-                begun = k
-            elif held[k] and not held[k + 1]:
-                (l0, l1), (r0, r1) = (near(x0[begun]), near(x1[begun])), (near(x0[k]), near(x1[k]))
-                low, high = near(y0), near(y1)
-                sides += [((r0, low), (r1, high)), ((l1, high), (l0, low))]
-                for y, x, turn in ((low, l0, 1), (low, r0, -1), (high, l1, -1), (high, r1, 1)):
-                    flat.setdefault(y, {}).setdefault(x, 0)
-                    flat[y][x] += turn
+                begun = at
+            elif held[k] and not held[k + 1] and at != begun:
+                # What ends where the next begins is one: no outline runs between them.
+                spans[-1:] = [(spans[-1][0], at)] if spans and spans[-1][1] == begun else [*spans[-1:], (begun, at)]
+        for (l0, l1), (r0, r1) in spans:
+            sides += [((r0, low), (r1, high)), ((l1, high), (l0, low))]
+            for y, x, turn in ((low, l0, 1), (low, r0, -1), (high, l1, -1), (high, r1, 1)):
+                flat.setdefault(y, {}).setdefault(x, 0)
+                flat[y][x] += turn
     for y, turns in flat.items():
         xs, depth = sorted(turns), 0
         for p, q in zip(xs[:-1], xs[1:]):
