@@ -124,27 +124,27 @@ def _beside(ring: str, distance: float, quarter: int) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), n - 1), pieces))
 
 
-def buffered(polygons: DataFrame, key: str, distance: float, cell: float, quarter: int = 8) -> DataFrame:
+def buffered(polygons: DataFrame, key: str, distance: float, cell: float, quarter: int = 8, clean: bool = False) -> DataFrame:
     """key, ring: polygons (key, ring; holes are further rings of a key) grown by a distance, or shrunk by a negative one.
 
     Corners get round joins of 4 * quarter corners a circle. Rings are dissolved first, which
     repairs those that cross themselves: what they wind around an odd number of times is kept.
-    A distance of 0 only repairs.
+    A distance of 0 only repairs. clean: they are closed outlines already, holes clockwise.
     """
-    own = polygons.select(key, F.lit(False).alias("annotated"), F.lit(-1).cast("long").alias("polygon_id"), "ring")
-    clean = dissolved(own, key, cell)
+    named = lambda rows: rows.select(key, F.lit(False).alias("annotated"), F.lit(-1).cast("long").alias("polygon_id"), "ring")
+    whole = polygons if clean else dissolved(named(polygons), key, cell)
     if not distance:
-        return clean
-    clean = settled(clean)
-    own = clean.select(key, F.lit(False).alias("annotated"), F.lit(-1).cast("long").alias("polygon_id"), "ring")
-    beside = clean.select(key, F.explode(_beside("ring", distance, quarter)).alias("ring")).where(F.size("ring") > 2)
+        return whole
+    whole = whole if clean else settled(whole)
+    own = named(whole)
+    beside = whole.select(key, F.explode(_beside("ring", distance, quarter)).alias("ring")).where(F.size("ring") > 2)
     more = beside.select(key, F.lit(distance < 0), F.monotonically_increasing_id(), "ring")
     return dissolved(own.union(more), key, cell, "difference" if distance < 0 else "union")
 
 
 def closed(polygons: DataFrame, key: str, distance: float, cell: float, quarter: int = 8) -> DataFrame:
     """key, ring: outlines smoothed by growing and shrinking them by a distance."""
-    return buffered(settled(buffered(polygons, key, distance, cell, quarter)), key, -distance, cell, quarter)
+    return buffered(settled(buffered(polygons, key, distance, cell, quarter)), key, -distance, cell, quarter, clean=True)
 
 
 def _cross(ox, oy, ax, ay, bx, by) -> Column:
