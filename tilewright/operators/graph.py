@@ -49,7 +49,8 @@ def _in_tasks(rows: DataFrame, by: list[str], solve, columns: list[str]) -> Data
         own = {c: pa.array([v.as_py()] * len(found[0]), v.type) for c, v in zip(by, key)}
         return pa.table(own | dict(zip(columns, found)))
 
-    return rows.groupBy(*(by or [F.lit(0)])).applyInArrow(run, kinds + ", ".join(f"{c} long" for c in columns))
+    dealt = rows if by else rows.withColumn("_all", F.lit(0))
+    return dealt.groupBy(*(by or ["_all"])).applyInArrow(run, kinds + ", ".join(f"{c} long" for c in columns))
 
 
 def _components(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
