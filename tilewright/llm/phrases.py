@@ -46,7 +46,7 @@ LEAST_BITS, MOST_BITS = 16, 28
 #: Cells of a block, as a power of two.
 BLOCK_BITS = 14
 #: Counts that a task gathers before it hands on a sketch, and text bytes of a shard.
-GATHERED = 4_000_000
+GATHERED = 8_000_000
 SHARD = 4 << 20
 UNKNOWN = "und"
 
@@ -129,10 +129,12 @@ def sketch(docs: DataFrame, least: int, bits: int) -> np.ndarray:
     full = min(255, least)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
 
         def flushed(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            cells = np.sort(np.concatenate(parts))
+            cells = np.concatenate(parts)
+            parts.clear()
+            cells.sort()
             first = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
             n = np.minimum(np.diff(first, append=len(cells)), full).astype(np.uint8)
             cells = cells[first]
@@ -153,7 +155,7 @@ def sketch(docs: DataFrame, least: int, bits: int) -> np.ndarray:
                     held += len(hashes)
             if held >= GATHERED:
                 yield from flushed(parts)
-                parts, held = [], 0
+                held = 0
         if held:
             yield from flushed(parts)
 
