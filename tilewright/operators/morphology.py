@@ -25,8 +25,9 @@ def square(size: int) -> tuple[int, int]:
 def dilate(flags: DataFrame, size: int, height: int, width: int) -> DataFrame:
     """(tile_id, y, x) within reach of a flagged pixel, given flagged pixels only."""
     before, after = square(size)
-    grown = neighbourhood(flags.select(*BY, "y", "x"), before, after, before, after)
-    return grown.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1)).distinct()
+    reach = lambda c, n: F.explode(F.sequence(F.greatest(F.col(c) - after, F.lit(0)), F.least(F.col(c) + before, F.lit(n - 1))))
+    tall = flags.select(*BY, reach("y", height).alias("y"), "x").distinct()  # one axis after the other: 2 * size rows a pixel, not size * size
+    return tall.select(*BY, "y", reach("x", width).alias("x")).distinct()
 
 
 def swept(pixels: DataFrame, v: str, thresholds: list[float], sizes: list[int], height: int, width: int) -> DataFrame:

@@ -20,9 +20,9 @@ from . import graph, spatial
 
 def sides(rings: DataFrame, keep: list[str], ring: str = "ring") -> DataFrame:
     """keep, x0, y0, x1, y1: the sides of rings in their direction, those without length left out."""
-    turn = F.explode(G._turns(ring)).alias("s")
+    turn = F.explode(G._turns(ring)).alias("_side")
     rows = rings.where(F.size(ring) > 1).select(*keep, turn)
-    out = rows.select(*keep, *[F.col(f"s.{p}.{c}").alias(f"{c}{k}") for k, p in enumerate("pq") for c in "xy"])
+    out = rows.select(*keep, *[F.col(f"_side.{p}.{c}").alias(f"{c}{k}") for k, p in enumerate("pq") for c in "xy"])
     return out.where("x0 <> x1 or y0 <> y1")
 
 

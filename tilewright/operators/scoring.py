@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import col, digest_unit, divide_no_nan, flag, min_max, origin_distance
+from ..functions.scalars import col, digest_unit, divide_no_nan, flag, min_max, origin_distance, tree_depth
 
 
 #: Thresholds that are evaluated at a time.
@@ -121,16 +121,45 @@ def mask_blocks(pixels: int) -> list[int]:
     return out
 
 
+def block_sizes(pixels) -> Column:
+    """mask_blocks of a column of pixel counts, as an array of longs; empty for 0 and null."""
+    n = F.coalesce(col(pixels).cast("long"), F.lit(0).cast("long"))
+    last = tree_depth(n)
+    halved = lambda k: F.floor(F.ceil(n / F.pow(F.lit(2.0), k)) / 2)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.when(k == last, F.lit(1)).otherwise(halved(k)).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _inside(rects: DataFrame, *keep: str) -> DataFrame:
+    """tile_id, keep, y, x: the pixels of every rectangle."""
+    rows = rects.select("tile_id", *keep, F.explode(F.sequence("y0", F.col("y0") + F.col("h") - 1)).alias("y"), "x0", "w")
+    return rows.select("tile_id", *keep, "y", F.explode(F.sequence("x0", F.col("x0") + F.col("w") - 1)).alias("x"))
+
+
 def rectangle_mask(pixels: DataFrame, rects: DataFrame) -> DataFrame:
     """covers of every pixel, and masked: covered by exactly one rectangle (y0, x0, h, w).
 
     Each rectangle is expanded to its own pixels, so the join is an equality join.
     """
-    inside = rects.select("tile_id", F.explode(F.sequence("y0", F.col("y0") + F.col("h") - 1)).alias("y"), "x0", "w").select("tile_id", "y", F.explode(F.sequence("x0", F.col("x0") + F.col("w") - 1)).alias("x"))
-    covers = inside.groupBy("tile_id", "y", "x").agg(F.count(F.lit(1)).alias("covers"))
+    covers = _inside(rects).groupBy("tile_id", "y", "x").agg(F.count(F.lit(1)).alias("covers"))
     return pixels.join(covers, ["tile_id", "y", "x"], "left").withColumn("covers", F.coalesce("covers", F.lit(0))).withColumn("masked", F.col("covers") == 1)
 
 
+def shuffle_blocks(pixels: DataFrame, rects: DataFrame, seed: int = 1, v: str = "v") -> DataFrame:
+    """Pixels with covers, masked and v: each rectangle (block, y0, x0, h, w) changes its own pixels about, by the order of a seeded digest.
+
+    All pixels of a rectangle take part; what comes to a pixel that other rectangles cover too isn't
+    seen, as that pixel isn't masked and stays as it is. Pixels missing from the image take no part.
+    """
+    rows = _inside(rects, "block").join(pixels.select("tile_id", "y", "x", F.col(v).alias("_v")), ["tile_id", "y", "x"])
+    own = Window.partitionBy("tile_id", "block")
+    key = digest_unit(f"shuffle-{seed}", "tile_id", "block", "y", "x")
+    ranks = rows.withColumns({"_to": F.row_number().over(own.orderBy("y", "x")), "_from": F.row_number().over(own.orderBy(key, "y", "x"))})
+    moved = ranks.select("tile_id", "block", "y", "x", F.col("_to").alias("_k")).join(ranks.select("tile_id", "block", "_v", F.col("_from").alias("_k")), ["tile_id", "block", "_k"])
+    seen = moved.groupBy("tile_id", "y", "x").agg(F.count(F.lit(1)).alias("covers"), F.max("_v").alias("_v"))
+    out = pixels.join(seen, ["tile_id", "y", "x"], "left").withColumn("covers", F.coalesce("covers", F.lit(0))).withColumn("masked", F.col("covers") == 1)
+    return out.withColumn(v, F.when(F.col("masked"), F.col("_v")).otherwise(F.col(v))).drop("_v")
+
+
 def dead_mask(pixels: DataFrame, v: str = "v") -> DataFrame:
     """Masked pixels become -1."""
     return pixels.withColumn(v, F.when(F.col("masked"), F.lit(-1.0)).otherwise(F.col(v)))
@@ -147,9 +176,8 @@ def shuffle_mask(pixels: DataFrame, seed: int = 1, v: str = "v") -> DataFrame:
 
 
 def masked_images(pixels: DataFrame, rects: DataFrame, shuffle: bool = False, seed: int = 1, v: str = "v") -> DataFrame:
-    """Pixels masked by rectangles: those changed about within the mask, or dead."""
-    marked = rectangle_mask(pixels, rects)
-    return shuffle_mask(marked, seed, v) if shuffle else dead_mask(marked, v)
+    """Pixels masked by rectangles: those changed about within each rectangle, or dead."""
+    return shuffle_blocks(pixels, rects, seed, v) if shuffle else dead_mask(rectangle_mask(pixels, rects), v)
 
 
 def tiled_inpainting(pixels: DataFrame, block: int, width: int, divisor: int, v: str = "v", fill: float = -1.0) -> DataFrame:

@@ -132,11 +132,16 @@ def split(rows: DataFrame, key: str, shares: dict[str, int]) -> DataFrame:
     return rows.withColumn("role", role)
 
 
-def random_rectangles(tiles: DataFrame, side: int, areas: list[int], seed: int = 1) -> DataFrame:
-    """tile_id, block, y0, x0, h, w: a rectangle of each area in every tile, as square as it goes, wholly inside."""
+def random_rectangles(tiles: DataFrame, side: int, areas: list[int], seed: int = 1, shift: int = 0) -> DataFrame:
+    """tile_id, block, y0, x0, h, w: a rectangle of each area in every tile, as square as it goes, wholly inside.
+
+    shift: areas change by a random whole number from -shift to shift - 1; those without area go.
+    """
     rows = tiles.select("tile_id", F.posexplode(F.array(*[F.lit(a) for a in areas])).alias("block", "area"))
-    rows = rows.withColumn("h", F.least(F.floor(F.sqrt("area")), F.lit(side)).cast("int")).withColumn("w", F.least(F.expr("area div h"), F.lit(side)).cast("int"))
     u = lambda name: digest_unit(f"{name}-{seed}", "tile_id", "block")
+    if shift:
+        rows = rows.withColumn("area", (F.col("area") + F.floor(u("area") * (2 * shift)) - shift).cast("int")).where("area > 0")
+    rows = rows.withColumn("h", F.least(F.floor(F.sqrt("area")), F.lit(side)).cast("int")).withColumn("w", F.least(F.expr("area div h"), F.lit(side)).cast("int"))
     return rows.select("tile_id", "block", F.floor(u("y") * (side - F.col("h") + 1)).cast("int").alias("y0"), F.floor(u("x") * (side - F.col("w") + 1)).cast("int").alias("x0"), "h", "w")
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.geometry import RING
-from ..functions.scalars import bucket, metres
+from ..functions.fingerprint import partition_number
+from ..functions.scalars import metres
 from ..session import settled
 
 #: Fixed values.
@@ -43,7 +44,7 @@ def create_tables(spark: SparkSession, database: str = "default", drop: bool = F
 
 
 def with_partition(rows: DataFrame, key: str = "slide_uuid") -> DataFrame:
-    return rows.withColumn("partition_number", bucket(key, PARTITIONS))
+    return rows.withColumn("partition_number", partition_number(key, PARTITIONS))
 
 
 def insert_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import scoring, serving
+from ..functions import geometry as G
+from ..operators import scoring, serving, spatial
 from ..operators.tiles import batches
 from ..sources import coordinates
 from . import domain as D
@@ -137,7 +138,13 @@ def confusion_csv(spark, d):
     return coordinates.confusion_lines(c.withColumn("filename", F.lit("slide")))
 
 
-@query("area_confusion", "SELECT p_partkey, 10.0::DOUBLE AS tp, p_size::DOUBLE AS fp, 5.0::DOUBLE AS fn, 1000.0 - (p_size + 15.0)::DOUBLE AS tn FROM part")
+@query("area_confusion", f"""WITH {D.BOXES}, c AS (SELECT event_type, bool_or(event_id % 2 = 0) AS p, bool_or(event_id % 2 = 1) AS t FROM (SELECT event_type, event_id, y0, y1, unnest(range(x0, x1)) AS x FROM boxes), LATERAL (SELECT unnest(range(y0, y1)) AS y) GROUP BY event_type, x, y),
+s AS (SELECT event_type, (max(x1) - min(x0)) * (max(y1) - min(y0)) AS slide FROM boxes GROUP BY event_type)
+SELECT event_type, count(*) FILTER (p AND t)::DOUBLE AS tp, count(*) FILTER (p AND NOT t)::DOUBLE AS fp, count(*) FILTER (t AND NOT p)::DOUBLE AS fn, (any_value(slide) - count(*))::DOUBLE AS tn FROM c JOIN s USING (event_type) GROUP BY event_type""")
 def area_confusion(spark, d):
-    p = D.table(spark, d, "part").select("p_partkey", F.lit(10.0).alias("common"), (F.col("p_size") + 10.0).alias("predicted"), F.lit(15.0).alias("annotated"), F.lit(1000.0).alias("slide"))
-    return scoring.area_confusion(p, "common", "predicted", "annotated", "slide").select("p_partkey", "tp", "fp", "fn", "tn")
+    """Areas of boxes of even ids against those of odd ones within the rectangle around all of a type."""
+    b = D.boxes(spark, d)
+    rings = b.select("event_type", (F.col("event_id") % 2 == 1).alias("annotated"), F.col("event_id").alias("polygon_id"), G.rectangle("x0", "y0", "x1", "y1").alias("ring"))
+    slide = b.groupBy("event_type").agg(((F.max("x1") - F.min("x0")) * (F.max("y1") - F.min("y0"))).cast("double").alias("slide"))
+    found = scoring.area_confusion(spatial.region_areas(rings, "event_type", 64.0).join(slide, "event_type"), "common", "predicted", "annotated", "slide")
+    return found.select("event_type", *[F.round(c, 4).alias(c) for c in ("tp", "fp", "fn", "tn")])

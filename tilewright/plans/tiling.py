@@ -165,9 +165,11 @@ def thumbnail_sizes(spark, d):
     return p.select("p_partkey", S.thumbnail_size("w", "h", 5000).alias("t")).select("p_partkey", "t.width", "t.height")
 
 
-@query("level_sizes", "SELECT k::INTEGER AS level, (1024 >> k)::BIGINT AS size FROM (SELECT unnest(range(0, 9)) AS k)")
+@query("level_sizes", "SELECT p_partkey, (4 << (p_size % 9))::BIGINT AS size, (8 - p_size % 9)::INTEGER AS level, ((p_size % 17 + 1) // 2)::INTEGER AS block FROM part")
 def level_sizes(spark, d):
-    return spark.range(9).select(F.expr("shiftright(1024L, cast(id as int))").alias("size")).select(S.level_of_size("size").alias("level"), "size")
+    """Levels of image sizes and blocks of growths, drawn from the parts' sizes."""
+    p = D.table(spark, d, "part").select("p_partkey", F.expr("shiftleft(4L, cast(p_size % 9 as int))").alias("size"), (F.col("p_size") % 17).alias("growth"))
+    return p.select("p_partkey", "size", S.level_of_size("size").alias("level"), S.block_of_growth("growth").alias("block"))
 
 
 @query("filename_parse", """WITH n AS (SELECT event_id, event_id % 100 * 64 + 128 AS x, event_id // 100 * 64 + 64 AS y FROM events), l AS (SELECT min(x) AS lx, min(y) AS ly, max(x) AS hx, max(y) AS hy FROM n)
@@ -354,9 +356,10 @@ def shuffle_mask(spark, d):
     return scoring.shuffle_mask(p)
 
 
-@query("mask_block_sizes", "SELECT (k - 1)::INTEGER AS k, s::INTEGER AS size FROM (SELECT unnest([26, 13, 6, 3, 2, 1, 1]) AS s, unnest(range(1, 8)) AS k)")
+@query("mask_block_sizes", """WITH RECURSIVE b AS (SELECT p_partkey, 0 AS k, p_size::BIGINT AS l FROM part WHERE p_size > 0 UNION ALL SELECT p_partkey, k + 1, l - greatest(1, l // 2) FROM b WHERE l > greatest(1, l // 2))
+SELECT p_partkey, k::INTEGER AS k, greatest(1, l // 2)::BIGINT AS size FROM b""")
 def mask_block_sizes(spark, d):
-    return spark.createDataFrame(list(enumerate(scoring.mask_blocks(52))), "k int, size int")
+    return D.table(spark, d, "part").select("p_partkey", F.posexplode(scoring.block_sizes("p_size")).alias("k", "size"))
 
 
 def _orders(spark, d):
@@ -378,7 +381,29 @@ def delete_then_insert(spark, d):
     return store.delete_insert(target, source, "o_orderkey")
 
 
-@query("hash_partition", "SELECT c_custkey, ('0x' || substr(md5(c_name), 1, 8))::BIGINT % 4000 AS partition_number FROM customer")
+def _wrapped(a: str, sign: str, b: str) -> str:
+    """SQL of a sum or product that keeps 64 bits."""
+    return f"((({a})::UHUGEINT {sign} ({b})::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT"
+
+
+def _rotated(a: str, bits: int) -> str:
+    return f"(({a}) >> {bits} | {_wrapped(a, '*', f'{1 << (64 - bits)}')})"
+
+
+def _fingerprint(table: str, key: str, text: str) -> str:
+    """SQL of the fingerprint, as `f`, of ASCII texts of 17 to 32 characters."""
+    times, plus = (lambda a, b: _wrapped(a, "*", b)), (lambda a, b: _wrapped(a, "+", b))
+    word = lambda at: f"('0x' || hex(reverse(substr({text}, {at}, 8))))::UBIGINT"
+    k1, k2 = "'0xb492b66fbe98f273'::UBIGINT", "'0x9ae16a3b2f90404f'::UBIGINT"
+    return f"""b AS (SELECT {key}, {text}, {plus(k2, f'2 * length({text})')} AS m, {word('1')} AS w0, {word('9')} AS b, {word(f'length({text}) - 7')} AS w2, {word(f'length({text}) - 15')} AS w3 FROM {table}),
+c AS (SELECT *, {times('w0', k1)} AS a, {times('w2', 'm')} AS c, {times('w3', k2)} AS d FROM b),
+e AS (SELECT *, {plus('a', 'b')} AS ab, {plus('b', k2)} AS bk FROM c),
+u AS (SELECT *, {plus(plus(_rotated('ab', 43), _rotated('c', 30)), 'd')} AS u, {plus(plus('a', _rotated('bk', 18)), 'c')} AS v FROM e),
+h AS (SELECT *, {times('xor(u, v)', 'm')} AS p FROM u), i AS (SELECT *, {times('xor(v, xor(p, p >> 47))', 'm')} AS q FROM h),
+j AS (SELECT {key}, {times('xor(q, q >> 47)', 'm')}::HUGEINT AS f FROM i), prints AS (SELECT {key}, CASE WHEN f >= 9223372036854775808 THEN f - 18446744073709551616 ELSE f END AS f FROM j)"""
+
+
+@query("hash_partition", f"WITH {_fingerprint('customer', 'c_custkey', 'c_name')} SELECT c_custkey, (abs(f) % 4000)::BIGINT AS partition_number FROM prints")
 def hash_partition(spark, d):
     return store.with_partition(D.table(spark, d, "customer").select("c_custkey", "c_name"), "c_name").select("c_custkey", "partition_number")
 
