@@ -146,5 +146,5 @@ def area_confusion(spark, d):
     b = D.boxes(spark, d)
     rings = b.select("event_type", (F.col("event_id") % 2 == 1).alias("annotated"), F.col("event_id").alias("polygon_id"), G.rectangle("x0", "y0", "x1", "y1").alias("ring"))
     slide = b.groupBy("event_type").agg(((F.max("x1") - F.min("x0")) * (F.max("y1") - F.min("y0"))).cast("double").alias("slide"))
-    found = scoring.area_confusion(spatial.region_areas(rings, "event_type", 64.0).join(slide, "event_type"), "common", "predicted", "annotated", "slide")
+    found = scoring.area_confusion(spatial.region_areas(rings, "event_type", 16.0).join(slide, "event_type"), "common", "predicted", "annotated", "slide")
     return found.select("event_type", *[F.round(c, 4).alias(c) for c in ("tp", "fp", "fn", "tn")])
