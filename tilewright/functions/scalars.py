@@ -76,13 +76,13 @@ def stain(r, g, b, channel: int = 2, clamp: bool = True) -> Column:
 
 
 def morton(row, column, bits: int = 15) -> Column:
-    """The tile's code in a 4-ary tree: 0 top left, 1 top right, 2 bottom left, 3 bottom right at each level."""
+    """The tile's code in a 4-ary tree: 0 top left, 1 top right, 2 bottom left, 3 bottom right at each level; a row or column of more bits is an error."""
     row, column = col(row).cast("bigint"), col(column).cast("bigint")
     code = F.lit(0).cast("bigint")
     one = F.lit(1).cast("bigint")
     for k in range(bits):
         code = code.bitwiseOR(F.shiftleft(F.shiftright(column, k).bitwiseAND(one), 2 * k)).bitwiseOR(F.shiftleft(F.shiftright(row, k).bitwiseAND(one), 2 * k + 1))
-    return code
+    return F.when(F.shiftright(row.bitwiseOR(column), bits) != 0, F.raise_error(F.lit(f"a tile's row or column has more than {bits} bits"))).otherwise(code)
 
 
 def unmorton(code, bits: int = 15) -> tuple[Column, Column]:

@@ -106,10 +106,19 @@ def gradient_penalty(rows: DataFrame, gradient: str, weight: float = 10.0, targe
     return rows.agg((F.lit(weight / target**2) * F.avg((norm - target) * (norm - target))).alias("penalty"))
 
 
-def minibatch_deviation(pixels: DataFrame, slot: Column, epsilon: float = 1e-8) -> DataFrame:
-    """slot, deviation: mean over places of the deviation among the images of a slot."""
-    spread = pixels.withColumn("slot", slot).groupBy("slot", "y", "x").agg(F.var_pop("v").alias("_v"))
-    return spread.groupBy("slot").agg(F.avg(F.sqrt(F.col("_v") + epsilon)).alias("deviation"))
+def minibatch_slot(position, batch, group: int = 4) -> Column:
+    """Slot of the image at a position (from 0) of a batch of so many: images of one slot are compared.
+
+    Groups have `group` images if they divide the batch; else, and in smaller batches, all are one group.
+    """
+    slots = F.when(col(batch) % group == 0, F.floor(col(batch) / group)).otherwise(1)
+    return (col(position) % slots).cast("long")
+
+
+def minibatch_deviation(pixels: DataFrame, slot: Column, epsilon: float = 1e-8, by: list[str] = []) -> DataFrame:
+    """by, slot, deviation: mean over places of the deviation among the images of a slot of each batch (`by`)."""
+    spread = pixels.withColumn("slot", slot).groupBy(*by, "slot", "y", "x").agg(F.var_pop("v").alias("_v"))
+    return spread.groupBy(*by, "slot").agg(F.avg(F.sqrt(F.col("_v") + epsilon)).alias("deviation"))
 
 
 def mask_blocks(pixels: int) -> list[int]:

@@ -8,11 +8,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import digest_unit
+from ..sources import png
 from .tiles import bilinear
 
 #: What can be stitched.
@@ -36,6 +37,48 @@ def score(tiles: DataFrame, load: Callable[[], Callable[[np.ndarray], dict[str,
     return tiles.mapInPandas(run, schema)
 
 
+def flipped(column: str, height: int) -> Column:
+    """An image's flat array with its rows in reverse."""
+    width = (F.size(column) / height).cast("int")
+    return F.flatten(F.transform(F.sequence(F.lit(height - 1), F.lit(0)), lambda y: F.slice(column, y * width + 1, width)))
+
+
+def score_files(spark: SparkSession, path: str, load, outputs: list[str], height: int, width: int, flip: tuple[str, ...] = ()) -> DataFrame:
+    """path, x, y and `outputs` of a model over PNG files, each resized to height and width by nearest neighbour; those in `flip` are turned upside down.
+
+    x and y come from names that end in two numbers, such as tile_3_4.png (null otherwise). The model gets
+    height * width * channels numbers a row; files are read and scored where they are, without a shuffle.
+    """
+
+    def images(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for name, content in zip(pdf["path"], pdf["content"]):
+                image = png.decode(bytes(content))
+                h, w, _ = image.shape
+                small = image[np.arange(height) * h // height][:, np.arange(width) * w // width]
+                yield pd.DataFrame({"path": [name], "values": [small.astype(float).ravel()]})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(path).select("path", "content")
+    made = score(files.mapInPandas(images, "path string, values array<double>"), load, outputs)
+    made = made.withColumns({n: flipped(n, height) for n in outputs if n in flip})
+    place = lambda k: F.regexp_extract("path", r"(\d+)_(\d+)\.png$", k)
+    return made.select("path", *[F.when(place(k) != "", place(k).cast("long")).alias(n) for k, n in ((1, "x"), (2, "y"))], *outputs)
+
+
+def keyed_cells(rings: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """x, y, cells: for each tile a map from its place, as text "(x, y)", to its cells' outlines and centroids in order of ring_id.
+
+    rings: x, y, ring_id, ring (closed) of the tiles' cells, holes left out before; a tile without cells has no row.
+    """
+    from ..functions.geometry import centroid
+
+    points = F.transform("ring", lambda p: F.array(p["x"], p["y"]))
+    c = centroid("ring")
+    cell = F.struct("ring_id", F.struct(points.alias("exterior"), F.array(c["x"], c["y"]).alias("centroid")).alias("cell"))
+    own = rings.groupBy(x, y).agg(F.transform(F.array_sort(F.collect_list(cell)), lambda s: s["cell"]).alias("_cells"))
+    return own.select(x, y, F.create_map(F.format_string("(%d, %d)", F.col(x).cast("long"), F.col(y).cast("long")), "_cells").alias("cells"))
+
+
 def dispatch(tiles: DataFrame, load, output: str, fill: float = 1.0, column: str = "values") -> DataFrame:
     """tile_id, batch_idx, output: tiles with a batch of 0 or more are scored, the others are filled."""
     real = score(tiles.where("batch_idx >= 0"), load, [output], column).select("tile_id", "batch_idx", output)

@@ -7,6 +7,9 @@ distinct is needed. A crowded cell is split at run time as any skewed equality j
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -14,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import _points, bounds, clip_ring, slab_areas, slab_rings
+from .graph import components
 
 BOX = ("x0", "y0", "x1", "y1")
 
@@ -100,49 +104,35 @@ def region_rings(polygons: DataFrame, by: str, cell: float, kind: str = "union")
     polygons as for region_areas; union: of the predicted ones; intersection: where those meet annotated ones;
     difference: the predicted ones less the annotated ones. Outer rings run counter-clockwise, holes clockwise.
     """
+    return _cell_rings(_dealt(polygons, by, cell), by, cell, kind)
+
+
+def _cell_rings(dealt: DataFrame, by: str, cell: float, kind: str) -> DataFrame:
     keep = {"union": lambda p, a: p, "intersection": lambda p, a: p and a, "difference": lambda p, a: p and not a}[kind]
-    key_kind = dict(polygons.dtypes)[by]
+    key_kind = dict(dealt.dtypes)[by]
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         x, y = float(key[1].as_py()) * cell, float(key[2].as_py()) * cell
         sides = [[[c for r in p if len(c := clip_ring(r, x, y, x + cell, y + cell))] for p in side] for side in _sides(table)]
         return _ring_table({by: key[0], "cx": key[1], "cy": key[2]}, slab_rings(*sides, keep))
 
-    return _dealt(polygons, by, cell).groupBy(by, "cx", "cy").applyInArrow(run, f"{by} {key_kind}, cx long, cy long, ring array<struct<x: double, y: double>>")
+    return dealt.groupBy(by, "cx", "cy").applyInArrow(run, f"{by} {key_kind}, cx long, cy long, ring array<struct<x: double, y: double>>")
 
 
-def less_partners(polygons: DataFrame, key: str, partners: DataFrame) -> DataFrame:
-    """key, ring: each polygon (key, ring) less the union of its partners; partners: key, others (arrays of keys), as overlapping_self gives them."""
+def less_partners(polygons: DataFrame, key: str, partners: DataFrame, cell: float) -> DataFrame:
+    """key, ring: each polygon (key, ring) less the union of its partners, cut at the grid cells; partners: key, others (arrays of keys), as overlapping_self gives them."""
+    own = _dealt(polygons.select(key, F.lit(False).alias("annotated"), F.col(key).alias("polygon_id"), "ring"), key, cell)
     pairs = partners.select(F.col(key).alias("_own"), F.explode("others").alias(key)).join(polygons.select(key, "ring"), key)
-    own = polygons.select(F.col(key).alias("_own"), F.lit(False).alias("annotated"), F.col(key).alias("polygon_id"), "ring")
-    rows = own.union(pairs.select("_own", F.lit(True), key, "ring")).where(F.size("ring") > 2)
-    kind = dict(polygons.dtypes)[key]
-
-    def run(own: tuple, table: pa.Table) -> pa.Table:
-        return _ring_table({key: own[0]}, slab_rings(*_sides(table), lambda p, a: p and not a))
-
-    return rows.groupBy("_own").applyInArrow(run, f"{key} {kind}, ring array<struct<x: double, y: double>>")
+    beside = pairs.where(F.size("ring") > 2).select(F.col("_own").alias(key), F.col(key).alias("_other"), F.col("ring").alias("_ring"), bounds("ring").alias("_b"))
+    within = (F.col("_b.x0") < (F.col("cx") + 1) * cell) & (F.col("_b.x1") > F.col("cx") * cell) & (F.col("_b.y0") < (F.col("cy") + 1) * cell) & (F.col("_b.y1") > F.col("cy") * cell)
+    cover = beside.join(own.select(key, "cx", "cy"), key).where(within).select(key, F.lit(True), "_other", "_ring", "cx", "cy")
+    return _cell_rings(own.union(cover), key, cell, "difference").select(key, "ring")
 
 
 def merge_touching(boxes: DataFrame, key: str, cell: float, by: list[str]) -> DataFrame:
-    """Groups of boxes joined by touching, as (key, component): the smallest key reachable; by: the image, whose boxes are bounded."""
-    if not by:
-        raise ValueError("boxes are merged within images: name their columns")
+    """key, component: the smallest key that is reachable over boxes of equal `by` that touch; keys are whole numbers, told apart within `by`."""
     pairs = touching(boxes, boxes, cell, by).select(*by, F.col(f"l_{key}").alias("a"), F.col(f"r_{key}").alias("b"))
-
-    def run(_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = np.unique(pdf[["a", "b"]].to_numpy())
-        root = {int(i): int(i) for i in ids}
-
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        for a, b in pdf[["a", "b"]].to_numpy().tolist():
-            i, j = find(a), find(b)
-            root[max(i, j)] = min(i, j)
-        return pd.DataFrame({key: list(root), "component": [find(i) for i in root]})
-
-    return pairs.groupBy(*by).applyInPandas(run, f"{key} long, component long")
+    found = components(pairs.where("a < b"), by)
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] + [F.col(key) == F.col("_id")]
+    found = found.withColumnsRenamed({c: f"_{c}" for c in [*by, "id"]})
+    return boxes.join(found, reduce(and_, on), "left").select(key, F.coalesce("component", key).cast("long").alias("component"))

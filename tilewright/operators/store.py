@@ -6,7 +6,7 @@ dynamic overwrite, so a repeated run leaves the same table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,8 +48,28 @@ def with_partition(rows: DataFrame, key: str = "slide_uuid") -> DataFrame:
 
 
 def insert_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """`target` and the rows of `source` whose key it lacks."""
-    return target.unionByName(source.join(target.select(key), key, "left_anti").select(*target.columns))
+    """`target` and a row of `source` for each key that it lacks: of several the least, column by column. A null key is absent, once."""
+    old = target.select(F.col(key).alias("_old")).distinct()
+    new = source.select(F.struct(*target.columns).alias("_row"), F.col(key).alias("_new")).join(old, F.col("_new").eqNullSafe(F.col("_old")), "left_anti")
+    return target.unionByName(new.groupBy("_new").agg(F.min("_row").alias("_row")).select("_row.*"))
+
+
+def checked(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """`rows`; a job that meets a row for which a rule isn't true fails with the rule's name, so a write commits nothing."""
+    broken = F.concat_ws(", ", *[F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()])
+    fail = F.raise_error(F.concat(F.lit("a row breaks: "), broken)).cast("boolean")
+    return rows.where(F.when(broken == "", F.lit(True)).otherwise(fail))
+
+
+def polygon_rules(schema: T.StructType) -> dict[str, Column]:
+    """What rows of a table of polygons must meet: its columns that may not be null aren't, numbers are finite, rings have three points or more."""
+    out = {f"{f.name} is null": F.col(f.name).isNotNull() for f in schema if not f.nullable}
+    for f in schema:
+        if isinstance(f.dataType, T.DoubleType):
+            out[f"{f.name} is not finite"] = F.col(f.name).isNull() | (F.abs(f.name) < float("inf"))
+        elif isinstance(f.dataType, T.ArrayType):
+            out[f"{f.name} is no ring"] = (F.size(f.name) > 2) & F.forall(f.name, lambda p: (F.abs(p["x"]) < float("inf")) & (F.abs(p["y"]) < float("inf")))
+    return out
 
 
 def delete_insert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

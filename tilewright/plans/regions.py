@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..operators import outlines
+from ..operators import outlines, serving
+from ..sources import geojson
 from . import domain as D
 from .tiling import _star
 
@@ -79,3 +80,47 @@ def polygon_offsets(spark, d):
     area = lambda distance, name: outlines.buffered(rings, "s_suppkey", distance, 64.0, 4, clean=True).groupBy("s_suppkey").agg(F.sum(G.signed_area("ring")).alias(name))
     both = rings.select("s_suppkey").join(area(1.5, "grown"), "s_suppkey", "left").join(area(-1.5, "shrunk"), "s_suppkey", "left")
     return both.select("s_suppkey", *[F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c) for c in ("grown", "shrunk")])
+
+
+def _frames(spark, d):
+    """Boxes with a hole, both rings of each on a row of its own."""
+    b = D.boxes(spark, d).withColumn("user", F.col("x0").cast("long"))
+    hole = F.reverse(G.rectangle(F.col("x0") + 1, F.col("y0") + 1, F.col("x1") - 1, F.col("y1") - 1))
+    return b.select("event_type", "user", "event_id", F.posexplode(F.array(G.rectangle("x0", "y0", "x1", "y1"), hole)).alias("ring_id", "ring"))
+
+
+def _collections(spark, d):
+    shapes = geojson.geometries(_frames(spark, d), ["event_type", "user"], "event_id")
+    features = shapes.withColumn("feature", geojson.feature("geometry", ["user"]))
+    return geojson.collection_lines(features, "event_type", ["user"])
+
+
+@query("slide_collections", f"""WITH {D.BOXES}, p AS (SELECT event_type, x0 AS "user", count(*) AS n, string_agg('[' || ring || ',' || hole || ']', ',' ORDER BY event_id) AS rings FROM (
+  SELECT event_type, event_id, x0, printf('[[%d.0,%d.0],[%d.0,%d.0],[%d.0,%d.0],[%d.0,%d.0],[%d.0,%d.0]]', x0, y0, x1, y0, x1, y1, x0, y1, x0, y0) AS ring,
+    printf('[[%d.0,%d.0],[%d.0,%d.0],[%d.0,%d.0],[%d.0,%d.0],[%d.0,%d.0]]', x0 + 1, y0 + 1, x0 + 1, y1 - 1, x1 - 1, y1 - 1, x1 - 1, y0 + 1, x0 + 1, y0 + 1) AS hole FROM boxes) GROUP BY ALL),
+f AS (SELECT event_type, "user", '{{"type":"Feature","geometry":{{"type":"' || CASE WHEN n = 1 THEN 'Polygon","coordinates":' || rings ELSE 'MultiPolygon","coordinates":[' || rings || ']' END || '}},"properties":{{"user":' || "user" || '}}}}' AS feature FROM p),
+k AS (SELECT *, row_number() OVER w AS n, lead(1) OVER w IS NULL AS last FROM f WINDOW w AS (PARTITION BY event_type ORDER BY "user"))
+SELECT event_type, n::INTEGER AS n, CASE WHEN n = 1 THEN '{geojson.HEAD}' ELSE ',' END || feature || CASE WHEN last THEN ']}}' ELSE '' END AS line FROM k""")
+def slide_collections(spark, d):
+    """Lines of a FeatureCollection for each event type: polygons with holes, several of a user as one MultiPolygon."""
+    return _collections(spark, d)
+
+
+@query("collection_rings", f"WITH {D.BOXES} SELECT event_type, count(*)::BIGINT AS polygons, count(*)::BIGINT AS holes, (16 * count(*))::DOUBLE AS area, sum(x0)::BIGINT AS users FROM boxes GROUP BY event_type")
+def collection_rings(spark, d):
+    """Polygons, holes and areas of the collections, read back from their lines."""
+    rings = geojson.rings_of(_collections(spark, d).drop("n"))
+    outer = F.col("ring_id") == 0
+    return rings.groupBy("event_type").agg(F.sum(outer.cast("long")).alias("polygons"), F.sum((~outer).cast("long")).alias("holes"), F.round(F.sum(G.signed_area("ring")), 4).alias("area"),
+        F.sum(F.when(outer, F.get_json_object("properties", "$.user").cast("long"))).alias("users"))
+
+
+@query("cells_by_tile", f"""WITH {D.BOXES}, t AS (SELECT x0 // 64 AS x, y0 // 64 AS y, * FROM boxes)
+SELECT x, y, '(' || x || ', ' || y || ')' AS place, count(*)::BIGINT AS cells, string_agg('[' || (x0 + 2)::DOUBLE || ',' || (y0 + 3)::DOUBLE || ']', ' ' ORDER BY event_id) AS centroids FROM t GROUP BY x, y""")
+def cells_by_tile(spark, d):
+    """Boxes as the cells of tiles of 64: a record for each tile under its place's name."""
+    b = D.boxes(spark, d)
+    rings = b.select(F.floor(F.col("x0") / 64).alias("x"), F.floor(F.col("y0") / 64).alias("y"), F.col("event_id").alias("ring_id"), G.rectangle("x0", "y0", "x1", "y1").alias("ring"))
+    rows = serving.keyed_cells(rings).select("x", "y", F.explode("cells").alias("place", "c"))
+    centroids = F.transform("c", lambda c: F.to_json(F.transform(c["centroid"], lambda v: F.round(v, 6))))
+    return rows.select("x", "y", "place", F.size("c").cast("long").alias("cells"), F.array_join(centroids, " ").alias("centroids"))

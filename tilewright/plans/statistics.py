@@ -163,6 +163,20 @@ def minibatch_stddev(spark, d):
     return scoring.minibatch_deviation(D.pixels(spark, d), F.col("tile_id") % 4).select("slot", F.round("deviation", 8).alias("deviation"))
 
 
+#: Batches of 32 and 30 images by turns; the last one has what is left.
+@query("minibatch_fallback", f"""WITH {D.PIXELS}, b AS (SELECT *, 2 * (tile_id // 62) + (tile_id % 62 >= 32)::BIGINT AS batch, CASE WHEN tile_id % 62 >= 32 THEN tile_id % 62 - 32 ELSE tile_id % 62 END AS place FROM pixels),
+n AS (SELECT batch, count(DISTINCT tile_id) AS n FROM b GROUP BY batch),
+s AS (SELECT batch, place % CASE WHEN n % 4 = 0 THEN n // 4 ELSE 1 END AS slot, y, x, var_pop(v) AS w FROM b JOIN n USING (batch) GROUP BY ALL)
+SELECT batch, slot, round(avg(sqrt(w + 1e-8)), 8) AS deviation FROM s GROUP BY batch, slot""")
+def minibatch_fallback(spark, d):
+    """Deviations of groups of 4 images, of the whole batch where 4 doesn't divide it."""
+    k = F.col("tile_id") % 62
+    tiles = D.tiles(spark, d).select((F.expr("tile_id div 62") * 2 + (k >= 32).cast("long")).alias("batch"), F.when(k >= 32, k - 32).otherwise(k).alias("place"), "values")
+    counted = tiles.join(tiles.groupBy("batch").agg(F.count("*").alias("n")), "batch")
+    pixels = counted.select("batch", "place", "n", F.posexplode("values").alias("i", "v")).withColumns({"y": F.expr(f"i div {D.SIDE}"), "x": F.col("i") % D.SIDE})
+    return scoring.minibatch_deviation(pixels, scoring.minibatch_slot("place", "n"), by=["batch"]).select("batch", "slot", F.round("deviation", 8).alias("deviation"))
+
+
 @query("global_average_pool", f"WITH {D.PIXELS} SELECT tile_id, x AS channel, round(avg(v), 7) AS feature FROM pixels GROUP BY tile_id, x")
 def global_average_pool(spark, d):
     return D.pixels(spark, d).groupBy("tile_id", F.col("x").alias("channel")).agg(F.round(F.avg("v"), 7).alias("feature"))
@@ -231,6 +245,34 @@ def topk_by_component(spark, d):
     return stats.top_share(rows, "score", 0.1, ["vec_id"])
 
 
+#: The first principal axis: the matrix of correlations, squared again and again, keeps only it.
+_AXIS = """WITH RECURSIVE x AS (SELECT vec_id, i, embedding[i]::DOUBLE AS v FROM embeddings, (SELECT unnest(range(1, 65)) AS i)),
+m AS (SELECT i, avg(v) AS mean, stddev_pop(v) AS dev FROM x GROUP BY i),
+z AS MATERIALIZED (SELECT vec_id, i, (v - mean) / CASE WHEN dev = 0 THEN 1 ELSE dev END AS v FROM x JOIN m USING (i)),
+c AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.v * b.v) / count(*) AS v FROM z a JOIN z b USING (vec_id) GROUP BY ALL),
+p AS (SELECT 0 AS k, i, j, v FROM c UNION ALL SELECT k + 1, i, j, v / sum(v) FILTER (i = j) OVER () FROM (SELECT a.k, a.i, b.j, sum(a.v * b.v) AS v FROM p a JOIN p b ON a.j = b.i WHERE a.k < 24 GROUP BY ALL)),
+last AS MATERIALIZED (SELECT i, j, v FROM p WHERE k = 24),
+axis AS MATERIALIZED (SELECT i, v / sqrt(sum(v * v) OVER ()) AS w FROM last WHERE j = (SELECT i FROM last WHERE i = j ORDER BY v DESC LIMIT 1)) """
+
+
+@query("principal_spread", _AXIS + "SELECT (SELECT count(*) FROM axis)::BIGINT AS axes, (SELECT round(sum(v) FILTER (i = j), 6) FROM c) AS variance, (SELECT round(sum(v * v) / 4096, 8) FROM c) AS squares, (SELECT round(sum(a.w * c.v * b.w) / 64, 8) FROM c JOIN axis a ON a.i = c.i JOIN axis b ON b.i = c.j) AS largest")
+def principal_spread(spark, d):
+    """Of the shares of variance that principal axes explain: how many, what they are of, sum of squares, largest."""
+    rows, ratio = stats.pca(D.table(spark, d, "embeddings"), "embedding")
+    scores = rows.select(F.posexplode("scores").alias("axis", "s")).groupBy("axis").agg(F.var_pop("s").alias("variance"))
+    share = F.col("variance") / F.col("total")
+    total = scores.agg(F.sum("variance").alias("total"), F.collect_list("variance").alias("each"))
+    each = total.select("total", F.explode("each").alias("variance"))
+    return each.agg(F.count("*").alias("axes"), F.round(F.max("total"), 6).alias("variance"), F.round(F.sum(share * share), 8).alias("squares"), F.round(F.max(share), 8).alias("largest"))
+
+
+@query("topk_by_principal_axis", _AXIS + ", s AS (SELECT vec_id, round(sum(z.v * w), 6) AS score FROM z JOIN axis USING (i) GROUP BY vec_id) SELECT vec_id, score FROM s ORDER BY score DESC, vec_id LIMIT (SELECT floor(count(*) * 0.1)::BIGINT FROM embeddings)")
+def topk_by_principal_axis(spark, d):
+    """The tenth of the rows that lie farthest along the first principal axis."""
+    rows, _ = stats.pca(D.table(spark, d, "embeddings"), "embedding", 1)
+    return stats.top_share(rows.select("vec_id", F.round(F.col("scores")[0], 6).alias("score")), "score", 0.1, ["vec_id"])
+
+
 @query("standardise_columns", "SELECT vec_id, round((embedding[1]::DOUBLE - m1) / s1, 7) AS a, round((embedding[2]::DOUBLE - m2) / s2, 7) AS b FROM embeddings, (SELECT avg(embedding[1]::DOUBLE) AS m1, stddev_pop(embedding[1]::DOUBLE) AS s1, avg(embedding[2]::DOUBLE) AS m2, stddev_pop(embedding[2]::DOUBLE) AS s2 FROM embeddings)")
 def standardise_columns(spark, d):
     rows = D.table(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("a"), F.col("embedding")[1].cast("double").alias("b"))

@@ -196,7 +196,7 @@ n AS (SELECT cx, cy, count(*) AS k FROM c GROUP BY ALL) SELECT event_id, (count(
 def boxes_less_partners(spark, d):
     """The area of every box that no other box covers, from its outline less the union of its partners."""
     b = D.boxes(spark, d)
-    rings = spatial.less_partners(b.select("event_id", G.rectangle("x0", "y0", "x1", "y1").alias("ring")), "event_id", spatial.overlapping_self(b, "event_id", 16).select("event_id", "others"))
+    rings = spatial.less_partners(b.select("event_id", G.rectangle("x0", "y0", "x1", "y1").alias("ring")), "event_id", spatial.overlapping_self(b, "event_id", 16).select("event_id", "others"), 64.0)
     return rings.groupBy("event_id").agg(F.round(F.sum(G.signed_area("ring")), 6).alias("area"))
 
 

@@ -53,7 +53,7 @@ def read_geojson(spark: SparkSession, path: str, annotated: bool = False) -> Dat
 
     A feature list may also be a bare array of features, and a geometry may stand alone.
     """
-    text = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     feature = f"array<struct<geometry:{GEOMETRY}>>"
     features = F.coalesce(F.from_json("value", f"struct<features:{feature}>")["features"], F.from_json("value", feature), F.when(F.get_json_object("value", "$.coordinates").isNotNull(), F.array(F.struct(F.from_json("value", GEOMETRY).alias("geometry")))))
     rows = text.select("file", F.explode(features).alias("f")).select("file", F.col("f.geometry").alias("g"))
