@@ -80,6 +80,34 @@ def test_moves_of_uneven_words():
     assert (sizes > 0).all() and (np.add.reduceat(sizes, np.cumsum(t) - t) == c).all() and t.mean() > 5
 
 
+def test_customers_of_frequent_words_all_move():
+    """Table counts of words of 400 customers, all at one table before, against the recursion of all seatings."""
+    d, base, parent, c, n = 0.6, 40.0, 0.5, 400, 1500
+    log = np.full(c + 1, -np.inf)
+    log[0] = 0.0
+    for i in range(c):  # weights of seatings at k tables, one customer after another
+        stay = i - d * np.arange(c + 1)
+        log = np.logaddexp(np.append(-np.inf, log[:-1]), np.where(stay > 0, np.log(np.where(stay > 0, stay, 1.0)), -np.inf) + log)
+    log += np.append(0.0, np.cumsum(np.log((base + d * np.arange(c)) * parent)))
+    weight = np.exp(log - log.max())
+    mean = (weight * np.arange(c + 1)).sum() / weight.sum()
+    spread = math.sqrt((weight * (np.arange(c + 1) - mean) ** 2).sum() / weight.sum())
+    rng = np.random.default_rng(8)
+    t, sizes = np.ones(n, np.int64), np.full(n, c)
+    for _ in range(8):
+        t, sizes = hpylm.moved(np.full(n, c), t, sizes, np.full(n, base), np.full(n, parent), d, rng)
+    assert (sizes > 0).all() and (np.add.reduceat(sizes, np.cumsum(t) - t) == c).all()
+    assert abs(t.mean() - mean) < 0.1 * spread and abs(t.std() - spread) < 0.1 * spread
+
+
+def test_millions_of_customers_move_at_once():
+    rng = np.random.default_rng(9)
+    c = np.array([33, 5_000_000, 40, 2, 300_000])
+    t, sizes = np.ones(5, np.int64), c
+    t, sizes = hpylm.moved(c, t, sizes, np.full(5, 5000.0), np.full(5, 0.02), 0.7, rng)
+    assert (sizes > 0).all() and (np.add.reduceat(sizes, np.cumsum(t) - t) == c).all() and t[1] > 100 and t[4] > 100
+
+
 def test_packing():
     rng = np.random.default_rng(7)
     for a in (np.sort(rng.integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2)), rng.integers(0, 9, 77).astype(np.uint32), np.zeros(0, np.int64), rng.random(5)):

@@ -5,9 +5,12 @@ one root restaurant that all contexts share as their parent; below it, all V wor
 one for all others are alike. A table is opened with weight (THETA + d * tables of the
 restaurant) * (the parent's probability of the word), an old one is joined with weight
 (customers - d). Seating is sampled by Gibbs moves: a customer of a word gets up and sits down
-again. A sweep moves up to MOVES customers of every word in every restaurant at once, given the
-restaurants' tables and the parent's probabilities of the sweep before; then the root's
-customers are the tables of all contexts, and its own seating is sampled in the same way.
+again. A sweep moves all words of all restaurants at once, given the restaurants' tables and the
+parent's probabilities of the sweep before. The customers of a word that has up to ALONE of them
+move one after another. Those of all other words, however many, are seated anew together,
+table by table, by Metropolis-Hastings moves with the same posterior, whose work grows with the
+tables. Then the root's customers are the tables of all contexts, and its own seating is sampled
+in the same way.
 BURN sweeps go first, and the predictive probabilities of the SAMPLES that follow are averaged.
 The discount of a level is n1 / (n1 + 2 n2), of words with one and two customers.
 
@@ -47,8 +50,10 @@ from .textcore import LOWER, MULT, U64, mix64, prefix_hash, span_hash, spans_of,
 #: Strength of every restaurant, contexts and root.
 THETA = 1.0
 BURN, SAMPLES = 1, 2
-#: Most customers of a word in a restaurant that a sweep moves.
-MOVES = 32
+#: Customers of a word in a restaurant up to which they move one after another in a sweep; more also move all together, this many times.
+ALONE, TOGETHER = 32, 4
+#: Tables, about, that are seated anew together.
+TABLES = 8
 #: Added to every count of the plain score.
 ADDED = 0.1
 #: Text bytes for each bucket.
@@ -199,33 +204,121 @@ def opened(c: np.ndarray, weight: np.ndarray, rng: np.random.Generator) -> np.nd
     return 1 + np.minimum(rng.poisson(np.minimum(more, 1e9)), c - 1)
 
 
-def moved(c: np.ndarray, t: np.ndarray, sizes: np.ndarray, base: np.ndarray, parent: np.ndarray, d: float, rng: np.random.Generator, moves: int = MOVES) -> tuple[np.ndarray, np.ndarray]:
-    """Tables and their sizes after Gibbs moves.
+def moved(c: np.ndarray, t: np.ndarray, sizes: np.ndarray, base: np.ndarray, parent: np.ndarray, d: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Tables and their sizes after moves of all customers.
 
     Of each word in a restaurant: c customers (2 or more) at t tables, whose sizes follow each
-    other in `sizes`; base: THETA + d * the restaurant's other tables. Up to `moves` customers
-    of a word, about c of fewer, get up, one after another, each of them any of the c.
+    other in `sizes`; base: THETA + d * the restaurant's other tables. About c customers of a
+    word get up, one after another, each of them any of the c; words with more than ALONE go on
+    with all their customers at once.
     """
     pair = np.repeat(np.arange(len(c)), t)
     low = 0
-    while low < moves:
-        high = min(moves, max(2, 2 * low))
+    while low < ALONE:
+        high = min(ALONE, max(2, 2 * low))
         some = np.flatnonzero(c > low)
         if not len(some):
             break
-        number = np.full(len(c), -1)
-        number[some] = np.arange(len(some))
-        busy = number[pair] >= 0
-        at, size = number[pair[busy]], sizes[busy]
+        at, size, pair, sizes = _split(pair, sizes, some, len(c))
         for _ in range(low, high):
             at, size = _round(c[some], at, size, base[some], parent[some], d, rng)
-        pair, sizes = np.concatenate((pair[~busy], some[at])), np.concatenate((sizes[~busy], size))
-        order = np.argsort(pair, kind="stable")
-        pair, sizes = pair[order], sizes[order]
+        pair, sizes = _joined(pair, sizes, some[at], size)
         low = high
+    some = np.flatnonzero(c > ALONE)
+    if len(some):
+        at, size, pair, sizes = _split(pair, sizes, some, len(c))
+        for k in range(TOGETHER):
+            at, size = _together(c[some], at, size, base[some], parent[some], d, rng, k % 2 == 1)
+        pair, sizes = _joined(pair, sizes, some[at], size)
     return np.bincount(pair, minlength=len(c)), sizes
 
 
+def _split(pair: np.ndarray, sizes: np.ndarray, some: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """Tables of some words, by their places among these, and those of the others."""
+    number = np.full(n, -1)
+    number[some] = np.arange(len(some))
+    busy = number[pair] >= 0
+    return number[pair[busy]], sizes[busy], pair[~busy], sizes[~busy]
+
+
+def _joined(pair: np.ndarray, sizes: np.ndarray, more: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    pair, sizes = np.concatenate((pair, more)), np.concatenate((sizes, size))
+    order = np.argsort(pair, kind="stable")
+    return pair[order], sizes[order]
+
+
+def _falling(m: np.ndarray, d: float) -> np.ndarray:
+    """log(Gamma(m - d) / Gamma(m)), m from 1."""
+    i = np.arange(8)
+    x = m[:, None] + i
+    lgamma = lambda y: (y - 0.5) * np.log(y) - y + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    return lgamma(m + 8 - d) - lgamma(m + 8.0) - np.log1p(-d / x).sum(1)
+
+
+def _sizes(z: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Sizes n with chances in proportion to (1 - d)(2 - d)...(n - 1 - d) z ** n / n!, one for each z."""
+    out, todo = np.zeros(len(z), np.int64), np.arange(len(z))
+    while len(todo):
+        own = z[todo]
+        low = own < 0.5
+        b = rng.beta(np.where(low, 1 + d, d), 1 - d)
+        p = np.where(low, 1 - own * (1 - b), b)
+        n = np.minimum(rng.geometric(np.maximum(p, 1e-15)), 1 << 40)
+        sure = rng.random(len(todo)) < np.where(low, (1 - own) / p, own**n)
+        out[todo[sure]] = n[sure]
+        todo = todo[~sure]
+    return out
+
+
+def _tilt(c: np.ndarray, rate: np.ndarray, d: float) -> np.ndarray:
+    """z up to 1 - 1 / c, so that tables of these sizes, met at that rate, seat about c customers at most."""
+    low, high = np.zeros(len(c)), 1 - 1 / c
+    full = rate * d * high * (1 - high) ** (d - 1) <= c
+    for _ in range(40):
+        z = (low + high) / 2
+        over = rate * d * z * (1 - z) ** (d - 1) > c
+        low, high = np.where(over, low, z), np.where(over, z, high)
+    return np.where(full, 1 - 1 / c, np.maximum(low, 1e-9))
+
+
+def _together(c, at, size, base, parent, d, rng, in_groups):
+    """All customers of each word are seated anew, or stay; at: the word of each table, ascending.
+
+    Given a gamma number of each word, its tables are a Poisson process of sizes of `_sizes`
+    with z = 1, given that they seat c. One customer's table takes those that the others leave;
+    the others are drawn with z of `_tilt`, and stand with the ratio of the posterior to that
+    draw. In groups: every table is in one of a few groups of its word by chance, and each group
+    is such a process, of the customers that it has.
+    """
+    n = len(c)
+    rate = parent * rng.gamma(base / d + np.bincount(at, minlength=n))
+    groups = np.ones(n, np.int64)
+    if in_groups:
+        groups = np.maximum((rate * (1 - (1 - _tilt(c, rate, d)) ** d) / TABLES).astype(np.int64), 1)
+    of = np.cumsum(groups) - groups
+    group = of[at] + (rng.random(len(at)) * groups[at]).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    at, size = at[order], size[order]
+    _, first, group, t = np.unique(group[order], return_index=True, return_inverse=True, return_counts=True)
+    word = at[first]
+    c, rate = np.add.reduceat(size, first), rate[word] / groups[word]
+    one = c == 1
+    z = _tilt(np.maximum(c, 2), rate, d)
+    own = size[np.searchsorted(np.cumsum(size), np.cumsum(c) - c + (rng.random(len(c)) * c).astype(np.int64), side="right")]
+    number = np.where(one, 0, rng.poisson(rate * (1 - (1 - z) ** d)))
+    of_new = np.repeat(np.arange(len(c)), number)
+    new = _sizes(z[of_new], d, rng)
+    others = np.bincount(of_new, weights=new, minlength=len(c)).astype(np.int64)
+    rest = np.maximum(c - others, 1)
+    log_ratio = _falling(rest, d) - _falling(own, d) + (rest - own) * np.log(z)
+    stands = ~one & (others < c) & (np.log1p(-rng.random(len(c))) < log_ratio)
+    keep, drawn = ~stands[group], stands[of_new]
+    at = np.concatenate((at[keep], word[stands], word[of_new[drawn]]))
+    size = np.concatenate((size[keep], rest[stands], new[drawn]))
+    order = np.argsort(at, kind="stable")
+    return at[order], size[order]
+
+
 def _round(c, at, size, base, parent, d, rng):
     """One customer of each word gets up and sits down; at: the word of each table, ascending."""
     n = len(c)
