@@ -3,9 +3,12 @@
 import math
 import random
 import re
+import tracemalloc
+import types
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +111,29 @@ def test_millions_of_customers_move_at_once():
     assert (sizes > 0).all() and (np.add.reduceat(sizes, np.cumsum(t) - t) == c).all() and t[1] > 100 and t[4] > 100
 
 
+@pytest.mark.parametrize("step,most", [(hpylm._asked, 70), (hpylm.pair_blocks, 120)])
+def test_gathered_tokens_are_held_once(monkeypatch, step, most):
+    """Bytes held at most for each token of a group."""
+    monkeypatch.setattr(hpylm, "GATHERED", 1_000_000)
+    monkeypatch.setattr(hpylm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    run = step(types.SimpleNamespace(mapInArrow=lambda f, schema: f), 8)
+
+    def batches(count):
+        for k in range(count):
+            words = np.random.default_rng(k).integers(0, 50_000, (100, 3000))
+            yield pa.RecordBatch.from_arrays([pa.array([k] * 100), pa.array([" ".join(map(str, x)) for x in words]), pa.array([True] * 100)], names=["doc_id", "text", "learned_from"])
+
+    for _ in run(batches(1)):  # tables of powers
+        pass
+    tracemalloc.start()
+    try:
+        for _ in run(batches(12)):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < most * 1_000_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_packing():
     rng = np.random.default_rng(7)
     for a in (np.sort(rng.integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2)), rng.integers(0, 9, 77).astype(np.uint32), np.zeros(0, np.int64), rng.random(5)):

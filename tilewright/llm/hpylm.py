@@ -122,27 +122,33 @@ def _table(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_batches([_batch(rows)])
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Tokens, those before them, the tokens' places among the documents, the documents' ids, flags and numbers of tokens, some GATHERED tokens at a time."""
+def _gathered(batches: Iterator[pa.RecordBatch], paired: bool) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of some GATHERED tokens at a time: tokens, or `paired` keys of pairs; the documents' numbers of tokens, ids, whether these are known, flags."""
     held, size = [], 0
 
     def joined() -> tuple[np.ndarray, ...]:
-        word, before, n, ids, known, train = (np.concatenate(x) for x in zip(*held))
-        return word, before, np.repeat(np.arange(len(n), dtype=np.uint32), n), ids, known, train, n
+        columns = [list(x) for x in zip(*held)]
+        held.clear()
+        return tuple(np.concatenate(columns.pop(0)) for _ in range(len(columns)))
 
     for batch in steps(batches):
         doc = batch.column(0).cast(pa.int64())
         word, before, n = tokens(batch.column(1))
-        held.append((word, before, n, doc.fill_null(0).to_numpy(), doc.is_valid().to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)))
+        held.append((pair_key(before, word) if paired else word, n, doc.fill_null(0).to_numpy(), doc.is_valid().to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)))
         size += len(word)
+        del word, before
         if size >= GATHERED:
-            out, held, size = joined(), [], 0
-            yield out
-            del out
+            size = 0
+            yield joined()
     if held:
         yield joined()
 
 
+def _places(n: np.ndarray) -> np.ndarray:
+    """The document of every token."""
+    return np.repeat(np.arange(len(n), dtype=np.uint32), n)
+
+
 def _distinct(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(codes, kind="stable")
     codes, counts = codes[order], counts[order]
@@ -154,17 +160,19 @@ def pair_blocks(docs: DataFrame, buckets: int) -> DataFrame:
     """ROWS of the pairs of a task's texts by bucket: words, context, word, times learned from; contexts and words by their places among the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for word, before, place, _, _, train, _ in _gathered(batches):
-            known, code = np.unique(np.concatenate((word, [START])), return_inverse=True)
+        for word, n, _, _, train in _gathered(batches, False):
+            known, code = np.unique(np.append(word, START), return_inverse=True)
+            del word
             start = np.uint64(code[-1])
             code = code[:-1].astype(np.uint64)
             context = np.empty_like(code)
             context[1:] = code[:-1]
-            context[before == START] = start
-            code |= context << U64(32)
-            del word, before, context
-            pairs, n = _distinct(code, train[place].astype(np.int64))
-            del code, place
+            context[np.cumsum(n) - n] = start
+            context <<= U64(32)
+            code |= context
+            del context
+            pairs, n = _distinct(code, np.repeat(train.astype(np.uint32), n))
+            del code
             u, w = (pairs >> U64(32)).astype(np.int64), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
             bucket = np.searchsorted(borders(buckets), pair_key(known[u], known[w]), side="right")
             order = np.argsort(bucket, kind="stable")
@@ -176,6 +184,7 @@ def pair_blocks(docs: DataFrame, buckets: int) -> DataFrame:
                     used[u[own]] = used[w[own]] = True
                     at = np.cumsum(used, dtype=np.uint32) - np.uint32(1)
                     yield _batch([(k, 0, 0, [pack(known[used], True), pack(at[u[own]], True), pack(at[w[own]]), pack(n[own].astype(np.uint32))])])
+            del pairs, n, u, w, bucket, order
 
     return docs.mapInArrow(run, ROWS)
 
@@ -467,14 +476,16 @@ def _asked(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for word, before, place, ids, valid, _, n in _gathered(batches):
-            keys = pair_key(before, word)
-            order = np.argsort(keys)
-            keys, place = keys[order], place[order]
+        for keys, n, ids, valid, _ in _gathered(batches, True):
             yield _batch([(number % buckets, number, -2, [pack(ids), pack(valid.astype(np.uint8)), pack(n.astype(np.int64))])])
+            order = np.argsort(keys)
+            place = _places(n)[order]
+            keys = keys[order]
+            del order
             for k, i, j in slices(keys, buckets):
                 first = np.flatnonzero(np.concatenate(([True], keys[i + 1 : j] != keys[i : j - 1])))
                 yield _batch([(k, number, -1, [pack(keys[i:j][first], True), pack(np.diff(first, append=j - i).astype(np.uint32)), pack(place[i:j])])])
+            del keys, place
             number += 1
 
     return docs.mapInArrow(run, ROWS)
@@ -484,12 +495,12 @@ def _scored(roots: dict[int, Root]):
     """Sums over a bucket's pairs for every group of documents: places, known tokens, plain score, score. Rows of documents are passed on."""
 
     def run(_: tuple, table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        bucket = rows[0]["bucket"]
-        out = [(bucket, r["part"], -2, r["z"]) for r in rows if r["round"] == -2]
-        asked = [r for r in rows if r["round"] == -1]
-        if asked:
-            own = Bucket.of([r for r in rows if r["round"] >= 0])
+        bucket = table["bucket"][0].as_py()
+        rounds, parts, z = table["round"].to_numpy(), table["part"].to_numpy(), table["z"]
+        out = [(bucket, parts[i], -2, z[i].as_py()) for i in np.flatnonzero(rounds == -2)]
+        asked = np.flatnonzero(rounds == -1)
+        if len(asked):
+            own = Bucket.of(table.filter(pa.array(rounds >= 0)).to_pylist())
             last = own.sums[max(roots)]
             times = last[4][own.w]
             any_root = roots[max(roots)]
@@ -505,11 +516,13 @@ def _scored(roots: dict[int, Root]):
             order = np.argsort(keys)
             keys = keys[order]
             values = [(times > 0).astype(np.float64)[order], plain[order], model[order]]
-            for r in asked:
-                pairs, reps, place = unpack(r["z"][0], np.uint64, True), unpack(r["z"][1], np.uint32), unpack(r["z"][2], np.uint32)
+            del own, order, times, plain, model, share
+            for i in asked:  # one at a time is held unpacked
+                packed = z[i].as_py()
+                pairs, reps, place = unpack(packed[0], np.uint64, True), unpack(packed[1], np.uint32), unpack(packed[2], np.uint32)
                 at = np.repeat(np.searchsorted(keys, pairs), reps)
                 docs, place = np.unique(place, return_inverse=True)
-                out.append((bucket, r["part"], -1, [pack(docs, True), *[pack(np.bincount(place, weights=v[at])) for v in values]]))
+                out.append((bucket, parts[i], -1, [pack(docs, True), *[pack(np.bincount(place, weights=v[at])) for v in values]]))
         return _table(out)
 
     return run
