@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,21 @@ def test_sketch_is_an_upper_bound_and_prunes(spark):
     assert found[enough].all() and enough.any() and found[~enough].mean() < 0.02
 
 
+def test_shards_send_few_bytes_for_a_phrase():
+    """Blocks of phrases come back whole, and are summed; rows of strings took about 20 bytes each."""
+    r = random.Random(4)
+    words = [f"w{k}" for k in range(300)]
+    met = Counter(" ".join(r.choice(words) for _ in range(r.randint(1, 3))) for _ in range(30_000))
+    met[""] = 30_000
+    heads = np.array([hash(" ".join(p.split()[:2])) & 0xFFFF for p in met], np.uint64)
+    made = phrases._blocks("en", list(met), list(met.values()), heads, 8)
+    assert made.nbytes < 8 * len(met)
+    (other,) = [phrases._blocks("fr", ["w1", ""], [5, 5], np.zeros(2, np.uint64), 8)]
+    rows = [x for b in phrases._summed(2)(iter([made, other, made])) for x in b.to_pylist()]
+    assert {(x["lang"], x["phrase"]): (x["words"], x["f"]) for x in rows} == {("en", p): (len(p.split()), 2 * n) for p, n in met.items()} | {("fr", "w1"): (1, 5), ("fr", ""): (0, 5)}
+    assert list(phrases._summed(2)(iter([]))) == [] and pa.types.is_string(made.schema.field("lang").type)
+
+
 def test_empty_table(spark):
     assert phrases.collocations(spark.createDataFrame([], "text string, lang string")).count() == 0
     assert phrases.collocations(spark.createDataFrame([(None, None)], "text string, lang string")).count() == 0

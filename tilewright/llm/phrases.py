@@ -13,7 +13,8 @@ Three passes, none of which gathers the corpus anywhere:
    with a delimiter before and after, into an Aho-Corasick automaton and runs it over its
    normalised text. Words are one delimiter apart, pieces two, so a match is never part of a
    word and never leaves its piece; overlapping matches all count.
-3. The shards' counts are summed by phrase, which gives exact counts, and the thresholds apply:
+3. A shard sends its phrases and counts in sorted, compressed blocks, by a hash of the first two
+   words; they are summed by phrase, which gives exact counts, and the thresholds apply:
    joins with the counts of the parts, and with the most frequent longer phrase around each.
 
 Words and phrases of a shard are told apart by 64-bit hashes.
@@ -31,6 +32,7 @@ from operator import itemgetter
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +50,8 @@ BLOCK_BITS = 14
 #: Counts that a task gathers before it hands on a sketch, and text bytes of a shard.
 GATHERED = 8_000_000
 SHARD = 4 << 20
+#: Text bytes for each part of the phrases, and most parts; phrases that a task holds before it adds them up.
+PART_BYTES, MOST_PARTS, HELD = 8 << 20, 512, 1_000_000
 UNKNOWN = "und"
 
 BREAK = np.zeros(256, dtype=bool)
@@ -181,41 +185,83 @@ def _reaches(bits_set: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return (bits_set[cells >> np.uint32(3)] >> (np.uint8(7) - (cells & np.uint32(7)).astype(np.uint8))) & np.uint8(1) == 1
 
 
-def counted_shard(data: bytes, lang: str, bits_set: np.ndarray, bits: int) -> tuple[list[str], list[int], list[int], int]:
-    """Phrases (words a blank apart), their counts and their numbers of words in a shard, of those that may reach the least count; and all its words."""
+def counted_shard(data: bytes, lang: str, bits_set: np.ndarray, bits: int) -> tuple[list[str], list[int], np.ndarray, int]:
+    """Phrases (words a blank apart), their counts and hashes of their first two words in a shard, of those that may reach the least count; and all its words."""
     pieces = Pieces(data)
     total = len(pieces.words)
     if not total:
-        return [], [], [], 0
+        return [], [], np.zeros(0, np.uint64), 0
     text, begin, end = pieces.normalised()
     out: tuple[list, list, list] = [], [], []
-    automaton, keys, sizes = ahocorasick.Automaton(), [], []
-    may = np.zeros(0, dtype=bool)
+    automaton, keys = ahocorasick.Automaton(), []
+    may, heads = np.zeros(0, dtype=bool), np.zeros(total, np.uint64)
     for n, at, hashes in pieces.phrases(_salt(lang)):
         own = _reaches(bits_set, hashes, bits)
         if n > 1:  # a phrase is at most as frequent as its parts
             own &= may[at] & may[at + 1]
         may = np.zeros(total + 1, dtype=bool)
         may[at[own]] = True
+        if n <= 2:
+            heads[at] = hashes
         _, first, counts = np.unique(hashes[own], return_index=True, return_counts=True)
         places = at[own][first]
+        out[2].append(heads[places])
         if n == 1:
             out[0].extend(text[i:j].decode() for i, j in zip(begin[places].tolist(), end[places].tolist()))
             out[1].extend(counts.tolist())
-            out[2].extend([1] * len(places))
             continue
         for i, j in zip((begin[places] - 1).tolist(), (end[places + n - 1] + 1).tolist()):
             phrase = text[i:j].decode()
             automaton.add_word(phrase, len(keys))
             keys.append(phrase[1:-1])
-        sizes.extend([n] * len(places))
     if keys:
         automaton.make_automaton()
         met = Counter(map(itemgetter(1), automaton.iter(text.decode())))
         out[0].extend(keys)
         out[1].extend(met[k] for k in range(len(keys)))
-        out[2].extend(sizes)
-    return *out, total
+    return out[0], out[1], np.concatenate(out[2]), total
+
+
+def _blocks(lang: str, phrases: list[str], counts: list[int], heads: np.ndarray, parts: int) -> pa.RecordBatch:
+    """part, lang, phrases, counts: a shard's phrases by part, sorted, a line each, and their counts' byte planes, compressed."""
+    squeeze = zstandard.ZstdCompressor(level=6)
+    rows = pa.table({"part": (heads % U64(parts)).astype(np.int32), "phrase": pa.array(phrases, pa.large_string()), "f": pa.array(counts, pa.int64())}).sort_by([("part", "ascending"), ("phrase", "ascending")])
+    part, lines, f = rows["part"].to_numpy(), rows["phrase"].to_pylist(), rows["f"].to_numpy()
+    starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    packed: tuple[list, list] = [], []
+    for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
+        packed[0].append(squeeze.compress("\n".join(lines[i:j]).encode()))
+        packed[1].append(squeeze.compress(np.ascontiguousarray(f[i:j]).view(np.uint8).reshape(-1, 8).T.tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(part[starts]), pa.array([lang] * len(starts), pa.string()), *[pa.array(x, pa.binary()) for x in packed]], names=["part", "lang", "phrases", "counts"])
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    summed = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+    return summed.select(["lang", "phrase", "f_sum"]).rename_columns(["lang", "phrase", "f"])
+
+
+def _summed(least: int):
+    """Blocks to lang, phrase, words, f of all phrases with f >= least, and of the phrase of no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unsqueeze, sums, held, size = zstandard.ZstdDecompressor(), [], [], 0
+        for batch in batches:
+            for k, lang in enumerate(batch.column(1).to_pylist()):
+                lines = unsqueeze.decompress(batch.column(2)[k].as_py()).decode().split("\n")
+                f = np.frombuffer(unsqueeze.decompress(batch.column(3)[k].as_py()), np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+                held.append(pa.table({"lang": pa.array([lang] * len(lines), pa.large_string()), "phrase": pa.array(lines, pa.large_string()), "f": f}))
+                size += len(lines)
+                if size >= HELD:
+                    sums, held, size = [_added(sums + held)], [], 0
+        if not sums and not held:
+            return
+        rows = _added(sums + held)
+        none = pc.equal(rows["phrase"], "")
+        words = pc.if_else(none, 0, pc.add(pc.count_substring(rows["phrase"], " "), 1)).cast(pa.int32())
+        rows = pa.table({"lang": rows["lang"].cast(pa.string()), "phrase": rows["phrase"].cast(pa.string()), "words": words, "f": rows["f"]})
+        yield from rows.filter(pc.or_(none, pc.greater_equal(rows["f"], least))).combine_chunks().to_batches(max_chunksize=50_000)
+
+    return run
 
 
 def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -223,16 +269,17 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max((total // CELL_BYTES).bit_length(), LEAST_BITS), MOST_BITS)
+    parts = min(max(total // PART_BYTES, 1), MOST_PARTS)
     shared = spark.sparkContext.broadcast(sketch(docs, least, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, data in _shards(batches, SHARD):
-            phrases, counts, sizes, n = counted_shard(data, lang, shared.value, bits)
-            columns = [pa.array([lang] * (len(phrases) + 1), pa.string()), pa.array([*phrases, ""], pa.string()), pa.array([*sizes, 0], pa.int32()), pa.array([*counts, n], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "f"])
+            phrases, counts, heads, n = counted_shard(data, lang, shared.value, bits)
+            if n:  # the phrase of no words stands for all words
+                yield _blocks(lang, [*phrases, ""], [*counts, n], np.append(heads, _salt(lang)), parts)
 
-    found = docs.select("text", "lang").mapInArrow(run, "lang string, phrase string, words int, f long")
-    summed = stored(found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= F.when(F.col("words") > 0, F.lit(least)).otherwise(F.lit(1))))
+    blocks = docs.select("text", "lang").mapInArrow(run, "part int, lang string, phrases binary, counts binary")
+    summed = stored(blocks.repartition("part").mapInArrow(_summed(least), "lang string, phrase string, words int, f long"))
     return summed.where("words > 0"), summed.where("words = 0").select("lang", F.col("f").alias("n"))
 
 
