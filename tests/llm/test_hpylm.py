@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import tracemalloc
 import types
 from collections import Counter
@@ -134,6 +135,58 @@ def test_gathered_tokens_are_held_once(monkeypatch, step, most):
         tracemalloc.stop()
 
 
+def test_a_bucket_is_small_in_memory(monkeypatch):
+    """Bytes held at most by the steps of a bucket with as much text as one has: its pairs merged, seated by sweeps, scored."""
+    monkeypatch.setattr(hpylm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    rng, batches, size = np.random.default_rng(3), [], 0
+    while size < hpylm.BUCKET_BYTES:
+        words = np.minimum(rng.pareto(0.4, (200, 1000)) * 20, 1e9).astype(np.int64)
+        texts = [" ".join(map(str, x)) for x in words]
+        size += sum(map(len, texts))
+        batches.append(pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts), pa.array([True] * 200)], names=["doc_id", "text", "learned_from"]))
+    whole = types.SimpleNamespace(mapInArrow=lambda f, schema: pa.Table.from_batches(f(iter(batches))))
+    blocks, asked = hpylm.pair_blocks(whole, 1), hpylm._asked(whole, 1)
+    plain = ["bucket", "part", "round", "z"]
+    held = {}
+
+    def step(name, f, table):
+        tracemalloc.start()
+        try:
+            out = f((), table)
+            held[name] = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        return out
+
+    pairs = step("merged", hpylm._merged, blocks).select(plain)
+    root, kept, history, roots = None, pairs, {}, {}
+    for turn in range(4):
+        sent = step(f"sweep {turn}", hpylm._sweep(turn, root, 1, turn == 3) if root else hpylm._first(1), kept)
+        assert all(len(z) == (5 if turn in (0, 3) else 3) for z, part in zip(sent["z"].to_pylist(), sent["part"].to_pylist()) if part >= 0)
+        answered = hpylm._owned(turn, root)((), sent)
+        total = {c: sum(answered[c].to_pylist()) for c in hpylm.SUMS}
+        root = roots[turn] = hpylm.Root(total["customers"], total["tables"], root.words if root else total["words"], 0.7, 0.7, root.learned if root else total["learned"])
+        history[turn] = answered.select(plain)
+        kept = pa.concat_tables([pairs, history[turn]])
+    step("scored", hpylm._scored({k: roots[k] for k in (2, 3)}), pa.concat_tables([pairs, history[2], history[3], asked]))
+    assert max(held.values()) < 260_000_000, held
+
+
+def test_shuffle_files_of_sweeps_go(spark):
+    docs = spark.createDataFrame(corpus()[:60], "doc_id long, text string").repartition(4)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {str(b.name()) for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllBlocks()) if b.name().startswith("shuffle_")}
+    before = files()
+    out = hpylm.scored(docs, F.lit(True), 200)
+    for _ in range(60):
+        left = files() - before
+        if len({x.split("_")[1] for x in left}) <= 2:
+            break
+        time.sleep(0.25)
+    assert len({x.split("_")[1] for x in left}) <= 2, left  # those of the last step's sums at most
+    assert out.count() == 60
+
+
 def test_packing():
     rng = np.random.default_rng(7)
     for a in (np.sort(rng.integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2)), rng.integers(0, 9, 77).astype(np.uint32), np.zeros(0, np.int64), rng.random(5)):

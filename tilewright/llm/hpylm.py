@@ -19,8 +19,9 @@ spread over all of them; the number of buckets grows with the text. Texts are re
 for the pairs and how often each is learned from, counted within each task first, once to score
 every text's pairs where the model's are. In a sweep each bucket sends the sums of its words
 (tables by context and by word) to the words' owners, ranges of the hash, which add them up,
-seat the root's customers and answer with the sums. Pairs, seating and sums are written to the
-shared folder after every step, so a lost executor costs one step. Random numbers depend on
+seat the root's customers and answer with the sums; how often words are learned from is sent in
+the first sweep and the last alone. Pairs, seating and sums are written to the
+shared folder after every step, so a lost executor costs one step; a step's shuffle files go when it is done. Random numbers depend on
 bucket and sweep alone. Nothing but a few sums of numbers reaches the driver.
 
 Tokens are words of lower-cased text (A-Z), then one end; words are told apart by 64-bit
@@ -34,6 +35,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,7 +59,7 @@ TABLES = 8
 #: Added to every count of the plain score.
 ADDED = 0.1
 #: Text bytes for each bucket.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 18 << 20
 #: Tokens that a task gathers before it sends them.
 GATHERED = 1_500_000
 SEED = 12
@@ -374,14 +376,14 @@ class Root:
 
 @dataclass
 class Bucket:
-    """A bucket's pairs and, by sweep, its words' sums: tables as context, tables as word, the root's tables, times as context, times as word."""
+    """A bucket's pairs and, by sweep, its words' sums: tables as context, tables as word, the root's tables, of the last sweep times as context, times as word."""
 
     known: np.ndarray
     u: np.ndarray
     w: np.ndarray
     n: np.ndarray
     sums: dict[int, list[np.ndarray]]
-    seats: dict[int, tuple[np.ndarray, np.ndarray]]
+    seats: dict[int, list[bytes]]
 
     @classmethod
     def of(cls, rows: list[dict]) -> Bucket:
@@ -391,13 +393,13 @@ class Bucket:
         for r in sorted((r for r in rows if r["part"] >= 0), key=lambda r: r["part"]):
             parts.setdefault(r["round"], []).append([unpack(x, np.int64) for x in r["z"]])
         sums = {k: [np.concatenate(x) for x in zip(*v)] for k, v in parts.items()}
-        seats = {r["round"]: (unpack(r["z"][0], np.int64), unpack(r["z"][1], np.int64)) for r in rows if r["part"] == -2}
+        seats = {r["round"]: r["z"] for r in rows if r["part"] == -2}
         return cls(unpack(z[0], np.uint64, True), unpack(z[1], np.uint32, True), unpack(z[2], np.uint32), unpack(z[3], np.int64), sums, seats)
 
-    def by_owner(self, number: int, turn: int, t: np.ndarray, sizes: np.ndarray, owners: int) -> list[tuple]:
-        """ROWS of the words' sums for their owners, and of the seats for this bucket itself."""
+    def by_owner(self, number: int, turn: int, t: np.ndarray, sizes: np.ndarray, owners: int, counts: bool) -> list[tuple]:
+        """ROWS of the words' sums, with those of times if `counts`, for their owners, and of the seats for this bucket itself."""
         size = len(self.known)
-        sums = [np.bincount(x, weights=y, minlength=size).astype(np.int64) for x, y in ((self.u, t), (self.w, t), (self.u, self.n), (self.w, self.n))]
+        sums = [np.bincount(x, weights=y, minlength=size).astype(np.int64) for y in ([t, self.n] if counts else [t]) for x in (self.u, self.w)]
         rows = [(k, number, turn, [pack(self.known[i:j], True), *[pack(x[i:j]) for x in sums]]) for k, i, j in slices(self.known, owners)]
         return [*rows, (number, -2 - number, turn, [pack(t), pack(sizes)])]
 
@@ -407,21 +409,21 @@ def _first(owners: int):
 
     def run(_: tuple, table: pa.Table) -> pa.Table:
         own = Bucket.of(table.to_pylist())
-        return _table(own.by_owner(table["bucket"][0].as_py(), 0, np.minimum(own.n, 1), own.n[own.n > 1], owners))
+        return _table(own.by_owner(table["bucket"][0].as_py(), 0, np.minimum(own.n, 1), own.n[own.n > 1], owners, True))
 
     return run
 
 
-def _sweep(turn: int, root: Root, owners: int):
-    """A bucket's seats after the sweep `turn`, from those of the one before."""
+def _sweep(turn: int, root: Root, owners: int, counts: bool):
+    """A bucket's seats after the sweep `turn`, from those of the one before; counts: as in `by_owner`."""
 
     def run(_: tuple, table: pa.Table) -> pa.Table:
         number = table["bucket"][0].as_py()
         own = Bucket.of(table.to_pylist())
         rng = np.random.default_rng([SEED, turn, number])
-        context, word, root_tables, _, _ = own.sums[turn - 1]
+        context, word, root_tables = own.sums[turn - 1]
         many = np.flatnonzero(own.n > 1)
-        t, sizes = own.seats[turn - 1]
+        t, sizes = (unpack(z, np.int64) for z in own.seats[turn - 1])
         c, old = own.n[many], t[many]
         parent = root.probability(word, root_tables)[own.w[many]]
         base = THETA + root.d * (context[own.u[many]] - old)
@@ -432,13 +434,13 @@ def _sweep(turn: int, root: Root, owners: int):
         seated, sizes = moved(c, old, sizes, base, parent, root.d, rng)
         t = np.minimum(own.n, 1)
         t[many] = seated
-        return _table(own.by_owner(number, turn, t, sizes, owners))
+        return _table(own.by_owner(number, turn, t, sizes, owners, counts))
 
     return run
 
 
 def _owned(turn: int, root: Root | None):
-    """Sums of an owner's words over all buckets, answered to each, the root's seating, and the columns SUMS in the first row."""
+    """Sums of an owner's words over all buckets, answered to each (times with a root only), the root's seating, and the columns SUMS in the first row."""
 
     def run(_: tuple, table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -446,12 +448,13 @@ def _owned(turn: int, root: Root | None):
         seats = [(-2 - r["part"], -2, turn, r["z"]) for r in rows if r["part"] < -1]
         asked = [(r["part"], [unpack(r["z"][0], np.uint64, True), *[unpack(x, np.int64) for x in r["z"][1:]]]) for r in rows if r["part"] >= 0]
         known = np.unique(np.concatenate([np.zeros(0, np.uint64), *[x[0] for _, x in asked]]))
-        sums = np.zeros((4, len(known)), np.int64)
+        sums = np.zeros((max((len(x) - 1 for _, x in asked), default=2), len(known)), np.int64)
         places = [np.searchsorted(known, x[0]) for _, x in asked]
         for at, (_, x) in zip(places, asked):
-            for k in range(4):
-                sums[k, at] += x[k + 1]
-        context, k, times_context, times = sums
+            for total, more in zip(sums, x[1:]):
+                total[at] += more
+        context, k, *counts = sums
+        times = counts[1] if counts else np.zeros(0, np.int64)
         tables = np.minimum(k, 1)
         if root:
             many = np.flatnonzero(k > 1)
@@ -462,7 +465,7 @@ def _owned(turn: int, root: Root | None):
             sizes = np.ones(int(t.sum()), np.int64)
             sizes[np.cumsum(t) - t] = k[many] - t + 1
             tables[many] = moved(k[many], t, sizes, base, like, root.d0, rng)[0]
-        answers = [(bucket, owner, turn, [pack(x[at]) for x in (context, k, tables, times_context, times)]) for at, (bucket, _) in zip(places, asked)]
+        answers = [(bucket, owner, turn, [pack(x[at]) for x in (context, k, tables, *(counts if root else []))]) for at, (bucket, _) in zip(places, asked)]
         made = _table([*seats, *answers])
         for name, value in zip(SUMS, (int((k == 1).sum()), int((k == 2).sum()), int(k.sum()), int(tables.sum()), int((times > 0).sum()), int(times.sum()))):
             made = made.append_column(name, pa.array([value] + [0] * (made.num_rows - 1), pa.int64()))
@@ -502,15 +505,16 @@ def _scored(roots: dict[int, Root]):
         if len(asked):
             own = Bucket.of(table.filter(pa.array(rounds >= 0)).to_pylist())
             last = own.sums[max(roots)]
-            times = last[4][own.w]
+            customers, times = last[3][own.u], last[4][own.w]
             any_root = roots[max(roots)]
             plain = np.log10((times + ADDED) / (any_root.learned + ADDED * (any_root.words + 1)))
             share = np.zeros(len(own.n))
             for turn, root in roots.items():
-                context, word, root_tables, customers, _ = own.sums[turn]
+                context, word, root_tables = own.sums[turn][:3]
                 parent = root.probability(word, root_tables)[own.w]
-                own_part = own.n - root.d * own.seats[turn][0]
-                share += (own_part + (THETA + root.d * context[own.u]) * parent) / (THETA + customers[own.u])
+                own_part = own.n - root.d * unpack(own.seats[turn][0], np.int64)
+                share += (own_part + (THETA + root.d * context[own.u]) * parent) / (THETA + customers)
+            del customers, parent, own_part
             model = np.log10(share / len(roots))
             keys = pair_key(own.known[own.u], own.known[own.w])
             order = np.argsort(keys)
@@ -540,6 +544,12 @@ def _documents(_: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids, mask=valid == 0), "n_tokens": n, "n_known": sums[0].astype(np.int64), "base_score": sums[1], "score": sums[2]})
 
 
+def _let_go(docs: DataFrame) -> None:
+    """Shuffle files of finished steps go when the driver collects garbage, which by itself may be after they fill the disks."""
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _discount(ones: int, twos: int) -> float:
     return min(max(ones / (ones + 2 * twos), 0.05), 0.95) if ones else 0.5
 
@@ -553,16 +563,19 @@ def scored(docs: DataFrame, learned_from: Column, bucket_bytes: int = BUCKET_BYT
     pairs = stored(by_bucket(pair_blocks(rows, buckets), _merged, with_sums(SUMS[:2])))
     ones, twos = pairs.agg(F.sum("ones"), F.sum("twos")).first()
     pairs = pairs.drop("ones", "twos")
+    _let_go(docs)
     d = _discount(ones or 0, twos or 0)
     kept, roots, root = pairs, {}, None
     history: dict[int, DataFrame] = {}
     for turn in range(BURN + SAMPLES + 1):
-        sent = by_bucket(kept, _sweep(turn, root, buckets) if root else _first(buckets))
+        sent = by_bucket(kept, _sweep(turn, root, buckets, turn == BURN + SAMPLES) if root else _first(buckets))
         answered = stored(by_bucket(sent, _owned(turn, root), with_sums(SUMS)))
         total = answered.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS]).first()
-        root = Root(total["customers"], total["tables"], total["words"], d, root.d0 if root else _discount(total["ones"], total["twos"]), total["learned"])
+        root = Root(total["customers"], total["tables"], root.words if root else total["words"], d, root.d0 if root else _discount(total["ones"], total["twos"]), root.learned if root else total["learned"])
         history[turn], roots[turn] = answered.drop(*SUMS), root
         kept = pairs.union(history[turn])
+        del sent, answered
+        _let_go(docs)
     roots = {k: r for k, r in roots.items() if k > BURN}
     model = pairs
     for k in roots:
