@@ -20,9 +20,9 @@ for the pairs and how often each is learned from, counted within each task first
 every text's pairs where the model's are. In a sweep each bucket sends the sums of its words
 (tables by context and by word) to the words' owners, ranges of the hash, which add them up,
 seat the root's customers and answer with the sums; how often words are learned from is sent in
-the first sweep and the last alone. Pairs, seating and sums are written to the
-shared folder after every step, so a lost executor costs one step; a step's shuffle files go when it is done. Random numbers depend on
-bucket and sweep alone. Nothing but a few sums of numbers reaches the driver.
+the first sweep and the last alone. Pairs, seating and sums are written to the shared folder
+after every step, so a lost executor costs one step; a step's shuffle files go when it is done.
+Random numbers depend on bucket and sweep alone. Nothing but a few sums of numbers reaches the driver.
 
 Tokens are words of lower-cased text (A-Z), then one end; words are told apart by 64-bit
 hashes.
@@ -514,13 +514,14 @@ def _scored(roots: dict[int, Root]):
                 parent = root.probability(word, root_tables)[own.w]
                 own_part = own.n - root.d * unpack(own.seats[turn][0], np.int64)
                 share += (own_part + (THETA + root.d * context[own.u]) * parent) / (THETA + customers)
-            del customers, parent, own_part
             model = np.log10(share / len(roots))
+            del last, customers, context, word, root_tables, parent, own_part, share
+            own.sums.clear()
             keys = pair_key(own.known[own.u], own.known[own.w])
             order = np.argsort(keys)
             keys = keys[order]
             values = [(times > 0).astype(np.float64)[order], plain[order], model[order]]
-            del own, order, times, plain, model, share
+            del own, order, times, plain, model
             for i in asked:  # one at a time is held unpacked
                 packed = z[i].as_py()
                 pairs, reps, place = unpack(packed[0], np.uint64, True), unpack(packed[1], np.uint32), unpack(packed[2], np.uint32)
