@@ -194,9 +194,8 @@ def spatial_self_join(spark, d):
 @query("boxes_less_partners", f"""WITH {D.BOXES}, c AS (SELECT event_id, cx, cy FROM boxes, LATERAL (SELECT unnest(range(x0, x1)) AS cx) u, LATERAL (SELECT unnest(range(y0, y1)) AS cy) w),
 n AS (SELECT cx, cy, count(*) AS k FROM c GROUP BY ALL) SELECT event_id, (count(*))::DOUBLE AS area FROM c JOIN n USING (cx, cy) WHERE k = 1 GROUP BY event_id""")
 def boxes_less_partners(spark, d):
-    """The area of every box that no other box covers, from its outline less the union of its partners."""
-    b = D.boxes(spark, d)
-    rings = spatial.less_partners(b.select("event_id", G.rectangle("x0", "y0", "x1", "y1").alias("ring")), "event_id", spatial.overlapping_self(b, "event_id", 16).select("event_id", "others"), 64.0)
+    """The area of every box that no other box covers, from its outline less the union of all others."""
+    rings = spatial.less_others(D.boxes(spark, d).select("event_id", G.rectangle("x0", "y0", "x1", "y1").alias("ring")), "event_id", 64.0)
     return rings.groupBy("event_id").agg(F.round(F.sum(G.signed_area("ring")), 6).alias("area"))
 
 
