@@ -1,13 +1,14 @@
 """Regions of upright rectangles, solved together, against slabs and unit squares."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tilewright.functions import geometry as G
 from tilewright.functions import rectangles
-from tilewright.operators import spatial
+from tilewright.operators import outlines, spatial
 
 KIND = "k long, ring array<struct<x: double, y: double>>"
 
@@ -82,3 +83,40 @@ def test_boxes_less_partners_makes_no_pairs(spark, tmp_path):
     rows = entry.queries()["boxes_less_partners"](spark, str(tmp_path))
     assert "Join" not in rows._jdf.queryExecution().toString()
     assert dict(map(tuple, rows.collect())) == {9000: 24.0 - 2.0, 9001: 24.0}
+
+
+def test_linked_sends_few_rows_across_the_plane(spark, monkeypatch):
+    """A ring of 40,004 sides: only chains of blocks are linked by joins, not sides."""
+    n = 10_000
+    side = lambda *c: F.struct(*[F.expr(e).cast("double").alias(a) for a, e in zip(("x0", "y0", "x1", "y1"), c)])
+    lower = (side("id", "id", "id + 1", "id"), side("id + 1", "id", "id + 1", "id + 1"))
+    upper = (side("id + 1", "id + 4", "id", "id + 4"), side("id", "id + 4", "id", "id + 3"))
+    ends = F.explode(F.array(side(f"{n}", f"{n}", f"{n}", f"{n + 3}"), side("0", "3", "0", "0"))).alias("s")
+    sides = spark.range(n).select(F.explode(F.array(*lower, *upper)).alias("s")).union(spark.range(1).select(ends)).select(F.lit("a").alias("k"), "s.*")
+    rows, rings = [], outlines.graph.rings
+    monkeypatch.setattr(outlines.graph, "rings", lambda parts, by: rows.append(parts.count()) or rings(parts, by))
+    out = outlines.linked(sides, ["k"], 8.0).collect()
+    assert len(out) == 1 and len(out[0]["ring"]) == 4 * n + 1 and rows[0] < 2000
+
+
+def test_chains_of_batches(monkeypatch):
+    """Sides at hand together become chains; whole rings are closed, ends name the side that follows."""
+    monkeypatch.setattr(outlines, "CHAINED", 6)
+    to = {1: 2, 2: 3, 3: 1, 4: 5, 5: 6, 6: 7, 7: 8, 8: 4}
+    batches = [pa.RecordBatch.from_pydict({"k": ["a"] * len(ids), "id": ids, "next": [to[i] for i in ids], "x0": [i * 1.0 for i in ids], "y0": [0.0] * len(ids)}) for ids in ([1, 2, 3], [], [5, 4, 6], [8, 7])]
+    found = pa.Table.from_batches(outlines._chains(iter(batches), ["k"])).to_pylist()
+    assert {(r["id"], r["next"], tuple(p["x"] for p in r["points"])) for r in found} == {(1, None, (1, 2, 3)), (4, 7, (4, 5, 6)), (7, 4, (7, 8))}
+
+
+def test_all_dissolved_in_small_blocks(spark, monkeypatch):
+    """Kinds found together are those found one by one, by chains of one cell each."""
+    monkeypatch.setattr(outlines, "BLOCK", 1)
+    rng = np.random.default_rng(8)
+    rows = [("ab"[n % 2], bool(rng.random() < 0.4), n, box(x, y, x + w, y + h)) for n, (x, y, w, h) in enumerate(zip(*(rng.integers(lo, hi, 160).tolist() for lo, hi in ((0, 40), (0, 40), (1, 9), (1, 9)))))]
+    polygons = spark.createDataFrame(rows, "k string, annotated boolean, polygon_id long, ring array<struct<x: double, y: double>>")
+    shape = lambda found: {(r["k"], r["kind"]): (r["n"], r["a"], r["c"]) for r in found.groupBy("k", "kind").agg(F.count("*").alias("n"), F.round(F.sum(G.signed_area("ring")), 6).alias("a"), F.sum(F.size("ring")).alias("c")).collect()}
+    kinds = ["union", "intersection", "difference"]
+    together, apart = shape(outlines.all_dissolved(polygons, "k", 5.0, kinds)), {}
+    for kind in kinds:
+        apart |= shape(outlines.dissolved(polygons, "k", 1000.0, kind).withColumn("kind", F.lit(kind)))
+    assert len(together) == 6 and together == apart

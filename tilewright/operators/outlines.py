@@ -2,14 +2,19 @@
 
 A region is worked on in grid cells (spatial.region_rings); here its pieces become whole again.
 Sides on cell borders cancel where the neighbouring cell has the opposite side, the sides left
-are linked across the plane, so neither a region nor a ring has to fit into one task before it
-is a value of its own.
+are linked to chains block by block and these across the plane, so neither a region nor a ring
+has to fit into one task before it is a value of its own.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +23,10 @@ from ..session import settled
 from . import graph, spatial
 
 
+#: Cells along a side of the blocks whose sides are linked in tasks, and sides that a task links at once.
+BLOCK, CHAINED = 16, 50_000
+
+
 def sides(rings: DataFrame, keep: list[str], ring: str = "ring") -> DataFrame:
     """keep, x0, y0, x1, y1: the sides of rings in their direction, those without length left out."""
     turn = F.explode(G._turns(ring)).alias("_side")
@@ -55,17 +64,53 @@ def _uncut(pieces: DataFrame, by: list[str], cell: float) -> DataFrame:
     return inner.union(kept[0]).union(kept[1])
 
 
-def linked(edges: DataFrame, by: list[str]) -> DataFrame:
+def _chains(batches: Iterable[pa.RecordBatch], by: list[str]) -> Iterator[pa.RecordBatch]:
+    """by, id (of a chain's first side), next (the side after its last; null: the first again), points (where its sides begin), for sides at hand together."""
+
+    def solve(table: pa.Table) -> pa.Table:
+        ids, following = table["id"].to_numpy(), table["next"].to_numpy()
+        order = np.argsort(ids)
+        place = np.minimum(np.searchsorted(ids, following, sorter=order), len(ids) - 1)
+        to = np.where(ids[order[place]] == following, order[place], -1)
+        led = np.zeros(len(ids), bool)
+        led[to[to >= 0]] = True
+        path, begin, seen, way = [], [], bytearray(len(ids)), to.tolist()
+        for at in [*np.flatnonzero(~led).tolist(), *np.flatnonzero(led).tolist()]:
+            if not seen[at]:
+                begin.append(len(path))
+                while at >= 0 and not seen[at]:
+                    seen[at] = 1
+                    path.append(at)
+                    at = way[at]
+        rows, first = np.array(path), np.array(begin)
+        last = rows[np.append(first[1:], len(rows)) - 1]
+        own = table.take(pa.array(rows[first]))
+        xy = pa.StructArray.from_arrays([pa.array(table[c].to_numpy()[rows]) for c in ("x0", "y0")], ["x", "y"])
+        points = pa.ListArray.from_arrays(pa.array(np.append(first, len(rows)).astype(np.int32)), xy)
+        return pa.table({c: own[c] for c in [*by, "id"]} | {"next": pa.array(following[last], mask=to[last] >= 0), "points": points})
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held += [batch] * (batch.num_rows > 0)
+        if sum(b.num_rows for b in held) >= CHAINED:
+            yield from solve(pa.Table.from_batches(held).combine_chunks()).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from solve(pa.Table.from_batches(held).combine_chunks()).combine_chunks().to_batches()
+
+
+def linked(edges: DataFrame, by: list[str], cell: float) -> DataFrame:
     """by, ring: closed rings of directed sides (by, x0, y0, x1, y1) of which as many enter a point as leave it.
 
     A side that enters a point goes on with the one that comes next before it, counter-clockwise
     around the point, so rings that only touch stay apart; each side is gone on with once. Points
-    on a straight line between their neighbours are left out.
+    on a straight line between their neighbours are left out. Blocks of BLOCK cells are linked in
+    tasks, only their chains are linked across the plane.
     """
     own = settled(edges.withColumn("id", F.monotonically_increasing_id()))
     angle = lambda a, b: F.atan2(F.col(f"y{b}") - F.col(f"y{a}"), F.col(f"x{b}") - F.col(f"x{a}"))
-    enters = own.select(*by, F.col("x1").alias("_vx"), F.col("y1").alias("_vy"), angle(1, 0).alias("_angle"), F.lit(-1).alias("_w"), "id")
-    leaves = own.select(*by, F.col("x0").alias("_vx"), F.col("y0").alias("_vy"), angle(0, 1).alias("_angle"), F.lit(1).alias("_w"), "id")
+    enters = own.select(*by, F.col("x1").alias("_vx"), F.col("y1").alias("_vy"), angle(1, 0).alias("_angle"), F.lit(-1).alias("_w"), "id", "x0", "y0")
+    leaves = own.select(*by, F.col("x0").alias("_vx"), F.col("y0").alias("_vy"), angle(0, 1).alias("_angle"), F.lit(1).alias("_w"), "id", F.lit(None).cast("double"), F.lit(None).cast("double"))
     at = Window.partitionBy(*by, "_vx", "_vy")
     around = at.orderBy("_angle", F.col("_w").desc(), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = enters.union(leaves).withColumns({"_outs": F.sum((F.col("_w") > 0).cast("int")).over(around), "_ins": F.sum((F.col("_w") < 0).cast("int")).over(around)})
@@ -75,11 +120,17 @@ def linked(edges: DataFrame, by: list[str]) -> DataFrame:
     ends = ends.withColumn("_open", open_).withColumn("_least", F.min("_open").over(at))
     ends = ends.withColumns({"_n": F.max("_outs").over(at), "_outs0": F.max(F.when(least, F.col("_outs"))).over(at), "_ins0": F.max(F.when(least, F.col("_ins"))).over(at)})
     k = F.when(F.col("_w") > 0, F.pmod(F.col("_outs") - 1 - F.col("_outs0"), "_n")).otherwise(F.pmod(F.col("_ins") - 1 - F.col("_ins0"), "_n"))
-    pairs = ends.withColumn("_k", k).groupBy(*by, "_vx", "_vy", "_k").agg(F.max(F.when(F.col("_w") < 0, F.col("id"))).alias("id"), F.max(F.when(F.col("_w") > 0, F.col("id"))).alias("next"))
-    following = pairs.select(*by, "id", "next")
-    order = graph.rings(following, by)
-    points = own.select(*by, "id", "x0", "y0").join(order, [*by, "id"])
-    whole = points.groupBy(*by, F.col("ring").alias("_ring")).agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("left")).alias("k"), "x0", "y0"))), lambda p: G.point(p["x0"], p["y0"])).alias("p"))
+    pairs = ends.withColumn("_k", k).groupBy(*by, "_vx", "_vy", "_k").agg(F.max(F.when(F.col("_w") < 0, F.col("id"))).alias("id"), F.max(F.when(F.col("_w") > 0, F.col("id"))).alias("next"), F.max("x0").alias("x0"), F.max("y0").alias("y0"))
+    blocks = [F.floor(F.col(c) / (BLOCK * cell)).alias(f"_b{c}") for c in ("x0", "y0")]
+    near = [*by, "_bx0", "_by0"]
+    following = pairs.select(*by, "id", "next", "x0", "y0", *blocks).repartition(*near).sortWithinPartitions(*near).drop("_bx0", "_by0")
+    kinds = "".join(f"`{c}` {edges.schema[c].dataType.simpleString()}, " for c in by)
+    chains = settled(following.mapInArrow(lambda batches: _chains(batches, by), f"{kinds}id long, next long, points array<struct<x: double, y: double>>"))
+    order = graph.rings(chains.where(F.col("next").isNotNull()), by)
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*by, "id"]]
+    open_ = chains.where(F.col("next").isNotNull()).join(order.withColumnsRenamed({c: f"_{c}" for c in [*by, "id"]}), reduce(and_, on))
+    joined = open_.groupBy(*by, "ring").agg(F.sort_array(F.collect_list(F.struct((-F.col("left")).alias("k"), "points"))).alias("c"))
+    whole = chains.where(F.col("next").isNull()).select(*by, F.col("points").alias("p")).union(joined.select(*by, F.flatten(F.col("c.points"))))
     n = F.size("p")
     at = lambda k: F.element_at("p", (F.pmod(k, n) + 1).cast("int"))
 
@@ -93,8 +144,13 @@ def linked(edges: DataFrame, by: list[str]) -> DataFrame:
 
 def dissolved(polygons: DataFrame, by: str, cell: float, kind: str = "union") -> DataFrame:
     """by, ring: whole outlines of a union, intersection or difference (see region_rings); outer rings counter-clockwise, holes clockwise."""
-    pieces = spatial.region_rings(polygons, by, cell, kind)
-    return linked(_uncut(pieces, [by], cell), [by])
+    return all_dissolved(polygons, by, cell, [kind]).drop("kind")
+
+
+def all_dissolved(polygons: DataFrame, by: str, cell: float, kinds: list[str]) -> DataFrame:
+    """by, kind, ring: as dissolved, of several kinds together."""
+    own = [by, "kind"]
+    return linked(_uncut(settled(spatial.all_rings(polygons, by, cell, kinds)), own, cell), own, cell)
 
 
 def _beside(ring: str, distance: float, quarter: int) -> Column:

@@ -42,13 +42,9 @@ def dissolved_regions(spark, d):
     b = D.boxes(spark, d)
     rings = b.select("event_type", (F.col("event_id") % 2 == 1).alias("annotated"), F.col("event_id").alias("polygon_id"), G.rectangle("x0", "y0", "x1", "y1").alias("ring"))
     length = G._sum("ring", lambda p, q: F.hypot(q["x"] - p["x"], q["y"] - p["y"]))
-    out = None
-    for kind in ("union", "intersection", "difference"):
-        found = outlines.dissolved(rings, "event_type", 16.0, kind)
-        one = found.groupBy(F.lit(kind).alias("kind"), "event_type").agg(
-            F.round(F.sum(G.signed_area("ring")), 6).alias("area"), F.round(F.sum(length), 6).alias("outline"), F.sum(F.signum(G.signed_area("ring"))).cast("long").alias("rings_less_holes"), F.sum(F.size("ring") - 1).cast("long").alias("corners"))
-        out = one if out is None else out.union(one)
-    return out
+    found = outlines.all_dissolved(rings, "event_type", 16.0, ["union", "intersection", "difference"])
+    return found.groupBy("kind", "event_type").agg(
+        F.round(F.sum(G.signed_area("ring")), 6).alias("area"), F.round(F.sum(length), 6).alias("outline"), F.sum(F.signum(G.signed_area("ring"))).cast("long").alias("rings_less_holes"), F.sum(F.size("ring") - 1).cast("long").alias("corners"))
 
 
 @query("polygon_self_join", f"""WITH {D.BOXES}, r AS (SELECT event_id, [x0, x1 + event_id % 5, x1, x0 + 2, x0 - 1]::DOUBLE[] AS xs, [y0, y0 + 1, y1, y1 - 2, y1 + event_id % 5]::DOUBLE[] AS ys FROM boxes),
