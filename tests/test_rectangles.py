@@ -120,3 +120,20 @@ def test_all_dissolved_in_small_blocks(spark, monkeypatch):
     for kind in kinds:
         apart |= shape(outlines.dissolved(polygons, "k", 1000.0, kind).withColumn("kind", F.lit(kind)))
     assert len(together) == 6 and together == apart
+
+
+def test_region_outlines_in_one_pass(spark, tmp_path):
+    """All kinds from one pass over the cells; a type with annotated boxes alone has areas of 0."""
+    rng = np.random.default_rng(5)
+    rows = [(n, "ab"[n % 3 % 2], int(u), float(v)) for n, (u, v) in enumerate(zip(rng.integers(0, 40, 400), rng.integers(0, 120, 400)))] + [(1001, "c", 3, 4.0), (1003, None, 3, 4.0), (1004, None, 3, 7.0)]
+    spark.createDataFrame(rows, "event_id long, event_type string, user_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    cover = {}
+    for n, kind, u, v in rows:
+        for x in range(u * 3, u * 3 + 4):
+            for y in range(int(v), int(v) + 6):
+                cover.setdefault(kind, {}).setdefault((x, y), set()).add(n % 2)
+    want = {kind: (sum(0 in s for s in places.values()), sum(len(s) == 2 for s in places.values()), sum(s == {0} for s in places.values())) for kind, places in cover.items()}
+    out = entry.queries()["region_outlines"](spark, str(tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("InArrow") + plan.count("InPandas") == 1
+    assert {r[0]: tuple(r[1:]) for r in out.collect()} == want

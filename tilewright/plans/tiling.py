@@ -224,8 +224,10 @@ def region_outlines(spark, d):
     b = D.boxes(spark, d)
     rings = b.select("event_type", (F.col("event_id") % 2 == 1).alias("annotated"), F.col("event_id").alias("polygon_id"), G.rectangle("x0", "y0", "x1", "y1").alias("ring"))
     kinds = ("union", "intersection", "difference")
-    parts = [spatial.region_rings(rings, "event_type", 64.0, k).select("event_type", *[(G.signed_area("ring") if k == n else F.lit(0.0)).alias(n) for n in kinds]) for k in kinds]
-    return parts[0].union(parts[1]).union(parts[2]).groupBy("event_type").agg(*[F.round(F.sum(n), 6).alias(n) for n in kinds])
+    parts = spatial.all_rings(rings, "event_type", 64.0, ["union", "intersection", "difference"]).select("event_type", "kind", G.signed_area("ring").alias("area"))
+    parts = parts.union(b.select("event_type", F.lit(None), F.lit(0.0)))  # types without a predicted box have areas of 0
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("area"))), F.lit(0.0))
+    return parts.groupBy("event_type").agg(*[F.round(of(k), 6).alias(k) for k in ("union", "intersection", "difference")])
 
 
 def _star(spark, d):
